@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference processes its tick landing zone as a batch job; it has no
+stream source, sink, watermark or state.  The batch ticks job
+(:mod:`ledgerline.plans.ticks`) is re-runnable over a landing tree, and its
+building blocks are plain DataFrame transformations, so they would apply
+unchanged inside ``foreachBatch`` if a stream were ever needed.
+"""

@@ -1,0 +1,135 @@
+"""Compare registered Spark queries with their DuckDB oracle SQL.
+
+Usable from pytest and as a script::
+
+    python tests/oracle_compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+from ledgerline.sources.tables import TABLE_NAMES  # noqa: E402
+
+_SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for name in TABLE_NAMES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
+    if isinstance(v, decimal.Decimal):
+        return repr(float(v))
+    if isinstance(v, dt.datetime):
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return v.isoformat()
+    if isinstance(v, (dt.date, dt.time)):
+        return v.isoformat()
+    return repr(v)
+
+
+def _approx(v, digits=9):
+    if isinstance(v, float) and not math.isnan(v):
+        return f"{v:.{digits}g}"
+    return _norm(v)
+
+
+def _digest(rows, cols, order, fn):
+    idx = [cols.index(c) for c in order]
+    lines = sorted("|".join(str(fn(r[i])) for i in idx) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def compare(spark, con, name, query, sql, sf_dir):
+    t0 = time.time()
+    df = query(spark, sf_dir)
+    s_rows = [tuple(r) for r in df.collect()]
+    s_cols = df.columns
+    s_types = [f.dataType.simpleString() for f in df.schema.fields]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    d_types = [r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()]
+    order = sorted(s_cols)
+    out = {
+        "query": name,
+        "spark_rows": len(s_rows),
+        "oracle_rows": len(d_rows),
+        "columns_match": sorted(s_cols) == sorted(d_cols),
+        "spark_sec": round(t1 - t0, 2),
+    }
+    type_diff = {}
+    for c, t in zip(s_cols, s_types):
+        if c in d_cols:
+            dtp = d_types[d_cols.index(c)]
+            if _SPARK_TO_DUCK.get(t, t) != dtp:
+                type_diff[c] = (t, dtp)
+    out["type_diff"] = type_diff
+    if out["columns_match"]:
+        out["exact"] = _digest(s_rows, s_cols, order, _norm) == _digest(d_rows, d_cols, order, _norm)
+        out["approx"] = _digest(s_rows, s_cols, order, _approx) == _digest(d_rows, d_cols, order, _approx)
+    else:
+        out["exact"] = out["approx"] = False
+        out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+    out["ok"] = out["exact"] and out["spark_rows"] == out["oracle_rows"]
+    return out
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    only = set(argv[2:])
+    from ledgerline.session import build_session
+    import __spark_entry__ as entry
+
+    spark = build_session("local[8]", shuffle_partitions=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck_connection(sf_dir)
+    qs, sqls = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for name, q in qs.items():
+        if only and name not in only:
+            continue
+        if name not in sqls:
+            print(f"{name}: no oracle")
+            continue
+        try:
+            r = compare(spark, con, name, q, sqls[name], sf_dir)
+        except Exception as e:  # report and go on
+            bad += 1
+            print(f"{name}: ERROR {type(e).__name__}: {str(e)[:400]}")
+            continue
+        bad += not r["ok"]
+        print(r)
+    print("FAILED" if bad else "ALL OK", bad)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv)
