@@ -50,9 +50,12 @@ def split_corrupt(df: DataFrame, corrupt_column: str = "_corrupt_record") -> tup
     """Split a permissive JSON/CSV read into (good rows, malformed lines).
 
     The good side no longer carries the corrupt-record column; the bad side
-    keeps only it, as a quarantine output.
+    keeps whole rows (the malformed line in ``corrupt_column`` plus any fields
+    that did parse).  Spark refuses raw-file queries whose only column read
+    is the corrupt-record column, so consume the good side together with data
+    columns (or from a saved copy), not through a bare count.
     """
     flag = F.col(corrupt_column)
     good = df.filter(flag.isNull()).drop(corrupt_column)
-    bad = df.filter(flag.isNotNull()).select(flag.alias("line"))
+    bad = df.filter(flag.isNotNull())
     return good, bad

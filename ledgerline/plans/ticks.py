@@ -148,21 +148,22 @@ def run_ticks(
     * the optional export is a few bounded files at ``export_path`` (a
       sibling path, never inside ``output_path``), made from the written
       output so both carry identical rows and ingest stamps;
-    * with ``quarantine_path`` malformed lines are kept there as text.
+    * with ``quarantine_path`` malformed lines are kept there (JSON rows whose
+      ``_corrupt_record`` holds the line).
     """
     if export_path and export_path.rstrip("/").startswith(output_path.rstrip("/") + "/"):
         raise ValueError("export_path must not lie inside output_path")
-    schema = RAW_TICK_SCHEMA
-    if quarantine_path:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    raw = read_ndjson_tree(
-        spark, raw_root, schema=schema, file_glob=file_glob,
-        corrupt_column=CORRUPT_COLUMN if quarantine_path else None,
-    )
+    # A malformed line reads as an all-null row, which the quote filter drops;
+    # the main path therefore needs no corrupt-record column.
+    raw = read_ndjson_tree(spark, raw_root, schema=RAW_TICK_SCHEMA, file_glob=file_glob)
     quarantined = 0
     if quarantine_path:
-        raw, bad = split_corrupt(raw, CORRUPT_COLUMN)
-        bad.write.mode("overwrite").text(quarantine_path)
+        with_lines = read_ndjson_tree(
+            spark, raw_root, file_glob=file_glob, corrupt_column=CORRUPT_COLUMN,
+            schema=T.StructType(RAW_TICK_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())]),
+        )
+        _, bad = split_corrupt(with_lines, CORRUPT_COLUMN)
+        bad.write.mode("overwrite").json(quarantine_path)
         quarantined = spark.read.text(quarantine_path).count()
     if is_empty(raw):
         return TicksResult(False, 0, quarantined, output_path, None)

@@ -1,0 +1,108 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators.joins import dimension_join, fits_broadcast, inner_join, skew_join
+from ledgerline.operators.profile import hot_keys
+from ledgerline.plans.customer_transactions import (
+    bucketed_customer_transactions,
+    join_customer_transactions,
+    join_customer_transactions_salted,
+)
+from ledgerline.plans.inspect import count_nodes, physical_plan
+from ledgerline.sources.catalog import list_tables
+
+CUSTOMERS = [
+    ("c1", "Ann", "retail", "Oslo"),
+    ("c2", "Bo", "corp", "Rome"),
+    ("c2", "Bo2", "corp", "Rome"),       # duplicate key
+    ("c3", "Cy", "retail", "Lima"),      # no partner
+    (None, "Nil", "retail", "Void"),     # null key
+    ("hot", "Hal", "corp", "Kyiv"),
+]
+TXN_COLS = "transaction_id string, customer_id string, txn_date string, txn_amount string, channel string, product string"
+
+
+def transactions(spark, hot_rows=60):
+    rows = [("t1", "c1", "2025-01-01", "10.5", "web", "card"),
+            ("t2", "c2", "2025-01-02", "20", "app", "loan"),
+            ("t3", "c2", "2025-01-03", "30", "app", "card"),
+            ("t4", None, "2025-01-04", "40", "web", "card"),     # null key
+            ("t5", "zz", "2025-01-05", "50", "web", "card")]     # no partner
+    rows += [(f"h{i}", "hot", "2025-02-01", str(i), "web", "fx") for i in range(hot_rows)]
+    return spark.createDataFrame(rows, TXN_COLS)
+
+
+def customers(spark):
+    return spark.createDataFrame(CUSTOMERS, "customer_id string, customer_name string, segment string, city string")
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_inner_join_semantics(spark):
+    out = join_customer_transactions(customers(spark), transactions(spark))
+    assert out.columns == ["customer_id", "customer_name", "segment", "city", "transaction_id",
+                           "txn_date", "txn_amount", "channel", "product"]
+    counts = {r.customer_id: r.n for r in out.groupBy("customer_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"c1": 1, "c2": 4, "hot": 60}      # duplicates multiply, nulls never match
+
+
+def test_salted_join_equals_plain(spark):
+    plain = rows_of(join_customer_transactions(customers(spark), transactions(spark)))
+    salted = join_customer_transactions_salted(customers(spark), transactions(spark),
+                                               min_share=0.5, salt_buckets=7)
+    assert rows_of(salted) == plain
+    assert "__ledgerline_salt" not in salted.columns
+
+
+def test_hot_keys_bound_and_content(spark):
+    txns = transactions(spark)
+    assert hot_keys(txns, "customer_id", 0.5) == ["hot"]
+    assert len(hot_keys(txns, "customer_id", 0.01)) <= 100
+    with pytest.raises(ValueError):
+        hot_keys(txns, "customer_id", 0)
+
+
+def test_skew_join_spreads_hot_key(spark):
+    txns = transactions(spark, hot_rows=400)
+    big = txns.withColumn("customer_id", F.col("customer_id"))
+    out = skew_join(big, customers(spark), "customer_id", min_share=0.5, salt_buckets=8)
+    assert out.filter(F.col("customer_id") == "hot").count() == 400
+
+
+def test_bucketed_join_no_exchange_and_equal(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4)
+        assert count_nodes(out, "Exchange") == 0
+        assert "SortMergeJoin" in physical_plan(out)
+        assert rows_of(out) == rows_of(join_customer_transactions(customers(spark), transactions(spark)))
+        assert list_tables(spark, "ledgerline_demo") == ["customers_bucketed", "transactions_bucketed"]
+        # re-running over the existing catalog entries works
+        again = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4)
+        assert again.count() == out.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dimension_join_broadcasts_only_within_bound(spark):
+    fact = spark.range(1000).select(F.col("id"), (F.col("id") % 10).alias("k"))
+    dim = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = dimension_join(fact, dim, "k")
+        assert "BroadcastHashJoin" in physical_plan(small)
+        big = dimension_join(fact, dim, "k", max_rows=5)
+        assert "BroadcastHashJoin" not in physical_plan(big)
+        assert rows_of(small) == rows_of(big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert fits_broadcast(dim, max_rows=10) and not fits_broadcast(dim, max_rows=9)
+    assert not fits_broadcast(dim, max_bytes=8)
+
+
+def test_inner_join_multi_key(spark):
+    a = spark.createDataFrame([(1, "x", "a"), (1, "y", "b")], "k1 int, k2 string, va string")
+    b = spark.createDataFrame([(1, "x", "B"), (2, "x", "C")], "k1 int, k2 string, vb string")
+    assert rows_of(inner_join(a, b, ["k1", "k2"])) == [(1, "x", "a", "B")]
