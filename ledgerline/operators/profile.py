@@ -31,11 +31,12 @@ def partition_profile(df: DataFrame, key: str | None = None, exact_distinct: boo
 def key_skew(df: DataFrame, key: str, digits: int | None = 8) -> DataFrame:
     """Rows per key and each key's share of all rows: ``key, n_rows, share``.
 
-    The total comes from a scalar subquery (one number, broadcast by Spark),
-    not from a global window that would pull every key into one task.
+    The total is a scalar subquery over the per-key counts (one number,
+    broadcast by Spark; the counts' shuffle is reused, so the input is read
+    once), not a global window that would pull every key into one task.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.select(F.sum("n_rows")).scalar()
     share = F.col("n_rows") / total
     if digits is not None:
         share = F.round(share, digits)

@@ -19,13 +19,20 @@ from ledgerline.operators.joins import dimension_join
 from ledgerline.operators.layout import repartition_by
 from ledgerline.operators.profile import key_skew, partition_profile
 from ledgerline.operators.quality import valid_quotes
-from ledgerline.plans.contacts import contacts_with_full_name
+from ledgerline.plans.contacts import contacts_with_full_name, read_contacts
 from ledgerline.plans.customer_transactions import (
     bucketed_customer_transactions,
     join_customer_transactions,
     join_customer_transactions_salted,
 )
-from ledgerline.plans.orders import clean_orders, daily_preview, enrich_orders, orders_daily, read_daily
+from ledgerline.plans.orders import (
+    clean_orders,
+    daily_preview,
+    enrich_orders,
+    orders_daily,
+    read_daily,
+    read_orders_json,
+)
 from ledgerline.plans.ticks import RAW_TICK_SCHEMA, process_ticks, read_processed, PARTITION_COLUMNS
 from ledgerline.session import fresh_dir
 from ledgerline.sinks.files import (
@@ -133,6 +140,15 @@ def q_rt_json_multiline(spark, sf_dir):
     return read_json_documents(spark, path, schema=orders.schema)
 
 
+def q_orders_json_daily(spark, sf_dir):
+    """Orders landed as multi-line JSON documents, read back with the order
+    schema (instant timestamps), then the daily aggregate."""
+    orders = _orders(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    path = fresh_dir(spark, "orders_json")
+    write_json_documents(orders, path, files=4)
+    return orders_daily(read_orders_json(spark, path), round_digits=AVG_DIGITS)
+
+
 # --- ticks -------------------------------------------------------------
 
 def q_tick_quality(spark, sf_dir):
@@ -209,6 +225,13 @@ def q_text_digits(spark, sf_dir):
     return contacts_with_full_name(contacts_from_customer(_table(spark, sf_dir, "customer")))
 
 
+def q_contacts_csv_e2e(spark, sf_dir):
+    """Contacts written as a header CSV, read back as strings, then the contacts job."""
+    path = fresh_dir(spark, "contacts_csv")
+    write_csv(contacts_from_customer(_table(spark, sf_dir, "customer")).drop("c_custkey"), path)
+    return contacts_with_full_name(read_contacts(spark, path))
+
+
 def q_rt_csv(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = fresh_dir(spark, "rt_csv")
@@ -293,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "layout_agg": q_layout_agg,
     "gen": q_gen,
     "rt_parquet_prune": q_rt_parquet_prune,
+    "orders_json_daily": q_orders_json_daily,
     "rt_json_multiline": q_rt_json_multiline,
     "tick_quality": q_tick_quality,
     "tick_latest": q_tick_latest,
@@ -303,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "rt_ndjson": q_rt_ndjson,
     "doc_digits": q_doc_digits,
     "text_digits": q_text_digits,
+    "contacts_csv_e2e": q_contacts_csv_e2e,
     "rt_csv": q_rt_csv,
     "csv_infer": q_csv_infer,
     "compact": q_compact,
@@ -397,6 +422,7 @@ FROM (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM lineitem)""",
     "rt_parquet_prune": _ORDERS_CTE + f"""
 SELECT * FROM daily WHERE trade_date_str BETWEEN '{PRUNE_FROM}' AND '{PRUNE_TO}'""",
     "rt_json_multiline": "SELECT * FROM orders",
+    "orders_json_daily": _ORDERS_CTE + "SELECT * FROM daily",
     "tick_quality": _TICKS_CTE + "SELECT * FROM valid",
     "tick_latest": _TICKS_CTE + "SELECT * FROM latest",
     "tick_latest_maxby": _TICKS_CTE + "SELECT * FROM latest",
@@ -411,6 +437,10 @@ FROM documents WHERE regexp_matches(text, '\d+')""",
     "text_digits": r"""
 SELECT c_custkey, c_name AS last_name, c_mktsegment AS first_name, c_name AS comment,
        c_name || ', ' || c_mktsegment AS full_name
+FROM customer WHERE regexp_matches(c_name, '\d+')""",
+    "contacts_csv_e2e": r"""
+SELECT c_name AS last_name, c_mktsegment AS first_name, c_name AS comment,
+       c_name || ', ' || c_mktsegment AS full_name
 FROM customer WHERE regexp_matches(c_name, '\d+')""",
     "rt_csv": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
