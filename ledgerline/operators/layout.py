@@ -57,6 +57,9 @@ def materialized(df: DataFrame, name: str = "materialized") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BUCKET_SHUFFLES = ("rebalance", "repartition", "none")
+
+
 def write_bucketed(
     df: DataFrame,
     table: str,
@@ -65,19 +68,30 @@ def write_bucketed(
     sort: bool = True,
     path: str | None = None,
     mode: str = "overwrite",
-    one_file_per_bucket: bool = True,
+    shuffle: str = "rebalance",
 ) -> None:
     """``bucketBy(buckets, key).sortBy(key).saveAsTable(table)``.
 
-    ``one_file_per_bucket`` first hash-partitions on ``key`` into ``buckets``
-    partitions -- the same hash Spark uses for bucket ids -- so each task
-    writes one bucket file instead of every task writing a file per bucket.
-    Choose ``buckets`` so one bucket fits a task at the target scale.
+    ``shuffle`` decides how rows reach the writer tasks:
+
+    * ``"rebalance"`` (default) -- a ``REBALANCE(buckets, key)`` hint.  It
+      hashes exactly like the bucket ids, so a task writes files of one
+      bucket; adaptive execution splits an oversized bucket (one hot key)
+      over several tasks and files, and merges small ones.
+    * ``"repartition"`` -- one task and one file per bucket; a hot key makes
+      one task write its whole bucket.
+    * ``"none"`` -- every input task writes a file per bucket it sees.
 
-    ``path`` makes the table external at a known location, so a fresh
-    session can overwrite a table left behind by an earlier run.
+    Readers treat all files of a bucket as one partition, so joins on
+    ``key`` plan no exchange in every case.  ``path`` makes the table
+    external at a known location, so a fresh session can overwrite a table
+    left behind by an earlier run.
     """
-    if one_file_per_bucket:
+    if shuffle not in BUCKET_SHUFFLES:
+        raise ValueError(f"shuffle must be one of {BUCKET_SHUFFLES}")
+    if shuffle == "rebalance":
+        df = df.hint("rebalance", buckets, key)
+    elif shuffle == "repartition":
         df = df.repartition(buckets, key)
     writer = df.write.mode(mode).bucketBy(buckets, key)
     if sort:

@@ -106,3 +106,23 @@ def test_inner_join_multi_key(spark):
     a = spark.createDataFrame([(1, "x", "a"), (1, "y", "b")], "k1 int, k2 string, va string")
     b = spark.createDataFrame([(1, "x", "B"), (2, "x", "C")], "k1 int, k2 string, vb string")
     assert rows_of(inner_join(a, b, ["k1", "k2"])) == [(1, "x", "a", "B")]
+
+
+@pytest.mark.parametrize("shuffle", ["rebalance", "repartition", "none"])
+def test_bucketed_write_shuffles_keep_zero_exchange(spark, scratch, shuffle):
+    from ledgerline.operators.layout import write_bucketed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 3000, 1, 4).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"), "id")
+        name = f"default.bk_{shuffle}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        write_bucketed(df, name, "k", buckets=4, path=f"{scratch}/{shuffle}", shuffle=shuffle)
+        t = spark.table(name)
+        joined = t.join(t.select("k", F.col("id").alias("id2")), "k")
+        assert count_nodes(joined, "Exchange") == 0
+        assert t.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        write_bucketed(df, "default.bk_bad", "k", shuffle="other")
