@@ -8,16 +8,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.functions.columns import day_string, trade_value
 from ledgerline.operators.aggregate import daily_volume_price, top_n
-from ledgerline.operators.layout import repartition_by
+from ledgerline.operators.layout import persisted, repartition_by
+from ledgerline.operators.profile import partition_profile
 from ledgerline.operators.quality import require_not_null
 from ledgerline.sinks.files import write_partitioned
 from ledgerline.sinks.jdbc import write_jdbc
 from ledgerline.sources.files import read_json_documents, read_parquet
+from ledgerline.sources.generate import generate_orders
 
 ORDER_SCHEMA = T.StructType([
     T.StructField("security_id", T.LongType()),
@@ -85,6 +88,21 @@ class OrdersResult:
     parquet_path: str | None
 
 
+def _daily_outputs(
+    cleaned: DataFrame,
+    preview_rows: int,
+    parquet_path: str | None,
+    jdbc: dict | None,
+) -> OrdersResult:
+    daily = daily_volume_price(enrich_orders(cleaned))
+    preview = daily_preview(daily, preview_rows).collect() if preview_rows else []
+    if parquet_path:
+        write_partitioned(daily, parquet_path, ["trade_date_str"])
+    if jdbc:
+        write_jdbc(daily, jdbc["url"], jdbc["table"], jdbc["properties"])
+    return OrdersResult(daily, preview, parquet_path)
+
+
 def run_orders(
     orders: DataFrame,
     partitions: int | None = None,
@@ -103,10 +121,49 @@ def run_orders(
     cleaned = clean_orders(orders)
     if partitions:
         cleaned = repartition_by(cleaned, ["security_id"], partitions)
-    daily = daily_volume_price(enrich_orders(cleaned))
-    preview = daily_preview(daily, preview_rows).collect() if preview_rows else []
-    if parquet_path:
-        write_partitioned(daily, parquet_path, ["trade_date_str"])
-    if jdbc:
-        write_jdbc(daily, jdbc["url"], jdbc["table"], jdbc["properties"])
-    return OrdersResult(daily, preview, parquet_path)
+    return _daily_outputs(cleaned, preview_rows, parquet_path, jdbc)
+
+
+def run_orders_json(
+    spark: SparkSession,
+    path: str,
+    preview_rows: int = 20,
+    parquet_path: str | None = None,
+    jdbc: dict | None = None,
+) -> OrdersResult:
+    """Orders from multi-line JSON documents (explicit schema, no inference pass)."""
+    return run_orders(read_orders_json(spark, path), None, preview_rows, parquet_path, jdbc)
+
+
+@dataclass
+class GeneratedOrdersResult:
+    rows: int
+    partitions: list
+    preview: list
+    parquet_path: str | None
+
+
+def run_generated_orders(
+    spark: SparkSession,
+    n: int = 2_000_000,
+    partitions: int = 50,
+    level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    preview_rows: int = 20,
+    parquet_path: str | None = None,
+    jdbc: dict | None = None,
+    start: str = "2025-01-01 00:00:00",
+) -> GeneratedOrdersResult:
+    """Synthetic orders -> clean -> hash-partition by security -> cache ->
+    partition profile -> daily aggregate, preview and sinks.
+
+    The cache is filled once (``count``) and serves the profile, the preview
+    and every sink; it is released at the end.  The profile has one row per
+    partition, so bringing it to the driver is bounded by ``partitions``.
+    """
+    generated = generate_orders(spark, n, start=start)
+    cleaned = repartition_by(clean_orders(generated), ["security_id"], partitions)
+    with persisted(cleaned, level):
+        rows = cleaned.count()
+        profile = partition_profile(cleaned, "security_id").orderBy("partition").collect()
+        out = _daily_outputs(cleaned, preview_rows, parquet_path, jdbc)
+    return GeneratedOrdersResult(rows, profile, out.preview, parquet_path)
