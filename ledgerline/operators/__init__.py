@@ -1,6 +1,7 @@
 """Relational operators composed from Spark DataFrame built-ins."""
 
 from ledgerline.operators.aggregate import (
+    collect_bounded,
     count_rows,
     daily_volume_price,
     distinct_rows,
@@ -34,7 +35,7 @@ from ledgerline.operators.quality import (
 )
 
 __all__ = [
-    "bucketed_join", "checkpointed", "coalesce_to", "count_rows", "daily_volume_price",
+    "bucketed_join", "checkpointed", "coalesce_to", "collect_bounded", "count_rows", "daily_volume_price",
     "dimension_join", "distinct_rows", "filter_matches", "fits_broadcast", "hot_keys",
     "inner_join", "key_skew", "latest_per_key", "latest_per_key_agg", "materialized",
     "partition_profile", "persisted", "quote_is_valid", "repartition_by", "require_not_null",

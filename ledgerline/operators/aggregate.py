@@ -47,6 +47,18 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
+def collect_bounded(df: DataFrame, max_rows: int) -> list:
+    """Bring at most ``max_rows`` rows to the driver; more is an error.
+
+    Reads ``max_rows + 1`` rows at most, so an unexpectedly large result
+    fails fast instead of filling the driver.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it to a sink instead")
+    return rows
+
+
 def count_rows(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     """Global row count as a one-row DataFrame (lazy)."""
     return df.agg(F.count(F.lit(1)).alias(alias))

@@ -11,6 +11,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.aggregate import collect_bounded
+
 
 def partition_profile(df: DataFrame, key: str | None = None, exact_distinct: bool = False) -> DataFrame:
     """One row per input partition: ``partition, rows[, distinct_keys, min_key, max_key]``.
@@ -54,4 +56,4 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
     bound = math.floor(1 / min_share)
     report = key_skew(df, key, digits=None)
     hot = report.filter(F.col(key).isNotNull() & (F.col("share") >= min_share))
-    return [row[0] for row in hot.select(key).limit(bound).collect()]
+    return [row[0] for row in collect_bounded(hot.select(key), bound)]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.functions.columns import day_string, trade_value
-from ledgerline.operators.aggregate import daily_volume_price, top_n
+from ledgerline.operators.aggregate import collect_bounded, daily_volume_price, top_n
 from ledgerline.operators.layout import persisted, repartition_by
 from ledgerline.operators.profile import partition_profile
 from ledgerline.operators.quality import require_not_null
@@ -164,6 +164,6 @@ def run_generated_orders(
     cleaned = repartition_by(clean_orders(generated), ["security_id"], partitions)
     with persisted(cleaned, level):
         rows = cleaned.count()
-        profile = partition_profile(cleaned, "security_id").orderBy("partition").collect()
+        profile = collect_bounded(partition_profile(cleaned, "security_id").orderBy("partition"), partitions)
         out = _daily_outputs(cleaned, preview_rows, parquet_path, jdbc)
     return GeneratedOrdersResult(rows, profile, out.preview, parquet_path)

@@ -142,3 +142,17 @@ def test_aggregate_helpers(spark):
 def test_jdbc_options_bound_connections():
     opts = jdbc_write_options(num_partitions=4)
     assert opts["numPartitions"] == "4" and opts["truncate"] == "true"
+
+
+def test_collect_bounded(spark):
+    from ledgerline.operators.aggregate import collect_bounded
+    assert len(collect_bounded(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError):
+        collect_bounded(spark.range(6), 5)
+
+
+def test_object_store_helpers():
+    from ledgerline.sources.files import abfss_conf, abfss_uri
+    assert abfss_uri("raw", "acct", "/year=2025/") == "abfss://raw@acct.dfs.core.windows.net/year=2025/"
+    conf = abfss_conf("acct", "k")
+    assert conf["spark.hadoop.fs.azure.account.key.acct.dfs.core.windows.net"] == "k"
