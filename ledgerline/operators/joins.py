@@ -124,6 +124,13 @@ def dimension_join(
     return fact.join(dim, on, how)
 
 
+def row_salt(df: DataFrame, is_hot: Column, salt_buckets: int) -> Column:
+    """Salt in ``[0, salt_buckets)`` for hot rows, 0 for the rest: a hash of
+    the input partition id and every column, so it is stable under recompute."""
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    return F.when(is_hot, F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0).cast("long"))
+
+
 def skew_join(
     big: DataFrame,
     other: DataFrame,
@@ -136,20 +143,18 @@ def skew_join(
     """Inner join that splits hot keys of ``big`` over ``salt_buckets`` tasks.
 
     Keys holding at least ``min_share`` of ``big`` (a bounded list, see
-    :func:`hot_keys`) get a salt from a hash of the whole row, which is the
-    same when a lost task is recomputed; the matching ``other`` rows are
-    copied once per salt.  Other keys keep salt 0.  The result equals
+    :func:`hot_keys`) get a salt from a hash of the whole row and its input
+    partition.  Exact copies of one row therefore spread over the salts as
+    they spread over input splits, and a recomputed task (same split, same
+    rows) makes the same choice.  The matching ``other`` rows are copied
+    once per salt.  Other keys keep salt 0.  The result equals
     :func:`inner_join` (``big`` plays the left side).
     """
     hot = hot_keys(big, on, min_share)
     if not hot:
         return inner_join(big, other, on, big_cols, other_cols)
     is_hot = F.col(on).isin(hot)
-    big_salted = big.withColumn(
-        _SALT,
-        F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets)))
-        .otherwise(F.lit(0).cast("long")),
-    )
+    big_salted = big.withColumn(_SALT, row_salt(big, is_hot, salt_buckets))
     other_salted = other.withColumn(
         _SALT,
         F.explode(

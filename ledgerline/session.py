@@ -47,7 +47,26 @@ def build_session(
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    _size_listing(spark)
+    return spark
+
+
+_LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def _size_listing(spark: SparkSession) -> None:
+    """Size the parallel file-listing job to the cluster unless configured.
+
+    Reading a Hive-layout dataset with thousands of ``col=value/`` folders
+    lists them in a Spark job with one task per folder (up to 10 000).  Two
+    tasks per core keeps every core busy while each task lists a batch of
+    folders, instead of thousands of tasks that each list one.
+    """
+    sc = spark.sparkContext
+    if sc.getConf().contains(_LISTING_KEY):
+        return
+    spark.conf.set(_LISTING_KEY, str(min(10_000, 2 * sc.defaultParallelism)))
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:

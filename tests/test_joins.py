@@ -71,6 +71,16 @@ def test_skew_join_spreads_hot_key(spark):
     assert out.filter(F.col("customer_id") == "hot").count() == 400
 
 
+def test_salt_spreads_exact_copies(spark):
+    from ledgerline.operators.joins import row_salt
+    # one row copied 800 times over 8 input splits: a "group of copies" hot key
+    copies = spark.range(0, 800, 1, 8).select(F.lit("hot").alias("customer_id"), F.lit(1.0).alias("amount"))
+    salted = copies.select(row_salt(copies, F.lit(True), 8).alias("salt"))
+    assert salted.distinct().count() > 1
+    # recomputation gives the same salts
+    assert sorted(salted.collect()) == sorted(salted.collect())
+
+
 def test_bucketed_join_no_exchange_and_equal(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
