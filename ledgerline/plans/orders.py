@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.columns import day_string, trade_value
@@ -43,13 +44,28 @@ def enrich_orders(orders: DataFrame, ts: str = "timestamp") -> DataFrame:
     })
 
 
-def orders_daily(orders: DataFrame, round_digits: int | None = None) -> DataFrame:
+_TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def orders_daily(orders: DataFrame, round_digits: int | None = None, ts: str = "timestamp") -> DataFrame:
     """``security_id, trade_date_str, total_volume, avg_price``.
 
-    ``trade_value`` is computed as in the reference and pruned by the
-    optimizer because the aggregate does not read it.
+    For a timestamp column the groups are formed on the calendar date (a
+    4-byte value) and ``trade_date_str`` is formatted once per group after
+    the final aggregate.  The date -> ``yyyy-MM-dd`` mapping is one-to-one, so
+    the groups are the reference's, while hashing, the shuffled rows and the
+    string formatting shrink from per order to per group.  Text timestamps
+    go through the per-row day string, as in the reference.
     """
-    return daily_volume_price(enrich_orders(clean_orders(orders)), round_digits=round_digits)
+    cleaned = clean_orders(orders)
+    if not isinstance(cleaned.schema[ts].dataType, _TEMPORAL):
+        return daily_volume_price(enrich_orders(cleaned, ts), round_digits=round_digits)
+    by_date = daily_volume_price(
+        cleaned.withColumn("trade_date", F.to_date(ts)), day="trade_date", round_digits=round_digits
+    )
+    return by_date.select(
+        "security_id", day_string("trade_date").alias("trade_date_str"), "total_volume", "avg_price"
+    )
 
 
 def daily_preview(daily: DataFrame, n: int = 20) -> DataFrame:
@@ -94,7 +110,7 @@ def _daily_outputs(
     parquet_path: str | None,
     jdbc: dict | None,
 ) -> OrdersResult:
-    daily = daily_volume_price(enrich_orders(cleaned))
+    daily = orders_daily(cleaned)
     preview = daily_preview(daily, preview_rows).collect() if preview_rows else []
     if parquet_path:
         write_partitioned(daily, parquet_path, ["trade_date_str"])

@@ -67,6 +67,14 @@ def test_iso_string_timestamp_is_accepted(spark):
     assert orders_daily(df).first().trade_date_str == "2025-03-01"
 
 
+def test_date_grouping_equals_day_string_grouping(orders):
+    # timestamp input groups on the date; text input groups on the per-row string
+    as_text = orders.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    assert sorted(orders_daily(orders).collect()) == sorted(orders_daily(as_text).collect())
+    plan = physical_plan(orders_daily(orders))
+    assert "hashpartitioning(security_id" in plan and "trade_date#" in plan
+
+
 def test_preview_uses_total_order(orders):
     daily = orders_daily(orders)
     top = top_n(daily, 2, ["trade_date_str", "security_id"]).collect()
