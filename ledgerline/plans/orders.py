@@ -6,6 +6,7 @@ sum/avg per (security, day) -> ordered preview / partitioned Parquet / JDBC.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -111,11 +112,16 @@ def _daily_outputs(
     jdbc: dict | None,
 ) -> OrdersResult:
     daily = orders_daily(cleaned)
-    preview = daily_preview(daily, preview_rows).collect() if preview_rows else []
-    if parquet_path:
-        write_partitioned(daily, parquet_path, ["trade_date_str"])
-    if jdbc:
-        write_jdbc(daily, jdbc["url"], jdbc["table"], jdbc["properties"])
+    outputs = bool(preview_rows) + bool(parquet_path) + bool(jdbc)
+    # Several outputs read the aggregate, not the orders: keep it between them
+    # (it is far smaller than the input) instead of re-reading and re-shuffling.
+    scope = persisted(daily) if outputs > 1 else nullcontext(daily)
+    with scope:
+        preview = daily_preview(daily, preview_rows).collect() if preview_rows else []
+        if parquet_path:
+            write_partitioned(daily, parquet_path, ["trade_date_str"])
+        if jdbc:
+            write_jdbc(daily, jdbc["url"], jdbc["table"], jdbc["properties"])
     return OrdersResult(daily, preview, parquet_path)
 
 

@@ -23,6 +23,7 @@ from ledgerline.functions.columns import (
     to_double,
 )
 from ledgerline.operators.dedup import latest_per_key
+from ledgerline.operators.layout import persisted
 from ledgerline.operators.quality import quote_is_valid, split_corrupt
 from ledgerline.sinks.files import is_empty, write_compacted, write_partitioned
 from ledgerline.sources.files import read_ndjson_tree, read_parquet, string_schema
@@ -168,9 +169,12 @@ def run_ticks(
     if is_empty(raw):
         return TicksResult(False, 0, quarantined, output_path, None)
     processed = process_ticks(raw, strict, ingest_ts, tie_break=tie_break, null_keys=null_keys)
-    if is_empty(processed):
-        return TicksResult(False, 0, quarantined, output_path, None)
-    write_partitioned(processed, output_path, PARTITION_COLUMNS)
+    # The empty check needs the whole shuffle and window; keep the deduplicated
+    # rows (one per sequence) so the write does not run the job a second time.
+    with persisted(processed):
+        if is_empty(processed):
+            return TicksResult(False, 0, quarantined, output_path, None)
+        write_partitioned(processed, output_path, PARTITION_COLUMNS)
     written = read_parquet(spark, output_path, schema=processed.schema)
     rows = written.count()
     if export_path:
