@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 def jdbc_write_options(
     num_partitions: int = 8,
     batch_size: int = 10_000,
-    truncate: bool = True,
+    truncate: bool = False,
     isolation_level: str | None = None,
 ) -> dict[str, str]:
     opts = {
         "numPartitions": str(num_partitions),
         "batchsize": str(batch_size),
-        # with overwrite: TRUNCATE keeps the table definition instead of DROP + CREATE
+        # overwrite drops and recreates the table (the reference's behaviour);
+        # truncate=True keeps the table definition (indexes, grants) instead
         "truncate": str(truncate).lower(),
     }
     if isolation_level:
@@ -36,7 +37,7 @@ def write_jdbc(
     mode: str = "overwrite",
     num_partitions: int = 8,
     batch_size: int = 10_000,
-    truncate: bool = True,
+    truncate: bool = False,
 ) -> None:
     """``df.write.mode(mode).jdbc(url, table, properties)`` with bounded connections."""
     writer = df.write.mode(mode).options(

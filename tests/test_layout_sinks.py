@@ -141,7 +141,8 @@ def test_aggregate_helpers(spark):
 
 def test_jdbc_options_bound_connections():
     opts = jdbc_write_options(num_partitions=4)
-    assert opts["numPartitions"] == "4" and opts["truncate"] == "true"
+    assert opts["numPartitions"] == "4" and opts["truncate"] == "false"   # overwrite = drop + recreate
+    assert jdbc_write_options(truncate=True)["truncate"] == "true"
 
 
 def test_collect_bounded(spark):
