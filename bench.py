@@ -25,14 +25,15 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from pyspark import StorageLevel  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline.plans import registry as R  # noqa: E402
 from ledgerline.plans.customer_transactions import KEY, write_bucketed_pair  # noqa: E402
 from ledgerline.operators.joins import bucketed_join  # noqa: E402
-from ledgerline.plans.orders import clean_orders, orders_daily  # noqa: E402
+from ledgerline.plans.orders import clean_orders, orders_daily, run_generated_orders, run_orders_json  # noqa: E402
 from ledgerline.plans.ticks import PARTITION_COLUMNS  # noqa: E402
 from ledgerline.session import build_session, fresh_dir  # noqa: E402
-from ledgerline.sinks.files import write_partitioned  # noqa: E402
+from ledgerline.sinks.files import write_json_documents, write_partitioned  # noqa: E402
 
 
 def run_noop(df) -> None:
@@ -73,6 +74,14 @@ def main() -> None:
 
     timed("cache_fill_and_agg", cache_fill)
     timed("layout_agg", lambda: run_noop(R.q_layout_agg(spark, sf_dir)))
+    # whole jobs: generated orders (cache fill, partition profile, aggregate, top 20), sized by lineitem
+    n_orders = R._table(spark, sf_dir, "lineitem").count()
+    timed("generated_orders_job", lambda: run_generated_orders(spark, n_orders, partitions=50, preview_rows=20))
+    # file-based orders job: multi-line JSON documents (landed once, untimed) -> aggregate -> top 20
+    json_path = fresh_dir(spark, "bench_orders_json")
+    write_json_documents(R._orders(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp")),
+                         json_path, files=cpus)
+    timed("orders_json_job", lambda: run_orders_json(spark, json_path, preview_rows=20))
     timed("daily_parquet_write", lambda: write_partitioned(
         R.q_order_daily_agg(spark, sf_dir), fresh_dir(spark, "bench_daily"), ["trade_date_str"]))
 
