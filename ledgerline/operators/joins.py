@@ -63,14 +63,45 @@ def bucketed_join(
     on: str | Sequence[str],
     left_cols: Sequence[str] | None = None,
     right_cols: Sequence[str] | None = None,
+    hot_side: str | None = None,
+    min_share: float = 0.01,
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """:func:`inner_join` of two catalog tables bucketed the same way on ``on``.
 
     Both scans report their bucketing as output partitioning, so the
     sort-merge join needs no exchange on either side (see
     :func:`ledgerline.operators.layout.write_bucketed`).
+
+    A bucket is read as one partition, so a key holding a large share of a
+    side would make one join task do that share of the work, and adaptive
+    skew splitting does not apply without an exchange.  With ``hot_side``
+    (``"left"`` or ``"right"``, one key column) keys holding at least
+    ``min_share`` of that side are found first -- a per-key count that needs
+    no exchange on a bucketed table -- and joined apart with
+    :func:`skew_join`'s salting; all other keys keep the exchange-free
+    bucketed join.  The union equals the plain join.
     """
-    return inner_join(spark.table(left_table), spark.table(right_table), on, left_cols, right_cols)
+    left, right = spark.table(left_table), spark.table(right_table)
+    if hot_side is None:
+        return inner_join(left, right, on, left_cols, right_cols)
+    if hot_side not in ("left", "right"):
+        raise ValueError("hot_side must be 'left', 'right' or None")
+    keys = _keys(on)
+    if len(keys) != 1:
+        raise ValueError("hot-key splitting needs a single join key")
+    key = keys[0]
+    big = right if hot_side == "right" else left
+    hot = hot_keys(big, key, min_share)
+    if not hot:
+        return inner_join(left, right, on, left_cols, right_cols)
+    is_hot = F.col(key).isin(hot)
+    cold = inner_join(left.filter(~is_hot), right.filter(~is_hot), key, left_cols, right_cols)
+    if hot_side == "right":
+        hot_part = _salted_join(right.filter(is_hot), left.filter(is_hot), key, hot, right_cols, left_cols, salt_buckets)
+    else:
+        hot_part = _salted_join(left.filter(is_hot), right.filter(is_hot), key, hot, left_cols, right_cols, salt_buckets)
+    return cold.unionByName(hot_part.select(*cold.columns))
 
 
 def _type_width(dt: T.DataType, string_bytes: int) -> int:
@@ -153,6 +184,20 @@ def skew_join(
     hot = hot_keys(big, on, min_share)
     if not hot:
         return inner_join(big, other, on, big_cols, other_cols)
+    return _salted_join(big, other, on, hot, big_cols, other_cols, salt_buckets)
+
+
+def _salted_join(
+    big: DataFrame,
+    other: DataFrame,
+    on: str,
+    hot: list,
+    big_cols: Sequence[str] | None,
+    other_cols: Sequence[str] | None,
+    salt_buckets: int,
+) -> DataFrame:
+    """Join on ``(on, salt)``: hot ``big`` rows spread over the salts, the
+    matching ``other`` rows copied once per salt; other keys keep salt 0."""
     is_hot = F.col(on).isin(hot)
     big_salted = big.withColumn(_SALT, row_salt(big, is_hot, salt_buckets))
     other_salted = other.withColumn(

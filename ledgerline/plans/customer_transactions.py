@@ -78,10 +78,19 @@ def bucketed_customer_transactions(
     database: str = "ledgerline_demo",
     buckets: int = 8,
     base_path: str | None = None,
+    min_share: float | None = None,
+    salt_buckets: int = 32,
 ) -> DataFrame:
-    """Bucket both sides, then join the tables: no exchange on either side."""
+    """Bucket both sides, then join the tables: no exchange on either side.
+
+    With ``min_share``, customers holding that share of all transactions
+    are joined apart over ``salt_buckets`` tasks (see :func:`bucketed_join`).
+    """
     left, right = write_bucketed_pair(spark, customers, transactions, database, buckets, base_path)
-    return bucketed_join(spark, left, right, KEY, _LEFT, _RIGHT)
+    if min_share is None:
+        return bucketed_join(spark, left, right, KEY, _LEFT, _RIGHT)
+    return bucketed_join(spark, left, right, KEY, _LEFT, _RIGHT, hot_side="right",
+                         min_share=min_share, salt_buckets=salt_buckets)
 
 
 @dataclass

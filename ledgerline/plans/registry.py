@@ -265,6 +265,13 @@ def q_join_bucketed(spark, sf_dir):
     return bucketed_customer_transactions(spark, _customers(spark, sf_dir), _transactions(spark, sf_dir))
 
 
+def q_join_bucketed_skew(spark, sf_dir):
+    # co-bucketed join; customers with at least 0.1 % of all transactions are joined apart, salted
+    return bucketed_customer_transactions(
+        spark, _customers(spark, sf_dir), _transactions(spark, sf_dir), min_share=0.001, salt_buckets=8
+    )
+
+
 def q_join_skew(spark, sf_dir):
     # customers with at least 0.1 % of all transactions are salted
     return join_customer_transactions_salted(
@@ -333,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "compact": q_compact,
     "join_inner": q_join_inner,
     "join_bucketed": q_join_bucketed,
+    "join_bucketed_skew": q_join_bucketed_skew,
     "join_skew": q_join_skew,
     "dimension_join": q_dimension_join,
     "rows_source": q_rows_source,
@@ -449,6 +457,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARC
     "compact": "SELECT * FROM customer",
     "join_inner": _JOIN_SQL,
     "join_bucketed": _JOIN_SQL,
+    "join_bucketed_skew": _JOIN_SQL,
     "join_skew": _JOIN_SQL,
     "dimension_join": """
 SELECT c.c_custkey AS customer_id, c.c_name AS customer_name, c.c_mktsegment AS segment,

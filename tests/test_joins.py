@@ -96,6 +96,23 @@ def test_bucketed_join_no_exchange_and_equal(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_bucketed_join_splits_hot_key(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txns = transactions(spark, hot_rows=400)        # "hot" holds almost all transactions
+        out = bucketed_customer_transactions(spark, customers(spark), txns, buckets=4,
+                                             min_share=0.3, salt_buckets=8)
+        plan = physical_plan(out)                        # before execution: the initial plan only
+        assert "Union" in plan and plan.count("SortMergeJoin") == 2
+        # the cold keys still join bucket to bucket; the only exchanges are the
+        # two (key, salt) shuffles of the hot part
+        assert count_nodes(out, "Exchange") == 2
+        assert plan.count("hashpartitioning(customer_id") == 2 and "__ledgerline_salt" in plan
+        assert rows_of(out) == rows_of(join_customer_transactions(customers(spark), txns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_dimension_join_broadcasts_only_within_bound(spark):
     fact = spark.range(1000).select(F.col("id"), (F.col("id") % 10).alias("k"))
     dim = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
