@@ -45,6 +45,8 @@ def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="ledgerline")
     parser.add_argument("--master", default=None, help="leave unset under spark-submit")
     parser.add_argument("--shuffle-partitions", type=int, default=None)
+    parser.add_argument("--input-gb", type=float, default=None,
+                        help="expected input size; sizes shuffle partitions and scan splits")
     sub = parser.add_subparsers(dest="job", required=True)
 
     p = sub.add_parser("contacts", help="CSV -> full name + digit filter -> JDBC table")
@@ -127,8 +129,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if own:
         from ledgerline.session import build_session
 
+        input_bytes = int(args.input_gb * (1 << 30)) if args.input_gb else None
         spark = build_session(args.master, app_name=f"ledgerline-{args.job}",
-                              shuffle_partitions=args.shuffle_partitions)
+                              shuffle_partitions=args.shuffle_partitions, input_bytes=input_bytes)
     try:
         result = run(args, spark)
         print(json.dumps(result, default=str))

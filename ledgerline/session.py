@@ -26,22 +26,55 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+MIB = 1024 * 1024
+
+
+def scale_conf(
+    input_bytes: int,
+    shuffle_partition_bytes: int = 256 * MIB,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition sizing for a job that reads about ``input_bytes``.
+
+    * ``spark.sql.shuffle.partitions``: enough that a shuffle as large as the
+      input lands in about ``shuffle_partition_bytes`` per partition (the
+      worst case; adaptive execution coalesces the smaller shuffles);
+    * ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: the same target,
+      so coalesced and split partitions also fit in an executor's memory;
+    * ``spark.sql.files.maxPartitionBytes``: 128 MiB scan splits up to
+      1 TB, 512 MiB beyond, keeping a 100 TB scan near 200 000 tasks.
+    """
+    partitions = -(-input_bytes // shuffle_partition_bytes)
+    partitions = max(200, min(max_shuffle_partitions, partitions))
+    split = 128 * MIB if input_bytes <= 1 << 40 else 512 * MIB
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerline",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Return a session with :data:`DEFAULT_CONF` plus ``conf``.
 
     ``master`` is left to the submitter (``spark-submit --master``) when
-    ``None``.  ``shuffle_partitions`` maps to ``spark.sql.shuffle.partitions``;
-    with adaptive execution on it is an upper bound that AQE coalesces down.
+    ``None``.  ``input_bytes`` sizes partitions with :func:`scale_conf`.
+    ``shuffle_partitions`` maps to ``spark.sql.shuffle.partitions``; with
+    adaptive execution on it is an upper bound that AQE coalesces down.
+    Explicit ``shuffle_partitions`` and ``conf`` win over the sizing.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if input_bytes:
+        settings.update(scale_conf(input_bytes))
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

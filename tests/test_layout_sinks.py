@@ -157,3 +157,14 @@ def test_object_store_helpers():
     assert abfss_uri("raw", "acct", "/year=2025/") == "abfss://raw@acct.dfs.core.windows.net/year=2025/"
     conf = abfss_conf("acct", "k")
     assert conf["spark.hadoop.fs.azure.account.key.acct.dfs.core.windows.net"] == "k"
+
+
+def test_scale_conf_sizes_partitions():
+    from ledgerline.session import scale_conf
+    big = scale_conf(100 * (1 << 40))                   # 100 TiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000          # capped
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * (1 << 20)
+    mid = scale_conf(1 << 40)                           # 1 TiB: 4096 x 256 MiB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096
+    assert int(mid["spark.sql.files.maxPartitionBytes"]) == 128 * (1 << 20)
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
