@@ -64,9 +64,25 @@ def count_rows(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
-def sort_by(df: DataFrame, order: Sequence[ColumnLike]) -> DataFrame:
-    """Global sort (range-partitioned shuffle, then a local sort per range)."""
-    return df.orderBy(*[col_of(c) for c in order])
+_TIE = "__ledgerline_tie"
+
+
+def sort_by(df: DataFrame, order: Sequence[ColumnLike], split_ties: bool = True) -> DataFrame:
+    """Global sort (range-partitioned shuffle, then a local sort per range).
+
+    A range partitioner cannot cut between equal sort keys, so one value
+    holding a third of all rows would be sorted by one task.  With
+    ``split_ties`` the ordering ends in a hash of the input partition and the
+    whole row: equal keys are cut into ranges like any others, and exact
+    copies of a row spread as they spread over input splits.  Rows equal on
+    ``order`` then come in hash order (their order is undefined anyway);
+    the hash is the same when a task is recomputed.
+    """
+    ordering = [col_of(c) for c in order]
+    if not split_ties:
+        return df.orderBy(*ordering)
+    tie = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    return df.withColumn(_TIE, tie).orderBy(*ordering, F.col(_TIE)).drop(_TIE)
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[ColumnLike]) -> DataFrame:

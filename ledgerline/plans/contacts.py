@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import contains_match, full_name
+from ledgerline.operators.aggregate import sort_by
 from ledgerline.sinks.jdbc import write_jdbc
 from ledgerline.sources.files import read_csv, string_schema
 
@@ -26,7 +27,7 @@ def contacts_with_full_name(
         contains_match("comment", pattern)
     )
     if sort:
-        out = out.orderBy(F.col("last_name").asc())
+        out = sort_by(out, [F.col("last_name").asc()])
     return out
 
 

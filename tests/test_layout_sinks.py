@@ -168,3 +168,22 @@ def test_scale_conf_sizes_partitions():
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096
     assert int(mid["spark.sql.files.maxPartitionBytes"]) == 128 * (1 << 20)
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_sort_splits_a_hot_value_over_ranges(spark):
+    # one value holds most rows, spread over 8 input splits as exact copies
+    hot = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    cold = spark.range(0, 400, 1, 2).select(F.col("id").cast("string").alias("k"), F.lit(2).alias("v"))
+    df = hot.unionByName(cold)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ordered = sort_by(df, ["k"])
+        keys = [r.k for r in ordered.collect()]
+        assert keys == sorted(keys) and len(keys) == 4400
+        parts = ordered.select(F.spark_partition_id().alias("p"), "k").filter(F.col("k") == "hot")
+        assert parts.select("p").distinct().count() > 1          # the hot value is cut into ranges
+        plain = sort_by(df, ["k"], split_ties=False)
+        plain_parts = plain.select(F.spark_partition_id().alias("p"), "k").filter(F.col("k") == "hot")
+        assert plain_parts.select("p").distinct().count() == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
