@@ -119,15 +119,27 @@ def _bracket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
         yield pd.DataFrame({"value": ["]"]})
 
 
-def write_json_documents(df: DataFrame, path: str, files: int = 1, mode: str = "overwrite") -> None:
-    """Multi-line JSON: ``files`` files, each one JSON array of row objects.
+def write_json_documents(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    mode: str = "overwrite",
+    rows_per_file: int = 1_000_000,
+) -> int:
+    """Multi-line JSON: files that each hold one JSON array of row objects.
 
-    Rows are rendered by ``to_json`` in the JVM; a streaming Arrow step only
-    adds the brackets and commas, holding one batch at a time.
+    ``files`` fixes the file count; by default it is ``ceil(rows /
+    rows_per_file)``, so every file (and the one task a reader spends on
+    it) stays bounded.  Rows are rendered by ``to_json`` in the JVM; a
+    streaming Arrow step only adds the brackets and commas, holding one
+    batch at a time.  Returns the number of files aimed at.
     """
+    if files is None:
+        files = max(1, math.ceil(df.count() / rows_per_file))
     lines = df.select(F.to_json(F.struct(*df.columns), _JSON_TIME_OPTIONS).alias("value"))
     documents = lines.repartition(files).mapInPandas(_bracket_documents, "value string")
     documents.write.mode(mode).text(path)
+    return files
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -80,6 +80,11 @@ def test_json_documents_round_trip(spark, scratch):
     assert len(glob.glob(os.path.join(path, "part-*"))) == 3
     back = read_json_documents(spark, path, schema=df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
+    # sized by rows: 50 rows at 20 per file -> 3 files
+    sized = os.path.join(scratch, "docs_sized")
+    assert write_json_documents(df, sized, rows_per_file=20) == 3
+    assert len(glob.glob(os.path.join(sized, "part-*"))) == 3
+    assert sorted(read_json_documents(spark, sized, schema=df.schema).collect()) == sorted(df.collect())
 
 
 def test_ndjson_round_trip_keeps_micros(spark, scratch):
