@@ -30,7 +30,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from ledgerline.plans import registry as R  # noqa: E402
 from ledgerline.plans.customer_transactions import KEY, write_bucketed_pair  # noqa: E402
 from ledgerline.operators.joins import bucketed_join  # noqa: E402
-from ledgerline.plans.orders import clean_orders, orders_daily, run_generated_orders, run_orders_json  # noqa: E402
+from ledgerline.plans.orders import (  # noqa: E402
+    clean_orders, layout_orders, orders_daily, run_generated_orders, run_orders_json,
+)
 from ledgerline.plans.ticks import PARTITION_COLUMNS  # noqa: E402
 from ledgerline.session import build_session, fresh_dir  # noqa: E402
 from ledgerline.sinks.files import write_json_documents, write_partitioned  # noqa: E402
@@ -64,7 +66,7 @@ def main() -> None:
     timed("order_daily_top20", lambda: R.q_order_daily_agg_topk(spark, sf_dir).collect())
 
     def cache_fill():
-        cleaned = clean_orders(R._orders(spark, sf_dir)).repartition(50, "security_id")
+        cleaned = layout_orders(clean_orders(R._orders(spark, sf_dir)), 50)
         cleaned.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             cleaned.count()

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.columns import day_string, trade_value
 from ledgerline.operators.aggregate import collect_bounded, daily_volume_price, top_n
 from ledgerline.operators.layout import persisted, repartition_by
-from ledgerline.operators.profile import partition_profile
+from ledgerline.operators.profile import hot_keys, partition_profile
 from ledgerline.operators.quality import require_not_null
 from ledgerline.sinks.files import write_partitioned
 from ledgerline.sinks.jdbc import write_jdbc
@@ -125,24 +125,50 @@ def _daily_outputs(
     return OrdersResult(daily, preview, parquet_path)
 
 
+LAYOUTS = ("auto", "key", "even")
+
+
+def layout_orders(cleaned: DataFrame, partitions: int, layout: str = "auto") -> DataFrame:
+    """Spread cleaned orders over ``partitions`` partitions.
+
+    * ``"key"`` -- hash by ``security_id`` (the reference): the daily
+      aggregate reuses the partitioning and plans no further exchange, but
+      all orders of one security share one partition and one task;
+    * ``"even"`` -- evenly sized partitions; the aggregate combines each
+      partition map-side, then shuffles only the partial sums;
+    * ``"auto"`` -- ``"key"`` unless a security holds at least
+      ``1 / partitions`` of all orders (more than an average partition), found
+      by a per-key count over the key column (a bounded list of keys).
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    if layout == "auto":
+        layout = "even" if hot_keys(cleaned, "security_id", 1 / partitions) else "key"
+    if layout == "key":
+        return repartition_by(cleaned, ["security_id"], partitions)
+    return cleaned.repartition(partitions)
+
+
 def run_orders(
     orders: DataFrame,
     partitions: int | None = None,
     preview_rows: int = 20,
     parquet_path: str | None = None,
     jdbc: dict | None = None,
+    layout: str = "auto",
 ) -> OrdersResult:
     """The whole orders job.
 
-    ``partitions`` hash-partitions the cleaned orders by ``security_id`` first;
-    the aggregate on (security_id, day) then reuses that partitioning and
-    plans no second exchange.  The preview is a top-n, never a full sort.
-    ``parquet_path`` writes the result partitioned by day; ``jdbc`` (``url``,
-    ``table``, ``properties``) writes it to a database table.
+    ``partitions`` lays the cleaned orders out first (:func:`layout_orders`):
+    by ``security_id`` the aggregate on (security_id, day) reuses that
+    partitioning and plans no second exchange.  The preview is a top-n,
+    never a full sort.  ``parquet_path`` writes the result partitioned by
+    day; ``jdbc`` (``url``, ``table``, ``properties``) writes it to a
+    database table.
     """
     cleaned = clean_orders(orders)
     if partitions:
-        cleaned = repartition_by(cleaned, ["security_id"], partitions)
+        cleaned = layout_orders(cleaned, partitions, layout)
     return _daily_outputs(cleaned, preview_rows, parquet_path, jdbc)
 
 
@@ -174,8 +200,9 @@ def run_generated_orders(
     parquet_path: str | None = None,
     jdbc: dict | None = None,
     start: str = "2025-01-01 00:00:00",
+    layout: str = "auto",
 ) -> GeneratedOrdersResult:
-    """Synthetic orders -> clean -> hash-partition by security -> cache ->
+    """Synthetic orders -> clean -> lay out (by security unless one is hot) -> cache ->
     partition profile -> daily aggregate, preview and sinks.
 
     The cache is filled once (``count``) and serves the profile, the preview
@@ -183,7 +210,7 @@ def run_generated_orders(
     partition, so bringing it to the driver is bounded by ``partitions``.
     """
     generated = generate_orders(spark, n, start=start)
-    cleaned = repartition_by(clean_orders(generated), ["security_id"], partitions)
+    cleaned = layout_orders(clean_orders(generated), partitions, layout)
     with persisted(cleaned, level):
         rows = cleaned.count()
         profile = collect_bounded(partition_profile(cleaned, "security_id").orderBy("partition"), partitions)

@@ -99,6 +99,25 @@ def test_repartition_by_security_is_reused(spark):
     assert count_nodes(res.daily, "Exchange") == 1
 
 
+def test_auto_layout_spreads_a_hot_security(spark):
+    from ledgerline.plans.orders import layout_orders
+    gen = generate_orders(spark, 2000, securities=10, partitions=4)
+    # one security takes half of all orders
+    skewed = gen.withColumn("security_id", F.when(F.col("quantity") % 2 == 0, F.lit(7)).otherwise(F.col("security_id")))
+    cleaned = clean_orders(skewed)
+    assert "RoundRobinPartitioning" in physical_plan(layout_orders(cleaned, 6))
+    assert "hashpartitioning(security_id" in physical_plan(layout_orders(cleaned, 6, "key"))
+    spread = layout_orders(cleaned, 6).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) < 0.5 * cleaned.count()
+    even = run_orders(skewed, partitions=6, preview_rows=0).daily
+    by_key = run_orders(skewed, partitions=6, preview_rows=0, layout="key").daily
+    a, b = sorted(even.collect()), sorted(by_key.collect())
+    assert [r[:3] for r in a] == [r[:3] for r in b]
+    assert all(r.avg_price == pytest.approx(q.avg_price, rel=1e-12) for r, q in zip(a, b))
+    with pytest.raises(ValueError):
+        layout_orders(cleaned, 6, "nope")
+
+
 def test_partitioned_write_and_pruned_read(spark, orders, scratch):
     path = os.path.join(scratch, "daily")
     res = run_orders(orders, preview_rows=3, parquet_path=path)
