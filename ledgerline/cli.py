@@ -60,6 +60,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--buckets", type=int, default=8)
     p.add_argument("--database", default="ledgerline_demo")
     p.add_argument("--base-path", default=None, help="table folder (default: the shared folder)")
+    p.add_argument("--min-share", type=float, default=None,
+                   help="join customers holding this share of transactions apart (salted)")
 
     p = sub.add_parser("orders", help="daily volume and average price per security")
     src = p.add_mutually_exclusive_group(required=True)
@@ -106,7 +108,7 @@ def run(args, spark: SparkSession) -> dict:
             spark,
             customer_transactions.read_customers(spark, args.customers),
             customer_transactions.read_transactions(spark, args.transactions),
-            args.database, args.buckets, args.base_path,
+            args.database, args.buckets, args.base_path, args.min_share,
         )
         return {"job": "joins", **_jsonable(res)}
     if args.job == "orders":

@@ -108,14 +108,17 @@ def compare_join_strategies(
     database: str = "ledgerline_demo",
     buckets: int = 8,
     base_path: str | None = None,
+    min_share: float | None = None,
 ) -> JoinComparison:
     """Run the plain join and the join over bucketed tables to completion
-    (row counts) and time both; the counts must agree."""
+    (row counts) and time both; the counts must agree.  ``min_share`` joins
+    customers holding that share of all transactions apart (salted)."""
     t0 = time.perf_counter()
     plain = join_customer_transactions(customers, transactions).count()
     t1 = time.perf_counter()
     left, right = write_bucketed_pair(spark, customers, transactions, database, buckets, base_path)
     t2 = time.perf_counter()
-    bucketed = bucketed_join(spark, left, right, KEY, _LEFT, _RIGHT).count()
+    hot = {} if min_share is None else {"hot_side": "right", "min_share": min_share}
+    bucketed = bucketed_join(spark, left, right, KEY, _LEFT, _RIGHT, **hot).count()
     t3 = time.perf_counter()
     return JoinComparison(plain, bucketed, round(t1 - t0, 3), round(t3 - t2, 3))

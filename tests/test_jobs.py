@@ -55,6 +55,10 @@ def test_cli_ticks_and_joins(spark, scratch):
                     "--transactions", os.path.join(scratch, "t.csv"), "--buckets", "2",
                     "--base-path", os.path.join(scratch, "bk")], spark=spark)
     assert res["plain_rows"] == res["bucketed_rows"] == 1
+    res = cli.main(["joins", "--customers", os.path.join(scratch, "c.csv"),
+                    "--transactions", os.path.join(scratch, "t.csv"), "--buckets", "2",
+                    "--base-path", os.path.join(scratch, "bk2"), "--min-share", "0.5"], spark=spark)
+    assert res["plain_rows"] == res["bucketed_rows"] == 1          # the one customer is hot
 
 
 def test_properties_file(scratch):
