@@ -104,16 +104,10 @@ def bucketed_join(
     return cold.unionByName(hot_part.select(*cold.columns))
 
 
-def _type_width(dt: T.DataType, string_bytes: int) -> int:
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return string_bytes
-    if isinstance(dt, T.StructType):
-        return sum(_type_width(f.dataType, string_bytes) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 8 * string_bytes
+def _fixed_width(dt: T.DataType) -> int:
     if isinstance(dt, (T.ByteType, T.BooleanType)):
         return 1
-    if isinstance(dt, (T.ShortType,)):
+    if isinstance(dt, T.ShortType):
         return 2
     if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
         return 4
@@ -122,21 +116,39 @@ def _type_width(dt: T.DataType, string_bytes: int) -> int:
     return 8
 
 
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of one row: fixed widths plus the real length of every string,
+    binary or nested value (nested values measured as their JSON text)."""
+    fixed = 0
+    measured: list[Column] = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            measured.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            measured.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            fixed += _fixed_width(f.dataType)
+    return reduce(lambda a, b: a + b, measured, F.lit(fixed).cast("long"))
+
+
 def fits_broadcast(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
-    string_bytes: int = 64,
 ) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and an estimated size
-    (rows x schema width, ``string_bytes`` per string) within ``max_bytes``.
+    """True when ``df`` has at most ``max_rows`` rows whose measured size
+    (fixed widths plus real string lengths) is at most ``max_bytes``.
 
-    The row check is ``limit(max_rows + 1).count()``: every task stops after
-    ``max_rows + 1`` rows, so the check stays cheap on a large input.
+    One job over ``limit(max_rows + 1)``: every task stops after that many
+    rows, so the check stays cheap on a large input, and when the count is
+    within ``max_rows`` every row was seen, so the byte total is a proven
+    bound rather than an estimate.
     """
-    width = max(1, _type_width(df.schema, string_bytes))
-    rows_bound = min(max_rows, max_bytes // width)
-    return df.limit(rows_bound + 1).count() <= rows_bound
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df.schema)).alias("bytes")
+    ).first()
+    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
 
 
 def dimension_join(

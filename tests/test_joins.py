@@ -127,6 +127,10 @@ def test_dimension_join_broadcasts_only_within_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert fits_broadcast(dim, max_rows=10) and not fits_broadcast(dim, max_rows=9)
     assert not fits_broadcast(dim, max_bytes=8)
+    assert fits_broadcast(dim, max_bytes=160) and not fits_broadcast(dim, max_bytes=159)   # 10 x 2 longs
+    # long strings are measured, not guessed: 3 rows of 1000 characters
+    wide = spark.range(3).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    assert not fits_broadcast(wide, max_bytes=2000) and fits_broadcast(wide, max_bytes=3024)
 
 
 def test_inner_join_multi_key(spark):
