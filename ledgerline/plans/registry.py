@@ -268,7 +268,8 @@ def q_join_bucketed(spark, sf_dir):
 def q_join_bucketed_skew(spark, sf_dir):
     # co-bucketed join; customers with at least 0.1 % of all transactions are joined apart, salted
     return bucketed_customer_transactions(
-        spark, _customers(spark, sf_dir), _transactions(spark, sf_dir), min_share=0.001, salt_buckets=8
+        spark, _customers(spark, sf_dir), _transactions(spark, sf_dir), database="ledgerline_skew",
+        min_share=0.001, salt_buckets=8,
     )
 
 
