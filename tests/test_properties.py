@@ -92,3 +92,31 @@ def test_daily_aggregate_matches_brute_force(spark, rows, parts):
     assert got.keys() == want.keys()
     for k, (vol, avg) in want.items():
         assert got[k][0] == vol and abs(got[k][1] - avg) < 1e-9
+
+
+sort_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "hot"])), st.integers(0, 3)),
+                     max_size=40)
+
+
+@SETTINGS
+@given(rows=sort_rows, parts=st.integers(1, 5))
+def test_tie_split_sort_keeps_order_and_rows(spark, rows, parts):
+    from ledgerline.operators.aggregate import sort_by
+    df = spark.createDataFrame(rows, "k string, v int").repartition(parts)
+    got = [tuple(r) for r in sort_by(df, ["k"]).collect()]
+    # ascending, nulls first; the multiset of rows is unchanged
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda k: (k is not None, k or ""))
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
+
+
+@SETTINGS
+@given(rows=order_rows, parts=st.integers(2, 6))
+def test_even_and_key_layouts_agree(spark, rows, parts):
+    from ledgerline.plans.orders import run_orders
+    data = [(s, None if p is None else p / 4, q, f"2025-01-0{d + 1} 10:00:00") for s, d, p, q in rows]
+    df = spark.createDataFrame(data, "security_id int, price double, quantity int, ts string").selectExpr(
+        "security_id", "price", "quantity", "CAST(ts AS TIMESTAMP) AS timestamp")
+    a = sorted(tuple(r) for r in run_orders(df, parts, preview_rows=0, layout="even").daily.collect())
+    b = sorted(tuple(r) for r in run_orders(df, parts, preview_rows=0, layout="key").daily.collect())
+    assert [r[:3] for r in a] == [r[:3] for r in b]
+    assert all(abs(x[3] - y[3]) < 1e-9 for x, y in zip(a, b))
