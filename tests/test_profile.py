@@ -33,3 +33,13 @@ def test_dedup_result_independent_of_partitioning(spark):
     one = sorted(latest_per_key(df.repartition(1), ["k"], ["ts"]).collect())
     many = sorted(latest_per_key(df.repartition(9), ["k"], ["ts"]).collect())
     assert one == many
+
+
+def test_key_skew_reads_input_once(spark):
+    from ledgerline.operators.profile import key_skew
+    from ledgerline.plans.inspect import physical_plan
+    df = spark.range(0, 1000, 1, 4).selectExpr("id % 7 AS k")
+    report = key_skew(df, "k")
+    report.collect()
+    # the total's subquery reuses the per-key counts' shuffle instead of a second pass
+    assert "ReusedExchange" in physical_plan(report)
