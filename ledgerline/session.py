@@ -22,6 +22,10 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Small results (a daily aggregate written as thousands of day folders) still
+    # spread over every core: AQE otherwise merges anything under 1 MiB into
+    # one task, which then creates every file one after another.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
 }
 

@@ -104,19 +104,25 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     df.write.mode(mode).option("header", str(header).lower()).csv(path)
 
 
-def _bracket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Turn one partition's JSON lines into one JSON array, streaming batch by batch."""
-    started = False
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        prefix = pd.Series(",", index=pdf.index)
-        if not started:
-            prefix.iloc[0] = "["
-            started = True
-        yield pd.DataFrame({"value": prefix + pdf["value"]})
-    if started:
-        yield pd.DataFrame({"value": ["]"]})
+def _bracket_step():
+    """The per-partition step, built as a local function so Spark ships its
+    code with the task: executors need no installed copy of this package."""
+
+    def bracket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Turn one partition's JSON lines into one JSON array, streaming batch by batch."""
+        started = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            prefix = pd.Series(",", index=pdf.index)
+            if not started:
+                prefix.iloc[0] = "["
+                started = True
+            yield pd.DataFrame({"value": prefix + pdf["value"]})
+        if started:
+            yield pd.DataFrame({"value": ["]"]})
+
+    return bracket_documents
 
 
 def write_json_documents(
@@ -137,7 +143,7 @@ def write_json_documents(
     if files is None:
         files = max(1, math.ceil(df.count() / rows_per_file))
     lines = df.select(F.to_json(F.struct(*df.columns), _JSON_TIME_OPTIONS).alias("value"))
-    documents = lines.repartition(files).mapInPandas(_bracket_documents, "value string")
+    documents = lines.repartition(files).mapInPandas(_bracket_step(), "value string")
     documents.write.mode(mode).text(path)
     return files
 
