@@ -116,6 +116,10 @@ def test_auto_layout_spreads_a_hot_security(spark):
     assert all(r.avg_price == pytest.approx(q.avg_price, rel=1e-12) for r, q in zip(a, b))
     with pytest.raises(ValueError):
         layout_orders(cleaned, 6, "nope")
+    # a hot null security is spread too
+    null_hot = gen.withColumn("security_id", F.when(F.col("quantity") % 2 == 0, F.lit(None)).otherwise(F.col("security_id")))
+    assert "RoundRobinPartitioning" in physical_plan(layout_orders(clean_orders(null_hot), 6))
+    assert "hashpartitioning(security_id" in physical_plan(layout_orders(clean_orders(gen), 6))
 
 
 def test_partitioned_write_and_pruned_read(spark, orders, scratch):
