@@ -79,6 +79,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--quarantine", default=None)
     p.add_argument("--permissive", action="store_true", help="malformed values become null")
     p.add_argument("--glob", default="*.ndjson")
+    p.add_argument("--time-zone", default=None, help="zone of the output's date folders (default: session)")
     return parser
 
 
@@ -121,7 +122,7 @@ def run(args, spark: SparkSession) -> dict:
         return {"job": "orders", **_jsonable(res)}
     res = ticks.run_ticks(
         spark, args.raw, args.out, export_path=args.export, quarantine_path=args.quarantine,
-        strict=not args.permissive, file_glob=args.glob)
+        strict=not args.permissive, file_glob=args.glob, time_zone=args.time_zone)
     return {"job": "ticks", **_jsonable(res)}
 
 

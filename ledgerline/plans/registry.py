@@ -198,11 +198,11 @@ def q_tick_ndjson_e2e(spark, sf_dir):
     root = fresh_dir(spark, "tick_landing")
     write_ndjson(_raw_tick_lines(_table(spark, sf_dir, "events")), root, ["y", "m", "d"])
     raw = read_ndjson_tree(spark, root, schema=RAW_TICK_SCHEMA, file_glob="*.json")
-    out = process_ticks(raw, ingest_ts=INGEST_TS, tie_break=["venue"])
-    # compare wall-clock values independent of the reader's time zone
-    return out.withColumns({
-        c: F.col(c).cast("timestamp_ntz") for c in ("trade_ts_parsed", "recv_ts_parsed", "ingest_ts")
-    })
+    out = process_ticks(raw, ingest_ts=INGEST_TS, tie_break=["venue"], time_zone="UTC")
+    # parsed instants compared as UTC wall clock; the ingest stamp is a session-zone literal
+    utc = {c: F.convert_timezone(None, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+           for c in ("trade_ts_parsed", "recv_ts_parsed")}
+    return out.withColumns({**utc, "ingest_ts": F.col("ingest_ts").cast("timestamp_ntz")})
 
 
 def q_rt_ndjson(spark, sf_dir):

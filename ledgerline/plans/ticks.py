@@ -68,8 +68,17 @@ def parse_ticks(
     })
 
 
-def enrich_ticks(ticks: DataFrame) -> DataFrame:
-    parts = calendar_parts("trade_ts_parsed")
+def enrich_ticks(ticks: DataFrame, time_zone: str | None = None) -> DataFrame:
+    """Mid price, calendar parts of the trade time, cleaned pair.
+
+    Calendar parts follow the session time zone (the reference; pin it to
+    UTC) unless ``time_zone`` names the zone whose dates partition the
+    output.  A ``timestamp_ntz`` trade time is a wall clock already.
+    """
+    ts = F.col("trade_ts_parsed")
+    if time_zone is not None and isinstance(ticks.schema["trade_ts_parsed"].dataType, T.TimestampType):
+        ts = F.convert_timezone(None, F.lit(time_zone), ts.cast("timestamp_ntz"))
+    parts = calendar_parts(ts)
     return ticks.withColumns({
         "mid_price": mid_price("bid", "ask"),
         "year": parts["year"],
@@ -87,6 +96,7 @@ def process_ticks(
     tie_break: Sequence[str] = (),
     null_keys: str = "collapse",
     reject_nan: bool = False,
+    time_zone: str | None = None,
 ) -> DataFrame:
     """parse -> ``bid > 0 AND ask > 0 AND ask > bid`` -> latest ``recv_ts`` per
     ``key`` -> mid price, calendar parts, cleaned pair.
@@ -97,7 +107,7 @@ def process_ticks(
     parsed = parse_ticks(raw, strict, ingest_ts)
     valid = parsed.filter(quote_is_valid("bid", "ask", reject_nan))
     latest = latest_per_key(valid, [key], ["recv_ts_parsed"], tie_break, null_keys)
-    return enrich_ticks(latest)
+    return enrich_ticks(latest, time_zone)
 
 
 def processed_schema(processed: DataFrame) -> T.StructType:
@@ -140,6 +150,7 @@ def run_ticks(
     null_keys: str = "collapse",
     rows_per_export_file: int = 2_000_000,
     file_glob: str = "*.ndjson",
+    time_zone: str | None = None,
 ) -> TicksResult:
     """The whole ticks job over a landing tree of NDJSON files.
 
@@ -168,7 +179,8 @@ def run_ticks(
         quarantined = spark.read.text(quarantine_path).count()
     if is_empty(raw):
         return TicksResult(False, 0, quarantined, output_path, None)
-    processed = process_ticks(raw, strict, ingest_ts, tie_break=tie_break, null_keys=null_keys)
+    processed = process_ticks(raw, strict, ingest_ts, tie_break=tie_break, null_keys=null_keys,
+                              time_zone=time_zone)
     # The empty check needs the whole shuffle and window; keep the deduplicated
     # rows (one per sequence) so the write does not run the job a second time.
     with persisted(processed):

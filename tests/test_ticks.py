@@ -113,6 +113,17 @@ def test_enrich_calendar_parts_utc_and_pair(spark, scratch):
                          "year", "month", "day", "pair_clean"]
 
 
+def test_calendar_parts_in_a_named_zone(spark, scratch):
+    raw = raw_frame(spark, scratch, EDGE_TICKS)
+    z = by_seq(process_ticks(raw, time_zone="Europe/Helsinki"))["z"]   # UTC+2 in winter
+    assert (z["year"], z["month"], z["day"]) == (2025, "03", "01")
+    # a wall-clock (timestamp_ntz) trade time is not shifted
+    ntz = spark.sql("SELECT TIMESTAMP_NTZ'2025-03-01 00:30:00' AS trade_ts, TIMESTAMP_NTZ'2025-03-01 00:30:00' "
+                    "AS recv_ts, 1.0D AS bid, 2.0D AS ask, 'A/B' AS pair, 's' AS sequence_id")
+    row = process_ticks(ntz, ingest_ts="2025-01-01 00:00:00", time_zone="Asia/Tokyo").first()
+    assert (row["month"], row["day"]) == ("03", "01")
+
+
 def test_strict_parse_fails_permissive_drops(spark, scratch):
     rows = [tick("m", bid="abc"), tick("t", trade="not-a-time", recv="not-a-time"), tick("ok")]
     raw = raw_frame(spark, scratch, rows)
