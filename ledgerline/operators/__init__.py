@@ -15,6 +15,7 @@ from ledgerline.operators.joins import (
     dimension_join,
     fits_broadcast,
     inner_join,
+    row_salt,
     skew_join,
 )
 from ledgerline.operators.layout import (
@@ -39,6 +40,6 @@ __all__ = [
     "dimension_join", "distinct_rows", "filter_matches", "fits_broadcast", "hot_keys",
     "inner_join", "key_skew", "latest_per_key", "latest_per_key_agg", "materialized",
     "partition_profile", "persisted", "quote_is_valid", "repartition_by", "require_not_null",
-    "row_count", "skew_join", "sort_by", "split_corrupt", "top_n", "valid_quotes",
+    "row_count", "row_salt", "skew_join", "sort_by", "split_corrupt", "top_n", "valid_quotes",
     "write_bucketed",
 ]
