@@ -192,3 +192,20 @@ def test_sort_splits_a_hot_value_over_ranges(spark):
         assert plain_parts.select("p").distinct().count() == 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rebalanced_write_splits_a_hot_folder(spark, scratch):
+    # one folder holds 90 % of the rows; with a small target size AQE splits it over tasks
+    df = spark.range(0, 200_000, 1, 8).select(
+        "id", F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("p"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rebalanced = os.path.join(scratch, "hot_rebalance")
+        write_partitioned(df, rebalanced, ["p"])
+        by_folder = os.path.join(scratch, "hot_repartition")
+        write_partitioned(df, by_folder, ["p"], strategy="repartition")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(os.path.join(rebalanced, "p=hot", "*.parquet"))) > 1
+    assert len(glob.glob(os.path.join(by_folder, "p=hot", "*.parquet"))) == 1      # one task, one file
+    assert read_parquet(spark, rebalanced, schema="id bigint, p string").count() == 200_000
