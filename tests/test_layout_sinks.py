@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 
 import pytest
 from pyspark import StorageLevel
@@ -209,3 +210,25 @@ def test_rebalanced_write_splits_a_hot_folder(spark, scratch):
     assert len(glob.glob(os.path.join(rebalanced, "p=hot", "*.parquet"))) > 1
     assert len(glob.glob(os.path.join(by_folder, "p=hot", "*.parquet"))) == 1      # one task, one file
     assert read_parquet(spark, rebalanced, schema="id bigint, p string").count() == 200_000
+
+
+def test_bucketed_write_splits_a_hot_bucket(spark, scratch):
+    from ledgerline.operators.layout import write_bucketed
+    from ledgerline.sources.catalog import drop_table, ensure_database
+    df = spark.range(0, 200_000, 1, 8).select(
+        (F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(-1))).alias("k"), "id")
+    ensure_database(spark, "ledgerline_hot")
+    drop_table(spark, "ledgerline_hot.t")
+    path = os.path.join(scratch, "hot_bucketed")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_bucketed(df, "ledgerline_hot.t", "k", buckets=4, path=path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    # bucket files are named ..._0000N.c000...; the hot key's bucket has several files
+    per_bucket = {}
+    for f in parquet_files(path):
+        b = re.search(r"_(\d{5})\.c\d+", os.path.basename(f)).group(1)
+        per_bucket[b] = per_bucket.get(b, 0) + 1
+    assert max(per_bucket.values()) > 1
+    assert spark.table("ledgerline_hot.t").count() == 200_000
