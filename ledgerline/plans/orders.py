@@ -203,6 +203,7 @@ def run_generated_orders(
     jdbc: dict | None = None,
     start: str = "2025-01-01 00:00:00",
     layout: str = "auto",
+    securities: int = 1000,
 ) -> GeneratedOrdersResult:
     """Synthetic orders -> clean -> lay out (by security unless one is hot) -> cache ->
     partition profile -> daily aggregate, preview and sinks.
@@ -211,7 +212,10 @@ def run_generated_orders(
     and every sink; it is released at the end.  The profile has one row per
     partition, so bringing it to the driver is bounded by ``partitions``.
     """
-    generated = generate_orders(spark, n, start=start)
+    generated = generate_orders(spark, n, securities=securities, start=start)
+    if layout == "auto":
+        # ids are spread evenly: each security holds about 1 / securities of the orders
+        layout = "key" if securities >= partitions else "even"
     cleaned = layout_orders(clean_orders(generated), partitions, layout)
     with persisted(cleaned, level):
         rows = cleaned.count()
