@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ledgerline.operators.aggregate import count_rows, distinct_rows
 from ledgerline.operators.dedup import latest_per_key, latest_per_key_agg
 from ledgerline.operators.joins import dimension_join
-from ledgerline.operators.layout import repartition_by
 from ledgerline.operators.profile import key_skew, partition_profile
 from ledgerline.operators.quality import valid_quotes
 from ledgerline.plans.contacts import contacts_with_full_name, read_contacts
@@ -29,6 +28,7 @@ from ledgerline.plans.orders import (
     clean_orders,
     daily_preview,
     enrich_orders,
+    layout_orders,
     orders_daily,
     read_daily,
     read_orders_json,
@@ -115,8 +115,9 @@ def q_orders_clean_count(spark, sf_dir):
 
 
 def q_layout_agg(spark, sf_dir):
-    """Hash-partition by security first; the daily aggregate reuses it (one exchange)."""
-    cleaned = repartition_by(clean_orders(_orders(spark, sf_dir)), ["security_id"], 50)
+    """Lay orders out over 50 partitions -- by security unless one is hot -- then aggregate;
+    by security the aggregate reuses the partitioning (one exchange)."""
+    cleaned = layout_orders(clean_orders(_orders(spark, sf_dir)), 50)
     return orders_daily(cleaned, round_digits=AVG_DIGITS)
 
 
