@@ -120,3 +120,23 @@ def test_even_and_key_layouts_agree(spark, rows, parts):
     b = sorted(tuple(r) for r in run_orders(df, parts, preview_rows=0, layout="key").daily.collect())
     assert [r[:3] for r in a] == [r[:3] for r in b]
     assert all(abs(x[3] - y[3]) < 1e-9 for x, y in zip(a, b))
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(left=join_rows, right=join_rows, min_share=st.sampled_from([0.1, 0.3, 1.0]))
+def test_bucketed_hot_split_equals_brute_force(spark, left, right, min_share):
+    from ledgerline.operators.joins import bucketed_join
+    from ledgerline.operators.layout import write_bucketed
+    from ledgerline.session import fresh_dir
+    from ledgerline.sources.catalog import drop_table, ensure_database
+    ensure_database(spark, "ledgerline_prop")
+    base = fresh_dir(spark, "prop_bucketed")
+    for name, rows, schema in (("l", left, "k int, a int"), ("r", right, "k int, b int")):
+        drop_table(spark, f"ledgerline_prop.{name}")
+        write_bucketed(spark.createDataFrame(rows, schema), f"ledgerline_prop.{name}", "k", buckets=3,
+                       path=f"{base}/{name}")
+    brute = sorted((lk, a, b) for lk, a in left for rk, b in right if lk is not None and lk == rk)
+    got = bucketed_join(spark, "ledgerline_prop.l", "ledgerline_prop.r", "k", hot_side="right",
+                        min_share=min_share, salt_buckets=3)
+    assert sorted(tuple(r) for r in got.collect()) == brute
