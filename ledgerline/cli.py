@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from dataclasses import asdict, is_dataclass
+from dataclasses import fields, is_dataclass
 
 from pyspark.sql import SparkSession
 
@@ -84,14 +84,14 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _jsonable(obj):
-    if is_dataclass(obj):
-        obj = asdict(obj)
+    if is_dataclass(obj) and not isinstance(obj, type):
+        return {f.name: _jsonable(getattr(obj, f.name)) for f in fields(obj) if f.name != "daily"}
+    if hasattr(obj, "asDict"):          # a Row is a tuple: handle it before sequences
+        return {k: _jsonable(v) for k, v in obj.asDict().items()}
     if isinstance(obj, dict):
-        return {k: _jsonable(v) for k, v in obj.items() if k != "daily"}
+        return {k: _jsonable(v) for k, v in obj.items()}
     if isinstance(obj, (list, tuple)):
         return [_jsonable(v) for v in obj]
-    if hasattr(obj, "asDict"):
-        return {k: _jsonable(v) for k, v in obj.asDict().items()}
     if isinstance(obj, (str, int, float, bool)) or obj is None:
         return obj
     return str(obj)

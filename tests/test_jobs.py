@@ -66,3 +66,12 @@ def test_properties_file(scratch):
     with open(path, "w") as fh:
         fh.write("# comment\nuser = someone\npassword=secret=x\n\n")
     assert cli.read_properties(path) == {"user": "someone", "password": "secret=x"}
+
+
+def test_cli_orders_prints_rows_as_objects(spark, capsys):
+    res = cli.main(["orders", "--generate", "5000", "--partitions", "4", "--preview", "2"], spark=spark)
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed == res and res["rows"] == 5000
+    assert [p["partition"] for p in res["partitions"]] == [0, 1, 2, 3]
+    assert sum(p["rows"] for p in res["partitions"]) == 5000
+    assert set(res["preview"][0]) == {"security_id", "trade_date_str", "total_volume", "avg_price"}
