@@ -77,3 +77,24 @@ def to_double(c: ColumnLike, strict: bool = True, source_type: T.DataType | None
     if isinstance(source_type, T.DoubleType):
         return col_of(c)
     return col_of(c).cast("double") if strict else col_of(c).try_cast("double")
+
+
+def _has_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    return False
+
+
+def row_hash(schema: T.StructType, *leading: Column) -> Column:
+    """64-bit hash of ``leading`` columns and every column of ``schema``.
+
+    Spark does not hash maps, so a column that is or holds a map is hashed
+    through its JSON text; every other column is hashed as it is.
+    """
+    cols = [F.to_json(F.col(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`")
+            for f in schema.fields]
+    return F.xxhash64(*leading, *cols)

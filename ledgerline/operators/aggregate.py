@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import ColumnLike, col_of
+from ledgerline.functions.columns import ColumnLike, col_of, row_hash
 
 
 def daily_volume_price(
@@ -81,7 +81,7 @@ def sort_by(df: DataFrame, order: Sequence[ColumnLike], split_ties: bool = True)
     ordering = [col_of(c) for c in order]
     if not split_ties:
         return df.orderBy(*ordering)
-    tie = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    tie = row_hash(df.schema, F.spark_partition_id())
     return df.withColumn(_TIE, tie).orderBy(*ordering, F.col(_TIE)).drop(_TIE)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.columns import row_hash
 from ledgerline.operators.profile import hot_keys
 
 _SALT = "__ledgerline_salt"
@@ -170,8 +171,8 @@ def dimension_join(
 def row_salt(df: DataFrame, is_hot: Column, salt_buckets: int) -> Column:
     """Salt in ``[0, salt_buckets)`` for hot rows, 0 for the rest: a hash of
     the input partition id and every column, so it is stable under recompute."""
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    return F.when(is_hot, F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0).cast("long"))
+    hashed = row_hash(df.schema, F.spark_partition_id())
+    return F.when(is_hot, F.pmod(hashed, F.lit(salt_buckets))).otherwise(F.lit(0).cast("long"))
 
 
 def skew_join(

@@ -232,3 +232,12 @@ def test_bucketed_write_splits_a_hot_bucket(spark, scratch):
         per_bucket[b] = per_bucket.get(b, 0) + 1
     assert max(per_bucket.values()) > 1
     assert spark.table("ledgerline_hot.t").count() == 200_000
+
+
+def test_row_hash_accepts_map_columns(spark):
+    from ledgerline.operators.joins import row_salt
+    df = spark.sql("SELECT id % 3 AS k, map('a', id) AS m, array(map('b', id)) AS am FROM range(30)")
+    ordered = sort_by(df, ["k"])
+    assert [r.k for r in ordered.collect()] == sorted(r.k for r in df.collect())
+    salts = df.select(row_salt(df, F.col("k") == 0, 4).alias("s")).collect()
+    assert all(0 <= r.s < 4 for r in salts)
