@@ -29,8 +29,13 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _side(alias: str, name: str) -> Column:
+    """Column ``name`` of the side aliased ``alias`` (names may hold dots or spaces)."""
+    return F.col(f"{alias}.`{name}`")
+
+
 def _condition(left: str, right: str, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
+    return reduce(lambda a, b: a & b, [_side(left, k) == _side(right, k) for k in keys])
 
 
 def inner_join(
@@ -51,9 +56,9 @@ def inner_join(
     right_cols = [c for c in (right_cols or right.columns) if c not in keys]
     joined = left.alias("l").join(right.alias("r"), _condition("l", "r", keys), "inner")
     return joined.select(
-        *[F.col(f"l.{k}").alias(k) for k in keys],
-        *[F.col(f"l.{c}").alias(c) for c in left_cols],
-        *[F.col(f"r.{c}").alias(c) for c in right_cols],
+        *[_side("l", k).alias(k) for k in keys],
+        *[_side("l", c).alias(c) for c in left_cols],
+        *[_side("r", c).alias(c) for c in right_cols],
     )
 
 

@@ -137,6 +137,11 @@ def test_inner_join_multi_key(spark):
     a = spark.createDataFrame([(1, "x", "a"), (1, "y", "b")], "k1 int, k2 string, va string")
     b = spark.createDataFrame([(1, "x", "B"), (2, "x", "C")], "k1 int, k2 string, vb string")
     assert rows_of(inner_join(a, b, ["k1", "k2"])) == [(1, "x", "a", "B")]
+    # names with dots and spaces
+    c = spark.createDataFrame([(1, "p")], "`cust.id` int, `full name` string")
+    d = spark.createDataFrame([(1, "q")], "`cust.id` int, `txn id` string")
+    out = inner_join(c, d, "cust.id")
+    assert out.columns == ["cust.id", "full name", "txn id"] and rows_of(out) == [(1, "p", "q")]
 
 
 @pytest.mark.parametrize("shuffle", ["rebalance", "repartition", "none"])
