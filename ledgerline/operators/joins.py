@@ -101,7 +101,7 @@ def bucketed_join(
     hot = hot_keys(big, key, min_share)
     if not hot:
         return inner_join(left, right, on, left_cols, right_cols)
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(f"`{key}`").isin(hot)
     cold = inner_join(left.filter(~is_hot), right.filter(~is_hot), key, left_cols, right_cols)
     if hot_side == "right":
         hot_part = _salted_join(right.filter(is_hot), left.filter(is_hot), key, hot, right_cols, left_cols, salt_buckets)
@@ -216,7 +216,7 @@ def _salted_join(
 ) -> DataFrame:
     """Join on ``(on, salt)``: hot ``big`` rows spread over the salts, the
     matching ``other`` rows copied once per salt; other keys keep salt 0."""
-    is_hot = F.col(on).isin(hot)
+    is_hot = F.col(f"`{on}`").isin(hot)
     big_salted = big.withColumn(_SALT, row_salt(big, is_hot, salt_buckets))
     other_salted = other.withColumn(
         _SALT,

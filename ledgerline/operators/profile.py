@@ -37,12 +37,12 @@ def key_skew(df: DataFrame, key: str, digits: int | None = 8) -> DataFrame:
     broadcast by Spark; the counts' shuffle is reused, so the input is read
     once), not a global window that would pull every key into one task.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.groupBy(F.col(f"`{key}`").alias(key)).agg(F.count(F.lit(1)).alias("n_rows"))
     total = counts.select(F.sum("n_rows")).scalar()
     share = F.col("n_rows") / total
     if digits is not None:
         share = F.round(share, digits)
-    return counts.select(key, "n_rows", share.alias("share"))
+    return counts.select(F.col(f"`{key}`"), "n_rows", share.alias("share"))
 
 
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
@@ -55,5 +55,6 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
         raise ValueError("min_share must be in (0, 1]")
     bound = math.floor(1 / min_share)
     report = key_skew(df, key, digits=None)
-    hot = report.filter(F.col(key).isNotNull() & (F.col("share") >= min_share))
-    return [row[0] for row in collect_bounded(hot.select(key), bound)]
+    key_col = F.col(f"`{key}`")
+    hot = report.filter(key_col.isNotNull() & (F.col("share") >= min_share))
+    return [row[0] for row in collect_bounded(hot.select(key_col), bound)]

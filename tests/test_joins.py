@@ -142,6 +142,8 @@ def test_inner_join_multi_key(spark):
     d = spark.createDataFrame([(1, "q")], "`cust.id` int, `txn id` string")
     out = inner_join(c, d, "cust.id")
     assert out.columns == ["cust.id", "full name", "txn id"] and rows_of(out) == [(1, "p", "q")]
+    salted = skew_join(d.unionByName(d), c, "cust.id", min_share=0.5, salt_buckets=4)
+    assert rows_of(salted) == [(1, "q", "p"), (1, "q", "p")]
 
 
 @pytest.mark.parametrize("shuffle", ["rebalance", "repartition", "none"])
