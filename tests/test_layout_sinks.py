@@ -217,7 +217,7 @@ def test_bucketed_write_splits_a_hot_bucket(spark, scratch):
     from ledgerline.sources.catalog import drop_table, ensure_database
     df = spark.range(0, 200_000, 1, 8).select(
         (F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(-1))).alias("k"), "id")
-    ensure_database(spark, "ledgerline_hot")
+    ensure_database(spark, "ledgerline_hot", location=os.path.join(scratch, "db"))
     drop_table(spark, "ledgerline_hot.t")
     path = os.path.join(scratch, "hot_bucketed")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")

@@ -130,8 +130,8 @@ def test_bucketed_hot_split_equals_brute_force(spark, left, right, min_share):
     from ledgerline.operators.layout import write_bucketed
     from ledgerline.session import fresh_dir
     from ledgerline.sources.catalog import drop_table, ensure_database
-    ensure_database(spark, "ledgerline_prop")
     base = fresh_dir(spark, "prop_bucketed")
+    ensure_database(spark, "ledgerline_prop", location=f"{base}/db")
     for name, rows, schema in (("l", left, "k int, a int"), ("r", right, "k int, b int")):
         drop_table(spark, f"ledgerline_prop.{name}")
         write_bucketed(spark.createDataFrame(rows, schema), f"ledgerline_prop.{name}", "k", buckets=3,
