@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.columns import day_string, trade_value
+from ledgerline.functions.columns import day_string, parse_timestamp, trade_value
 from ledgerline.operators.aggregate import collect_bounded, daily_volume_price, top_n
 from ledgerline.operators.layout import persisted, repartition_by
 from ledgerline.operators.profile import key_skew, partition_profile
@@ -93,9 +93,28 @@ def read_daily(
     return df
 
 
-def read_orders_json(spark: SparkSession, path: str, schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
-    """Orders from multi-line JSON documents (one task per file)."""
-    return read_json_documents(spark, path, schema=schema)
+def read_orders_json(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = ORDER_SCHEMA,
+    strict: bool = True,
+) -> DataFrame:
+    """Orders from multi-line JSON documents (one task per file).
+
+    Timestamp fields are read as text and then parsed with Spark's ISO
+    rules (``T`` or space, optional fraction, ``Z`` or an offset), as the
+    reference's formatting of inferred text does; a fixed reader format
+    would silently turn every other spelling into null.  ``strict`` fails
+    on unparseable text (ANSI, as the reference); otherwise it becomes null.
+    """
+    temporal = {f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    as_text = T.StructType([
+        T.StructField(f.name, T.StringType(), f.nullable) if f.name in temporal else f for f in schema.fields
+    ])
+    raw = read_json_documents(spark, path, schema=as_text)
+    return raw.withColumns({
+        f.name: parse_timestamp(f.name, strict).cast(f.dataType) for f in schema.fields if f.name in temporal
+    })
 
 
 @dataclass

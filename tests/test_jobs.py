@@ -26,6 +26,21 @@ def test_orders_json_job(spark, scratch):
     assert [(r.total_volume, r.avg_price) for r in res.preview] == [(8, 3.0)]
 
 
+def test_orders_json_accepts_any_iso_timestamp(spark, scratch):
+    from ledgerline.plans.orders import orders_daily, read_orders_json
+    docs = [{"security_id": 1, "price": 2.0, "quantity": 3, "timestamp": "2025-05-05T01:00:00Z"},
+            {"security_id": 1, "price": 4.0, "quantity": 5, "timestamp": "2025-05-05T02:00:00.123+02:00"},
+            {"security_id": 2, "price": 4.0, "quantity": 5, "timestamp": "2025-05-06 03:00:00"}]
+    folder = os.path.join(scratch, "iso")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "o.json"), "w") as fh:
+        json.dump(docs, fh, indent=1)
+    orders = read_orders_json(spark, folder)
+    assert orders.filter("timestamp IS NULL").count() == 0
+    daily = {(r.security_id, r.trade_date_str): (r.total_volume, r.avg_price) for r in orders_daily(orders).collect()}
+    assert daily == {(1, "2025-05-05"): (8, 3.0), (2, "2025-05-06"): (5, 4.0)}
+
+
 def test_join_comparison(spark, scratch):
     c = spark.createDataFrame([("a", "n", "s", "c"), ("b", "m", "s", "c")],
                               "customer_id string, customer_name string, segment string, city string")
