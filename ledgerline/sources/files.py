@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: Timestamp text formats used for JSON round trips.  Spark's JSON writer
-#: keeps only milliseconds by default; these keep microseconds both ways.
+#: Timestamp text formats for writing JSON: Spark's JSON writer keeps only
+#: milliseconds by default; these keep microseconds.  Readers set no format,
+#: so Spark's ISO fallback parses any spelling (and keeps microseconds).
 TIMESTAMP_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TIMESTAMP_NTZ_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -68,11 +69,9 @@ def read_json_documents(
     A document cannot be split, so each file is read by one task: keep files
     small (many files) when the input is large.
     """
-    opts = {
-        "multiLine": "true",
-        "timestampFormat": TIMESTAMP_MICROS,
-        "timestampNTZFormat": TIMESTAMP_NTZ_MICROS,
-    }
+    # no fixed time format: Spark's default parser falls back to ISO parsing
+    # (any fraction up to microseconds, ``Z`` or an offset) when one is not given
+    opts = {"multiLine": "true"}
     opts.update(options or {})
     return _apply(spark.read, schema, opts).json(path)
 
@@ -101,8 +100,6 @@ def read_ndjson_tree(
         "recursiveFileLookup": "true",
         "pathGlobFilter": file_glob,
         "mode": "PERMISSIVE",
-        "timestampFormat": TIMESTAMP_MICROS,
-        "timestampNTZFormat": TIMESTAMP_NTZ_MICROS,
     }
     if corrupt_column:
         opts["columnNameOfCorruptRecord"] = corrupt_column

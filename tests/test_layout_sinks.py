@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 import re
 
@@ -241,3 +242,16 @@ def test_row_hash_accepts_map_columns(spark):
     assert [r.k for r in ordered.collect()] == sorted(r.k for r in df.collect())
     salts = df.select(row_salt(df, F.col("k") == 0, 4).alias("s")).collect()
     assert all(0 <= r.s < 4 for r in salts)
+
+
+def test_json_readers_accept_any_iso_spelling(spark, scratch):
+    from ledgerline.sources.files import read_ndjson_tree
+    folder = os.path.join(scratch, "spellings", "day=01")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "t.ndjson"), "w") as fh:
+        for ts in ["2025-01-01T00:00:00Z", "2025-01-01T00:00:00.654321Z", "2025-01-01 00:00:01",
+                   "2025-01-01T02:00:00.5+02:00"]:
+            fh.write(json.dumps({"ts": ts}) + "\n")
+    got = read_ndjson_tree(spark, os.path.join(scratch, "spellings"), schema="ts timestamp").collect()
+    assert len(got) == 4 and all(r.ts is not None for r in got)
+    assert any(r.ts.microsecond == 654321 for r in got)
