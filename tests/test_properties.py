@@ -140,3 +140,29 @@ def test_bucketed_hot_split_equals_brute_force(spark, left, right, min_share):
     got = bucketed_join(spark, "ledgerline_prop.l", "ledgerline_prop.r", "k", hot_side="right",
                         min_share=min_share, salt_buckets=3)
     assert sorted(tuple(r) for r in got.collect()) == brute
+
+
+ts_orders = st.lists(
+    st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 400)), st.one_of(st.none(), st.integers(1, 50)),
+              st.integers(0, 4 * 86_400 - 1)),
+    max_size=40)
+
+
+@SETTINGS
+@given(rows=ts_orders, parts=st.integers(1, 4))
+def test_orders_daily_matches_brute_force(spark, rows, parts):
+    import datetime as dt
+    from ledgerline.plans.orders import orders_daily
+    base = dt.datetime(2025, 3, 1)
+    data = [(s, None if p is None else p / 8, q, base + dt.timedelta(seconds=sec)) for s, p, q, sec in rows]
+    df = spark.createDataFrame(data, "security_id int, price double, quantity int, timestamp timestamp_ntz")
+    got = {(r.security_id, r.trade_date_str): (r.total_volume, r.avg_price)
+           for r in orders_daily(df.repartition(parts)).collect()}
+    groups = defaultdict(list)
+    for s, p, q, ts in data:
+        if p is not None and q is not None:
+            groups[(s, ts.strftime("%Y-%m-%d"))].append((p, q))
+    want = {k: (sum(q for _, q in v), sum(p for p, _ in v) / len(v)) for k, v in groups.items()}
+    assert got.keys() == want.keys()
+    for k, (vol, avg) in want.items():
+        assert got[k][0] == vol and abs(got[k][1] - avg) < 1e-9
