@@ -120,6 +120,8 @@ def main() -> None:
 
     timed("bucket_write", bucket_write)
     timed("join_bucketed", lambda: run_noop(bucketed_join(spark, names[0], names[1], KEY)))
+    timed("join_bucketed_hot_split", lambda: run_noop(bucketed_join(
+        spark, names[0], names[1], KEY, hot_side="right", min_share=0.001, salt_buckets=8)))
     timed("join_skew", lambda: run_noop(R.q_join_skew(spark, sf_dir)))
     timed("dimension_join", lambda: run_noop(R.q_dimension_join(spark, sf_dir)))
 
