@@ -68,6 +68,8 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--generate", type=int, metavar="N", help="N synthetic orders")
     src.add_argument("--json", help="multi-line JSON orders")
     p.add_argument("--partitions", type=int, default=50)
+    p.add_argument("--layout", choices=("auto", "key", "even"), default="auto",
+                   help="cache layout: by security (key), even, or key unless a security is hot (auto)")
     p.add_argument("--preview", type=int, default=20)
     p.add_argument("--parquet", default=None, help="day-partitioned output path")
     _add_jdbc(p)
@@ -116,7 +118,7 @@ def run(args, spark: SparkSession) -> dict:
         if args.generate is not None:
             res = orders.run_generated_orders(
                 spark, args.generate, args.partitions, preview_rows=args.preview,
-                parquet_path=args.parquet, jdbc=_jdbc(args))
+                parquet_path=args.parquet, jdbc=_jdbc(args), layout=args.layout)
         else:
             res = orders.run_orders_json(spark, args.json, args.preview, args.parquet, _jdbc(args))
         return {"job": "orders", **_jsonable(res)}

@@ -90,3 +90,9 @@ def test_cli_orders_prints_rows_as_objects(spark, capsys):
     assert [p["partition"] for p in res["partitions"]] == [0, 1, 2, 3]
     assert sum(p["rows"] for p in res["partitions"]) == 5000
     assert set(res["preview"][0]) == {"security_id", "trade_date_str", "total_volume", "avg_price"}
+    even = cli.main(["orders", "--generate", "5000", "--partitions", "4", "--preview", "2", "--layout", "even"],
+                    spark=spark)
+    assert sum(p["rows"] for p in even["partitions"]) == 5000
+    key_of = lambda r: (r["trade_date_str"], r["security_id"], r["total_volume"])
+    assert [key_of(r) for r in even["preview"]] == [key_of(r) for r in res["preview"]]
+    assert all(abs(a["avg_price"] - b["avg_price"]) < 1e-9 for a, b in zip(even["preview"], res["preview"]))
