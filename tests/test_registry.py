@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerline.plans.registry import ORACLE_SQL, QUERIES
 from tests.conftest import SF01
 from tests.oracle_compare import compare, duck_connection
 
@@ -12,7 +13,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,7 @@ def duck():
     return duck_connection(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     res = compare(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], SF01)
     assert res["columns_match"], res
