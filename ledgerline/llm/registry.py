@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.bpe_stream import encode_decode
+from ledgerline.llm.jaccard import similar_groups
 from ledgerline.llm.packing import pack_documents
+from ledgerline.llm.quality import MEASURES, with_quality
+from ledgerline.llm.secrets import secret_spans
 from ledgerline.llm.token_counts import token_counts
 from ledgerline.sources.tables import read_test_table
 
@@ -26,6 +29,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(read_test_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_test_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), capacity=2048, end_id=0)
 
@@ -38,10 +45,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_test_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), limit=1024)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_test_table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = with_quality(docs, read_test_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *(f"__quality.{c}" for c in MEASURES))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = similar_groups(read_test_table(spark, sf_dir, "documents"), width=3, percent=90)
+    return groups.selectExpr("doc AS doc_id", "n AS n_shingles", "component AS component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_stream": op7_bpe_stream,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
