@@ -16,6 +16,7 @@ from ledgerline.llm.jaccard import similar_groups
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import MEASURES, with_quality
 from ledgerline.llm.secrets import secret_spans
+from ledgerline.llm.suffix_dedup import dedup_substrings
 from ledgerline.llm.token_counts import token_counts
 from ledgerline.sources.tables import read_test_table
 
@@ -29,6 +30,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the contract removes all occurrences of a repeated string, the first included
+    cut = dedup_substrings(read_test_table(spark, sf_dir, "documents"), min_bytes=400, keep_first=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read_test_table(spark, sf_dir, "documents"))
 
@@ -57,6 +64,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_stream": op7_bpe_stream,
