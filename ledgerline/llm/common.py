@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,22 @@ class Scratch:
         release(self.spark, path)
 
 
+def bit_filter(wanted: DataFrame, column: str) -> tuple[Broadcast, int]:
+    """A broadcast array of bits that tells which 64-bit values may be wanted, and the bits of a value that it looks at.
+
+    Between 2^16 and 2^27 bits, at least 16 for each value as long as that
+    lasts: 16 MB at most.  Beyond, it lets more unwanted values through,
+    which joins have to sort out anyway.
+    """
+    bits = min(27, max(16, 4 + int(wanted.count()).bit_length()))
+    slot = F.pmod(column, F.lit(1 << bits))
+    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
+    mask = np.zeros((1 << bits) // 64, np.uint64)
+    for r in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toLocalIterator():  # at most 2^21 words
+        mask[r["w"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
+    return wanted.sparkSession.sparkContext.broadcast(mask), bits
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 

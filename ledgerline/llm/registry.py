@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.bpe_stream import encode_decode
+from ledgerline.llm.chaining import repeated_passages
 from ledgerline.llm.jaccard import similar_groups
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import MEASURES, with_quality
@@ -44,6 +45,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_test_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), capacity=2048, end_id=0)
 
 
+def op6_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_test_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_test_table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_collinear_chaining": op6_collinear_chaining,
     "op7_bpe_stream": op7_bpe_stream,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, slices
+from ledgerline.llm.common import Scratch, bit_filter, slices
 
 MIN_BYTES, SEED = 400, 48
 #: Different blocks of one minimizer that are sorted in one task.
@@ -76,25 +76,26 @@ def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_R))
 
 
+#: Bits that hold a place next to a hash; longer texts are taken in stretches.
+PLACE_BITS = 24
+
+
 def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost smallest value in each run of ``width`` values."""
-    n = len(x)
+    """Place of the smallest value (by its upper 40 bits, then leftmost) in each run of ``width`` values."""
+    n, most = len(x), 1 << PLACE_BITS
     if n < width:
         return np.empty(0, np.int64)
+    if n > most:
+        step = most - width + 1
+        return np.concatenate([a + sliding_argmin(x[a : a + most], width) for a in range(0, n - width + 1, step)])
     pad = -n % width
-    y = np.concatenate([x, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
+    y = np.full(n + pad, np.iinfo(np.uint64).max, np.uint64)
+    y[:n] = (x >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(n, dtype=np.uint64)
+    y = y.reshape(-1, width)
     before = np.minimum.accumulate(y, axis=1).reshape(-1)  # from the start of a stretch
     after = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].reshape(-1)  # to its end
     low = np.minimum(after[: n - width + 1], before[width - 1 : n])
-    # a minimum starts where the value itself equals it; the leftmost in reach is the first such place at or after the window's start
-    places = np.arange(n)
-    out = np.empty(n - width + 1, np.int64)
-    change = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-    ends = np.r_[change[1:], len(low)]
-    for a, b in zip(change, ends):  # windows a..b-1 share the smallest value
-        at = a + np.flatnonzero(x[a : b - 1 + width] == low[a])
-        out[a:b] = at[np.searchsorted(at, places[a:b])]
-    return out
+    return (low & np.uint64(most - 1)).astype(np.int64)
 
 
 def blocks_of(data: bytes, min_bytes: int = MIN_BYTES, seed: int = SEED) -> Iterator[tuple[int, int, int]]:
@@ -238,13 +239,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, min_bytes: int) -> Data
 
 def _contents(docs: DataFrame, text_col: str, min_bytes: int, wanted: DataFrame) -> DataFrame:
     """``h, b, bytes`` of the wanted blocks, and maybe of a few more: a bit filter of bounded size says which."""
-    bits = min(27, max(16, 4 + int(wanted.count()).bit_length()))
-    slot = F.pmod("b", F.lit(1 << bits))
-    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits"))
-    mask = np.zeros((1 << bits) // 64, np.uint64)
-    for r in words.toLocalIterator():  # at most 2^21 words
-        mask[r["w"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
-    shared = docs.sparkSession.sparkContext.broadcast(mask)
+    shared, bits = bit_filter(wanted, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have, low = shared.value, (1 << bits) - 1
