@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe_stream import encode_decode
 from ledgerline.llm.chaining import repeated_passages
 from ledgerline.llm.jaccard import similar_groups
+from ledgerline.llm.nn_descent import nearest
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import MEASURES, with_quality
 from ledgerline.llm.secrets import secret_spans
@@ -31,6 +33,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_test_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the contract removes all occurrences of a repeated string, the first included
     cut = dedup_substrings(read_test_table(spark, sf_dir, "documents"), min_bytes=400, keep_first=False)
@@ -69,6 +76,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nn_descent": op1_nn_descent,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
