@@ -33,6 +33,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import Scratch, slices
 from ledgerline.llm.components import components
@@ -275,7 +276,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     if {"__doc", "__kept", "__sig"} & {*docs.columns}:
         raise ValueError("the columns __doc, __kept and __sig are taken")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    signed = docs.mapInArrow(sign, docs.schema.add("__sig", "binary"))
+    signed = docs.mapInArrow(sign, T.StructType([*docs.schema.fields, T.StructField("__sig", T.BinaryType())]))
     there = F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.col("__sig") == F.col("__kept"))
     one = signed.where("__sig is not null").join(kept, there, "left_semi").dropDuplicates([id_col, "__sig"]).select(*own)
     return one.union(signed.where("__sig is null").select(*own))

@@ -20,6 +20,7 @@ from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import MEASURES, with_quality
 from ledgerline.llm.secrets import secret_spans
 from ledgerline.llm.suffix_dedup import dedup_substrings
+from ledgerline.llm.surrogates import pseudonymize
 from ledgerline.llm.token_counts import token_counts
 from ledgerline.sources.tables import read_test_table
 
@@ -52,6 +53,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_test_table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), capacity=2048, end_id=0)
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_test_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs, count="n_entities")
+
+
 def op6_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(read_test_table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op6_collinear_chaining": op6_collinear_chaining,
     "op7_bpe_stream": op7_bpe_stream,
     "op8_token_counts": op8_token_counts,
