@@ -44,7 +44,7 @@ SYLLABLES = {
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
 #: Types by priority; where patterns meet at one place, the earlier wins.
 TYPES = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])[3-8][0-9]{3}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
