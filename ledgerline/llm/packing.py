@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import arrow_rows, slices, staged
-from ledgerline.llm.token_counts import encoder
+from ledgerline.llm.memo_encoder import memo_encoder
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -122,16 +122,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        enc = encoder(tokenizer_path, 1 << 16, 512)
+        enc = memo_encoder(tokenizer_path)
         task, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             for part in slices(batch, 256):
                 row, piece, start, length, crc, rank = [], [], [], [], [], []
-                for i, ids in enumerate(enc.encode_batch([t or "" for t in part.column(1).to_pylist()])):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for i, t in enumerate(part.column(1).to_pylist()):
+                    ids = np.frombuffer(enc.encode(t or "") + end_id.to_bytes(4, "little"), "<u4")
                     first = len(ids) % capacity or capacity
                     edges = [0, *range(first, len(ids) + 1, capacity)]
                     for j in range(len(edges) - 1):
