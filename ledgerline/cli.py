@@ -32,12 +32,14 @@ def read_properties(path: str | None) -> dict[str, str]:
 def _jdbc(args) -> dict | None:
     if not getattr(args, "jdbc_url", None):
         return None
+    if not args.jdbc_table:
+        raise SystemExit("--jdbc-url needs --jdbc-table")
     return {"url": args.jdbc_url, "table": args.jdbc_table, "properties": read_properties(args.jdbc_properties)}
 
 
 def _add_jdbc(p: argparse.ArgumentParser, required: bool = False) -> None:
     p.add_argument("--jdbc-url", required=required)
-    p.add_argument("--jdbc-table", default="project1")
+    p.add_argument("--jdbc-table", help="target table (required with --jdbc-url)")
     p.add_argument("--jdbc-properties", help="properties file with user, password, driver")
 
 
@@ -57,7 +59,7 @@ def build_parser() -> argparse.ArgumentParser:
     p = sub.add_parser("joins", help="plain vs bucketed customer-transaction join")
     p.add_argument("--customers", required=True)
     p.add_argument("--transactions", required=True)
-    p.add_argument("--buckets", type=int, default=8)
+    p.add_argument("--buckets", type=int, default=None, help="default: from the input size")
     p.add_argument("--database", default="ledgerline_demo")
     p.add_argument("--base-path", default=None, help="table folder (default: the shared folder)")
     p.add_argument("--min-share", type=float, default=None,
@@ -67,7 +69,9 @@ def build_parser() -> argparse.ArgumentParser:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--generate", type=int, metavar="N", help="N synthetic orders")
     src.add_argument("--json", help="multi-line JSON orders")
-    p.add_argument("--partitions", type=int, default=50)
+    p.add_argument("--schema", default=None, help="DDL of the JSON fields (default: text ids, doubles, timestamp)")
+    p.add_argument("--permissive", action="store_true", help="JSON values that a type cannot hold become null")
+    p.add_argument("--partitions", type=int, default=None, help="lay orders out over so many partitions")
     p.add_argument("--layout", choices=("auto", "key", "even"), default="auto",
                    help="cache layout: by security (key), even, or key unless a security is hot (auto)")
     p.add_argument("--preview", type=int, default=20)
@@ -82,6 +86,9 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--permissive", action="store_true", help="malformed values become null")
     p.add_argument("--glob", default="*.ndjson")
     p.add_argument("--time-zone", default=None, help="zone of the output's date folders (default: session)")
+    p.add_argument("--tie-break", action="append", default=[], metavar="COLUMN",
+                   help="column that decides between equal receive times, largest first (repeatable)")
+    p.add_argument("--null-keys", choices=("collapse", "keep", "drop"), default="collapse")
     return parser
 
 
@@ -117,14 +124,18 @@ def run(args, spark: SparkSession) -> dict:
     if args.job == "orders":
         if args.generate is not None:
             res = orders.run_generated_orders(
-                spark, args.generate, args.partitions, preview_rows=args.preview,
+                spark, args.generate, args.partitions or 50, preview_rows=args.preview,
                 parquet_path=args.parquet, jdbc=_jdbc(args), layout=args.layout)
         else:
-            res = orders.run_orders_json(spark, args.json, args.preview, args.parquet, _jdbc(args))
+            res = orders.run_orders_json(
+                spark, args.json, args.preview, args.parquet, _jdbc(args),
+                schema=args.schema or orders.ORDER_SCHEMA, strict=not args.permissive,
+                partitions=args.partitions, layout=args.layout)
         return {"job": "orders", **_jsonable(res)}
     res = ticks.run_ticks(
         spark, args.raw, args.out, export_path=args.export, quarantine_path=args.quarantine,
-        strict=not args.permissive, file_glob=args.glob, time_zone=args.time_zone)
+        strict=not args.permissive, file_glob=args.glob, time_zone=args.time_zone,
+        tie_break=args.tie_break, null_keys=args.null_keys)
     return {"job": "ticks", **_jsonable(res)}
 
 

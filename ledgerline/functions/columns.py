@@ -6,6 +6,8 @@ whole-stage code generation and can be pushed or pruned by the optimizer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,3 +100,31 @@ def row_hash(schema: T.StructType, *leading: Column) -> Column:
     cols = [F.to_json(F.col(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`")
             for f in schema.fields]
     return F.xxhash64(*leading, *cols)
+
+
+def _fixed_width(dt: T.DataType) -> int:
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.DecimalType):
+        return 16
+    return 8
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of one row: fixed widths plus the real length of every string,
+    binary or nested value (nested values measured as their JSON text)."""
+    fixed = 0
+    measured: list[Column] = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            measured.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            measured.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            fixed += _fixed_width(f.dataType)
+    return reduce(lambda a, b: a + b, measured, F.lit(fixed).cast("long"))

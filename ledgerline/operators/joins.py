@@ -13,9 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.functions.columns import row_hash
+from ledgerline.functions.columns import row_bytes, row_hash
 from ledgerline.operators.profile import hot_keys
 
 _SALT = "__ledgerline_salt"
@@ -49,11 +48,14 @@ def inner_join(
 
     Output: the key columns once (taken from the left side), then
     ``left_cols`` and ``right_cols`` (default: all other columns), each read
-    through its side's alias so same-named columns cannot be confused.
+    through its side's alias.  An empty list takes none of a side's columns.
+    A name that both sides would contribute is refused: rename it first.
     """
     keys = _keys(on)
-    left_cols = [c for c in (left_cols or left.columns) if c not in keys]
-    right_cols = [c for c in (right_cols or right.columns) if c not in keys]
+    left_cols = [c for c in (left.columns if left_cols is None else left_cols) if c not in keys]
+    right_cols = [c for c in (right.columns if right_cols is None else right_cols) if c not in keys]
+    if clash := set(left_cols) & set(right_cols):
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
     joined = left.alias("l").join(right.alias("r"), _condition("l", "r", keys), "inner")
     return joined.select(
         *[_side("l", k).alias(k) for k in keys],
@@ -110,34 +112,6 @@ def bucketed_join(
     return cold.unionByName(hot_part.select(*cold.columns))
 
 
-def _fixed_width(dt: T.DataType) -> int:
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 16
-    return 8
-
-
-def _row_bytes(schema: T.StructType) -> Column:
-    """Bytes of one row: fixed widths plus the real length of every string,
-    binary or nested value (nested values measured as their JSON text)."""
-    fixed = 0
-    measured: list[Column] = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            measured.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            measured.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            fixed += _fixed_width(f.dataType)
-    return reduce(lambda a, b: a + b, measured, F.lit(fixed).cast("long"))
-
-
 def fits_broadcast(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
@@ -146,13 +120,14 @@ def fits_broadcast(
     """True when ``df`` has at most ``max_rows`` rows whose measured size
     (fixed widths plus real string lengths) is at most ``max_bytes``.
 
-    One job over ``limit(max_rows + 1)``: every task stops after that many
-    rows, so the check stays cheap on a large input, and when the count is
-    within ``max_rows`` every row was seen, so the byte total is a proven
-    bound rather than an estimate.
+    One aggregate over all rows: every task sends one row, whatever the size
+    of the input, and the total is a proven bound rather than an estimate.
+    It reads the whole side once; where that costs more than the broadcast
+    saves, leave the choice to adaptive execution, which knows the real
+    shuffle sizes.
     """
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df.schema)).alias("bytes")
+    probe = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")
     ).first()
     return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
 
@@ -225,6 +200,6 @@ def _salted_join(
             .otherwise(F.array(F.lit(0).cast("long")))
         ),
     )
-    big_cols = [c for c in (big_cols or big.columns) if c != on]
-    other_cols = [c for c in (other_cols or other.columns) if c != on]
+    big_cols = [c for c in (big.columns if big_cols is None else big_cols) if c != on]
+    other_cols = [c for c in (other.columns if other_cols is None else other_cols) if c != on]
     return inner_join(big_salted, other_salted, [on, _SALT], big_cols, other_cols).drop(_SALT)

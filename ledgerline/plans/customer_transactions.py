@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.joins import bucketed_join, inner_join, skew_join
 from ledgerline.operators.layout import write_bucketed
-from ledgerline.session import fresh_dir, shared_dir
+from ledgerline.plans.inspect import estimated_bytes
+from ledgerline.session import bucket_count, fresh_dir, shared_dir
 from ledgerline.sources.catalog import drop_table, ensure_database
 from ledgerline.sources.files import read_csv, string_schema
 
@@ -53,15 +54,20 @@ def write_bucketed_pair(
     customers: DataFrame,
     transactions: DataFrame,
     database: str = "ledgerline_demo",
-    buckets: int = 8,
+    buckets: int | None = None,
     base_path: str | None = None,
 ) -> tuple[str, str]:
     """Write both sides bucketed ``buckets`` ways by ``customer_id`` and sorted.
 
+    Without ``buckets`` there are enough for about 1 GiB of the larger side in
+    each, by the optimizer's size estimate of the inputs.
+
     Tables are external, at fresh paths under ``base_path`` (default: the
     shared folder), so re-running in a new session over old files works.
     Returns the two qualified table names.
     """
+    if buckets is None:
+        buckets = bucket_count(max(estimated_bytes(customers), estimated_bytes(transactions)))
     base = base_path or fresh_dir(spark, "bucketed")
     ensure_database(spark, database, location=shared_dir(spark, "warehouse", f"{database}.db"))
     names = (f"{database}.customers_bucketed", f"{database}.transactions_bucketed")
@@ -76,15 +82,15 @@ def bucketed_customer_transactions(
     customers: DataFrame,
     transactions: DataFrame,
     database: str = "ledgerline_demo",
-    buckets: int = 8,
+    buckets: int | None = None,
     base_path: str | None = None,
-    min_share: float | None = None,
+    min_share: float | None = 0.01,
     salt_buckets: int = 32,
 ) -> DataFrame:
     """Bucket both sides, then join the tables: no exchange on either side.
 
-    With ``min_share``, customers holding that share of all transactions
-    are joined apart over ``salt_buckets`` tasks (see :func:`bucketed_join`).
+    Customers holding ``min_share`` of all transactions are joined apart over
+    ``salt_buckets`` tasks (see :func:`bucketed_join`); ``None`` joins all alike.
     """
     left, right = write_bucketed_pair(spark, customers, transactions, database, buckets, base_path)
     if min_share is None:
@@ -106,7 +112,7 @@ def compare_join_strategies(
     customers: DataFrame,
     transactions: DataFrame,
     database: str = "ledgerline_demo",
-    buckets: int = 8,
+    buckets: int | None = None,
     base_path: str | None = None,
     min_share: float | None = None,
 ) -> JoinComparison:

@@ -51,3 +51,8 @@ def scan_summary(df: DataFrame) -> list[dict[str, str]]:
             elif not line.strip():
                 current = None
     return scans
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for a plain scan); nothing is read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -10,7 +10,7 @@ from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +24,11 @@ from ledgerline.sinks.jdbc import write_jdbc
 from ledgerline.sources.files import read_json_documents, read_parquet
 from ledgerline.sources.generate import generate_orders
 
+#: Default types of orders read from JSON: any id is kept as text, any number as a double.
 ORDER_SCHEMA = T.StructType([
-    T.StructField("security_id", T.LongType()),
+    T.StructField("security_id", T.StringType()),
     T.StructField("price", T.DoubleType()),
-    T.StructField("quantity", T.LongType()),
+    T.StructField("quantity", T.DoubleType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
 
@@ -101,20 +102,36 @@ def read_orders_json(
 ) -> DataFrame:
     """Orders from multi-line JSON documents (one task per file).
 
-    Timestamp fields are read as text and then parsed with Spark's ISO
-    rules (``T`` or space, optional fraction, ``Z`` or an offset), as the
-    reference's formatting of inferred text does; a fixed reader format
-    would silently turn every other spelling into null.  ``strict`` fails
-    on unparseable text (ANSI, as the reference); otherwise it becomes null.
+    Every field is read as text, so no spelling turns into null in the
+    reader, and then cast to ``schema``: ``2.5``, ``3.0``, ``"7"`` and text ids
+    all survive.  Timestamps follow Spark's ISO rules (``T`` or space,
+    optional fraction, ``Z`` or an offset).  ``strict`` fails on text that a
+    type cannot hold (ANSI); otherwise it becomes null, and
+    :func:`rejected_json_values` counts what did.
     """
-    temporal = {f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
-    as_text = T.StructType([
-        T.StructField(f.name, T.StringType(), f.nullable) if f.name in temporal else f for f in schema.fields
-    ])
-    raw = read_json_documents(spark, path, schema=as_text)
-    return raw.withColumns({
-        f.name: parse_timestamp(f.name, strict).cast(f.dataType) for f in schema.fields if f.name in temporal
-    })
+    raw = read_json_documents(spark, path, schema=_as_text(schema))
+    return raw.select(*[_typed(f, strict).alias(f.name) for f in schema.fields])
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType(), f.nullable) for f in schema.fields])
+
+
+def _typed(field: T.StructField, strict: bool) -> Column:
+    """Text field ``field.name`` in its type; a whole number may be spelt ``3.0``."""
+    text = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return parse_timestamp(field.name, strict).cast(field.dataType)
+    if isinstance(field.dataType, T.IntegralType):
+        text = F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")
+    return text.cast(field.dataType) if strict else text.try_cast(field.dataType)
+
+
+def rejected_json_values(spark: SparkSession, path: str, schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
+    """One row: for each field, how many values the permissive reading turns into null."""
+    raw = read_json_documents(spark, path, schema=_as_text(schema))
+    lost = {f.name: F.col(f"`{f.name}`").isNotNull() & _typed(f, strict=False).isNull() for f in schema.fields}
+    return raw.agg(*[F.count_if(cond).alias(name) for name, cond in lost.items()])
 
 
 @dataclass
@@ -199,9 +216,19 @@ def run_orders_json(
     preview_rows: int = 20,
     parquet_path: str | None = None,
     jdbc: dict | None = None,
+    schema: T.StructType | str = ORDER_SCHEMA,
+    strict: bool = True,
+    partitions: int | None = None,
+    layout: str = "auto",
 ) -> OrdersResult:
-    """Orders from multi-line JSON documents (explicit schema, no inference pass)."""
-    return run_orders(read_orders_json(spark, path), None, preview_rows, parquet_path, jdbc)
+    """Orders from multi-line JSON documents (explicit schema, no inference pass).
+
+    ``schema`` (a type or a DDL string) names the fields and their types;
+    ``partitions`` and ``layout`` lay the orders out as in :func:`run_orders`.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return run_orders(read_orders_json(spark, path, schema, strict), partitions, preview_rows, parquet_path, jdbc, layout)
 
 
 @dataclass

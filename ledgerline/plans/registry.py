@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.aggregate import count_rows, distinct_rows
 from ledgerline.operators.dedup import latest_per_key, latest_per_key_agg
 from ledgerline.operators.joins import dimension_join
+from ledgerline.operators.layout import repartition_by
 from ledgerline.operators.profile import key_skew, partition_profile
 from ledgerline.operators.quality import valid_quotes
 from ledgerline.plans.contacts import contacts_with_full_name, read_contacts
@@ -111,7 +113,12 @@ def q_order_daily_agg_topk(spark, sf_dir):
 
 
 def q_orders_clean_count(spark, sf_dir):
-    return count_rows(clean_orders(_orders(spark, sf_dir)))
+    """Orders without price (every seventh line number) or quantity (every fifth key) are dropped."""
+    lines = _table(spark, sf_dir, "lineitem").withColumns({
+        "l_extendedprice": F.when(F.col("l_linenumber") % 7 != 0, F.col("l_extendedprice")),
+        "l_quantity": F.when(F.col("l_orderkey") % 5 != 0, F.col("l_quantity")),
+    })
+    return count_rows(clean_orders(orders_from_lineitem(lines)))
 
 
 def q_layout_agg(spark, sf_dir):
@@ -137,7 +144,7 @@ def q_rt_parquet_prune(spark, sf_dir):
 def q_rt_json_multiline(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     path = fresh_dir(spark, "rt_json_multiline")
-    write_json_documents(orders, path, files=4)
+    write_json_documents(orders, path, target_bytes=1 << 20)
     return read_json_documents(spark, path, schema=orders.schema)
 
 
@@ -146,22 +153,44 @@ def q_orders_json_daily(spark, sf_dir):
     schema (instant timestamps), then the daily aggregate."""
     orders = _orders(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     path = fresh_dir(spark, "orders_json")
-    write_json_documents(orders, path, files=4)
-    return orders_daily(read_orders_json(spark, path), round_digits=AVG_DIGITS)
+    write_json_documents(orders, path, target_bytes=1 << 20)
+    schema = T.StructType.fromDDL("security_id bigint, price double, quantity bigint, timestamp timestamp")
+    return orders_daily(read_orders_json(spark, path, schema), round_digits=AVG_DIGITS)
+
+
+def q_orders_json_types(spark, sf_dir):
+    """Orders whose ids are text and whose quantities are fractions, whole numbers spelt
+    ``3.0`` and quoted numbers, read back from JSON documents with the default types."""
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("security_id"),
+        F.col("l_extendedprice").alias("price"),
+        (F.col("l_quantity") + F.when(F.col("l_linenumber") % 2 == 0, 0.5).otherwise(0.0)).alias("quantity"),
+        F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+        (F.col("l_linenumber") % 3 == 0).alias("quoted"),
+    )
+    base = fresh_dir(spark, "orders_json_types")
+    write_json_documents(lines.where("not quoted").drop("quoted"), f"{base}/numbers", target_bytes=1 << 20)
+    quoted = lines.where("quoted").drop("quoted").withColumn("quantity", F.col("quantity").cast("string"))
+    write_json_documents(quoted, f"{base}/quoted", target_bytes=1 << 20)
+    both = read_orders_json(spark, [f"{base}/numbers", f"{base}/quoted"])
+    return orders_daily(both, round_digits=AVG_DIGITS)
 
 
 # --- ticks -------------------------------------------------------------
 
 def q_tick_quality(spark, sf_dir):
-    return valid_quotes(_ticks(spark, sf_dir))
+    """Quotes with a zero, missing or too small ask (by event id) are dropped."""
+    by_id = F.col("event_id")
+    ask = F.when(by_id % 5 == 0, F.col("bid")).when(by_id % 11 == 0, F.lit(0.0)).when(by_id % 13 != 0, F.col("ask"))
+    return valid_quotes(_ticks(spark, sf_dir).withColumn("ask", ask))
 
 
 def q_tick_latest(spark, sf_dir):
-    return latest_per_key(q_tick_quality(spark, sf_dir), ["sequence_id"], ["recv_ts"], ["event_id"])
+    return latest_per_key(valid_quotes(_ticks(spark, sf_dir)), ["sequence_id"], ["recv_ts"], ["event_id"])
 
 
 def q_tick_latest_maxby(spark, sf_dir):
-    return latest_per_key_agg(q_tick_quality(spark, sf_dir), ["sequence_id"], ["recv_ts"], ["event_id"])
+    return latest_per_key_agg(valid_quotes(_ticks(spark, sf_dir)), ["sequence_id"], ["recv_ts"], ["event_id"])
 
 
 def q_tick_enrich(spark, sf_dir):
@@ -222,17 +251,33 @@ def q_doc_digits(spark, sf_dir):
     return contacts_with_full_name(contacts_from_documents(_table(spark, sf_dir, "documents")))
 
 
+def _contacts(spark, sf_dir):
+    """Contacts of all customers; every third comment holds no digit."""
+    contacts = contacts_from_customer(_table(spark, sf_dir, "customer"))
+    plain = F.regexp_replace("comment", r"\d", "")
+    return contacts.withColumn("comment", F.when(F.col("c_custkey") % 3 == 0, plain).otherwise(F.col("comment")))
+
+
 def q_text_digits(spark, sf_dir):
-    return contacts_with_full_name(contacts_from_customer(_table(spark, sf_dir, "customer")))
+    return contacts_with_full_name(_contacts(spark, sf_dir))
 
 
 def q_contacts_csv_e2e(spark, sf_dir):
     """Contacts written as a header CSV, read back as strings, then the contacts job."""
     path = fresh_dir(spark, "contacts_csv")
-    write_csv(contacts_from_customer(_table(spark, sf_dir, "customer")).drop("c_custkey"), path)
+    write_csv(_contacts(spark, sf_dir).drop("c_custkey"), path)
     return contacts_with_full_name(read_contacts(spark, path))
 
 
+def q_contacts_order(spark, sf_dir):
+    """The sorted contacts in their partitions: a partition whose smallest name comes before an earlier one's largest is out of order."""
+    ordered = contacts_with_full_name(_contacts(spark, sf_dir))
+    by_part = ordered.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min("last_name").alias("low"), F.max("last_name").alias("high"), F.count(F.lit(1)).alias("n"))
+    ends = by_part.withColumn("before", F.max("high").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    return ends.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("low") < F.col("before")).cast("bigint").alias("out_of_order"))
+
+
 def q_rt_csv(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = fresh_dir(spark, "rt_csv")
@@ -252,7 +297,7 @@ def q_csv_infer(spark, sf_dir):
 def q_compact(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = fresh_dir(spark, "compact")
-    write_compacted(customer, path, rows_per_file=500)
+    write_compacted(customer, path, target_bytes=1 << 20)
     return read_parquet(spark, path, schema=customer.schema)
 
 
@@ -313,8 +358,11 @@ def q_key_skew(spark, sf_dir):
 
 
 def q_partition_rows(spark, sf_dir):
-    profile = partition_profile(_table(spark, sf_dir, "lineitem"), key="l_partkey")
-    return profile.agg(F.sum("rows").alias("n_rows"))
+    """Profile of a layout by key: rows, smallest and largest key, and the distinct keys, which no two partitions share."""
+    by_key = repartition_by(_table(spark, sf_dir, "lineitem").select("l_partkey"), ["l_partkey"])
+    profile = partition_profile(by_key, key="l_partkey", exact_distinct=True)
+    return profile.agg(F.sum("rows").alias("n_rows"), F.sum("distinct_keys").alias("n_keys"),
+                       F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"))
 
 
 QUERIES: dict[str, Query] = {
@@ -326,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "gen": q_gen,
     "rt_parquet_prune": q_rt_parquet_prune,
     "orders_json_daily": q_orders_json_daily,
+    "orders_json_types": q_orders_json_types,
     "rt_json_multiline": q_rt_json_multiline,
     "tick_quality": q_tick_quality,
     "tick_latest": q_tick_latest,
@@ -337,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "doc_digits": q_doc_digits,
     "text_digits": q_text_digits,
     "contacts_csv_e2e": q_contacts_csv_e2e,
+    "contacts_order": q_contacts_order,
     "rt_csv": q_rt_csv,
     "csv_infer": q_csv_infer,
     "compact": q_compact,
@@ -421,19 +471,24 @@ SELECT security_id, price, quantity, "timestamp", price * quantity AS trade_valu
        strftime("timestamp", '%Y-%m-%d') AS trade_date_str FROM clean""",
     "order_daily_agg": _ORDERS_CTE + "SELECT * FROM daily",
     "order_daily_agg_topk": _ORDERS_CTE + "SELECT * FROM daily ORDER BY trade_date_str, security_id LIMIT 20",
-    "orders_clean_count": _ORDERS_CTE + "SELECT count(*) AS n_rows FROM clean",
+    "orders_clean_count": "SELECT count(*) AS n_rows FROM lineitem WHERE l_linenumber % 7 <> 0 AND l_orderkey % 5 <> 0",
     "layout_agg": _ORDERS_CTE + "SELECT * FROM daily",
     "gen": """
 SELECT CAST(id % 1000 AS INTEGER) AS security_id,
-       CAST(((id % 1000003) * 7919 + 13) % 10000 AS DOUBLE) / 100.0 AS price,
-       CAST(1 + ((id % 1000003) * 104729 + 7) % 100 AS INTEGER) AS quantity,
-       TIMESTAMP '2025-01-01 00:00:00' + to_seconds(((id % 1000003) * 15485863 + 11) % 31536000) AS "timestamp"
+       CAST(((id % 2147483647) * 7919 + 13) % 10000 AS DOUBLE) / 100.0 AS price,
+       CAST(1 + ((id % 2147483647) * 104729 + 7) % 100 AS INTEGER) AS quantity,
+       TIMESTAMP '2025-01-01 00:00:00' + to_seconds(((id % 2147483647) * 15485863 + 11) % 31536000) AS "timestamp"
 FROM (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM lineitem)""",
     "rt_parquet_prune": _ORDERS_CTE + f"""
 SELECT * FROM daily WHERE trade_date_str BETWEEN '{PRUNE_FROM}' AND '{PRUNE_TO}'""",
     "rt_json_multiline": "SELECT * FROM orders",
     "orders_json_daily": _ORDERS_CTE + "SELECT * FROM daily",
-    "tick_quality": _TICKS_CTE + "SELECT * FROM valid",
+    "orders_json_types": f"""
+SELECT 'S' || CAST(l_partkey AS VARCHAR) AS security_id, strftime(l_shipdate, '%Y-%m-%d') AS trade_date_str,
+       sum(l_quantity + CASE WHEN l_linenumber % 2 = 0 THEN 0.5 ELSE 0 END)::DOUBLE AS total_volume,
+       round(avg(l_extendedprice), {AVG_DIGITS}) AS avg_price
+FROM lineitem GROUP BY 1, 2""",
+    "tick_quality": _TICKS_CTE + "SELECT * FROM valid WHERE event_id % 5 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0",
     "tick_latest": _TICKS_CTE + "SELECT * FROM latest",
     "tick_latest_maxby": _TICKS_CTE + "SELECT * FROM latest",
     "tick_enrich": _TICKS_CTE + "SELECT * FROM enriched",
@@ -447,11 +502,14 @@ FROM documents WHERE regexp_matches(text, '\d+')""",
     "text_digits": r"""
 SELECT c_custkey, c_name AS last_name, c_mktsegment AS first_name, c_name AS comment,
        c_name || ', ' || c_mktsegment AS full_name
-FROM customer WHERE regexp_matches(c_name, '\d+')""",
+FROM customer WHERE c_custkey % 3 <> 0 AND regexp_matches(c_name, '\d+')""",
     "contacts_csv_e2e": r"""
 SELECT c_name AS last_name, c_mktsegment AS first_name, c_name AS comment,
        c_name || ', ' || c_mktsegment AS full_name
-FROM customer WHERE regexp_matches(c_name, '\d+')""",
+FROM customer WHERE c_custkey % 3 <> 0 AND regexp_matches(c_name, '\d+')""",
+    "contacts_order": r"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order
+FROM customer WHERE c_custkey % 3 <> 0 AND regexp_matches(c_name, '\d+')""",
     "rt_csv": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
@@ -476,5 +534,7 @@ FROM orders o JOIN (VALUES ('F', 'fulfilled'), ('O', 'open'), ('P', 'partial'))
 SELECT l_partkey AS security_id, count(*) AS n_rows,
        round(count(*) / (SELECT count(*) FROM lineitem), 8) AS share
 FROM lineitem GROUP BY 1""",
-    "partition_rows": "SELECT count(*) AS n_rows FROM lineitem",
+    "partition_rows": """
+SELECT count(*) AS n_rows, count(DISTINCT l_partkey) AS n_keys, min(l_partkey) AS min_key, max(l_partkey) AS max_key
+FROM lineitem""",
 }

@@ -23,9 +23,8 @@ from ledgerline.functions.columns import (
     to_double,
 )
 from ledgerline.operators.dedup import latest_per_key
-from ledgerline.operators.layout import persisted
-from ledgerline.operators.quality import quote_is_valid, split_corrupt
-from ledgerline.sinks.files import is_empty, write_compacted, write_partitioned
+from ledgerline.operators.quality import quote_is_valid, split_corrupt, valid_quotes
+from ledgerline.sinks.files import is_empty, require_apart, write_compacted, write_partitioned
 from ledgerline.sources.files import read_ndjson_tree, read_parquet, string_schema
 
 RAW_TICK_COLUMNS = (
@@ -110,9 +109,12 @@ def process_ticks(
     return enrich_ticks(latest, time_zone)
 
 
-def processed_schema(processed: DataFrame) -> T.StructType:
-    """Schema to read the partitioned output back with unchanged types."""
-    return processed.schema
+def raw_tick_schema(spark: SparkSession, raw_root: str, file_glob: str = "*.ndjson") -> T.StructType:
+    """The expected raw fields, and all others that the tree holds, with plain values as text."""
+    found = read_ndjson_tree(spark, raw_root, file_glob=file_glob, corrupt_column=CORRUPT_COLUMN,
+                             options={"primitivesAsString": "true"}).schema
+    extra = [f for f in found.fields if f.name not in RAW_TICK_COLUMNS and f.name != CORRUPT_COLUMN]
+    return T.StructType([*RAW_TICK_SCHEMA.fields, *extra])
 
 
 def read_processed(
@@ -148,47 +150,51 @@ def run_ticks(
     ingest_ts: Column | str | dt.datetime | None = None,
     tie_break: Sequence[str] = (),
     null_keys: str = "collapse",
-    rows_per_export_file: int = 2_000_000,
+    export_file_bytes: int = 256 * 1024 * 1024,
     file_glob: str = "*.ndjson",
     time_zone: str | None = None,
+    schema: T.StructType | None = None,
 ) -> TicksResult:
     """The whole ticks job over a landing tree of NDJSON files.
 
+    * every field of the raw lines reaches the output: without ``schema`` the
+      field names are found by a pass over the tree (all values as text);
+      with it, those fields are read in one pass and no others;
+    * output, export, quarantine and raw root must be apart from each other
+      (not equal, inside or around one another, however spelt);
+
     * nothing to read, or nothing left after processing: nothing is written
       (an existing output is left in place);
     * the main output is Parquet partitioned by year/month/day/pair_clean;
-    * the optional export is a few bounded files at ``export_path`` (a
-      sibling path, never inside ``output_path``), made from the written
-      output so both carry identical rows and ingest stamps;
+    * the optional export is a few files of about ``export_file_bytes`` at
+      ``export_path``, made from the written output so both carry identical
+      rows and ingest stamps;
     * with ``quarantine_path`` malformed lines are kept there (JSON rows whose
       ``_corrupt_record`` holds the line).
     """
-    if export_path and export_path.rstrip("/").startswith(output_path.rstrip("/") + "/"):
-        raise ValueError("export_path must not lie inside output_path")
+    require_apart(spark, {"raw_root": raw_root, "output_path": output_path,
+                          "export_path": export_path, "quarantine_path": quarantine_path})
     # A malformed line reads as an all-null row, which the quote filter drops;
     # the main path therefore needs no corrupt-record column.
-    raw = read_ndjson_tree(spark, raw_root, schema=RAW_TICK_SCHEMA, file_glob=file_glob)
+    schema = schema or raw_tick_schema(spark, raw_root, file_glob)
+    raw = read_ndjson_tree(spark, raw_root, schema=schema, file_glob=file_glob)
     quarantined = 0
     if quarantine_path:
         with_lines = read_ndjson_tree(
             spark, raw_root, file_glob=file_glob, corrupt_column=CORRUPT_COLUMN,
-            schema=T.StructType(RAW_TICK_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())]),
+            schema=T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())]),
         )
         _, bad = split_corrupt(with_lines, CORRUPT_COLUMN)
         bad.write.mode("overwrite").json(quarantine_path)
         quarantined = spark.read.text(quarantine_path).count()
-    if is_empty(raw):
+    # The latest of a non-empty set is not empty, so one valid quote is enough:
+    # the check is narrow and stops at the first, and nothing has to be cached.
+    if is_empty(valid_quotes(parse_ticks(raw, strict, ingest_ts))):
         return TicksResult(False, 0, quarantined, output_path, None)
     processed = process_ticks(raw, strict, ingest_ts, tie_break=tie_break, null_keys=null_keys,
                               time_zone=time_zone)
-    # The empty check needs the whole shuffle and window; keep the deduplicated
-    # rows (one per sequence) so the write does not run the job a second time.
-    with persisted(processed):
-        if is_empty(processed):
-            return TicksResult(False, 0, quarantined, output_path, None)
-        write_partitioned(processed, output_path, PARTITION_COLUMNS)
+    write_partitioned(processed, output_path, PARTITION_COLUMNS)
     written = read_parquet(spark, output_path, schema=processed.schema)
-    rows = written.count()
     if export_path:
-        write_compacted(written, export_path, rows_per_file=rows_per_export_file, total_rows=rows)
-    return TicksResult(True, rows, quarantined, output_path, export_path)
+        write_compacted(written, export_path, target_bytes=export_file_bytes)
+    return TicksResult(True, written.count(), quarantined, output_path, export_path)

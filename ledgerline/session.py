@@ -9,6 +9,7 @@ rebalance hints are honoured at run time.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ MIB = 1024 * 1024
 def scale_conf(
     input_bytes: int,
     shuffle_partition_bytes: int = 256 * MIB,
-    max_shuffle_partitions: int = 100_000,
+    scan_split_bytes: int = 256 * MIB,
 ) -> dict[str, str]:
     """Partition sizing for a job that reads about ``input_bytes``.
 
@@ -44,20 +45,28 @@ def scale_conf(
       input lands in about ``shuffle_partition_bytes`` per partition (the
       worst case; adaptive execution coalesces the smaller shuffles);
     * ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: the same target,
-      so coalesced and split partitions also fit in an executor's memory;
-    * ``spark.sql.files.maxPartitionBytes``: 128 MiB scan splits up to
-      1 TB, 512 MiB beyond, keeping a 100 TB scan near 200 000 tasks.
+      so coalesced and split partitions also fit in an executor's memory
+      (``parallelismFirst`` is off, or Spark would not honour it);
+    * ``spark.sql.files.maxPartitionBytes``: the scan split.
+
+    The same rule holds at every size: 100 TB give about 400 000 shuffle
+    partitions and as many splits with the defaults; larger sizes for either
+    trade fewer tasks for more memory in each.
     """
-    partitions = -(-input_bytes // shuffle_partition_bytes)
-    partitions = max(200, min(max_shuffle_partitions, partitions))
-    split = 128 * MIB if input_bytes <= 1 << 40 else 512 * MIB
+    partitions = max(200, -(-input_bytes // shuffle_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
     }
 
 
+def bucket_count(input_bytes: int, bucket_bytes: int = 1024 * MIB, least: int = 8) -> int:
+    """Buckets of about ``bucket_bytes`` each for ``input_bytes``: a power of two, so tables of any size join in step."""
+    return max(least, 1 << max(0, -(-input_bytes // bucket_bytes) - 1).bit_length())
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerline",
@@ -103,7 +112,13 @@ def _size_listing(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getConf().contains(_LISTING_KEY):
         return
-    spark.conf.set(_LISTING_KEY, str(min(10_000, 2 * sc.defaultParallelism)))
+    spark.conf.set(_LISTING_KEY, str(2 * sc.defaultParallelism))
+
+
+def require_local(master: str) -> None:
+    """Raise unless ``master`` runs everything in this process, where a private folder is seen by all."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -111,14 +126,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     It is the checkpoint folder the cluster names (``spark.checkpoint.dir``,
     which Spark turns into ``SparkContext.getCheckpointDir()``).  Only when
-    none is configured -- a local test run -- a private temporary folder is
-    created and registered as the checkpoint folder.
+    none is configured and the master is local -- a test run -- a private
+    temporary folder is created and registered as the checkpoint folder; on
+    any other master that is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        require_local(sc.master)
         base = tempfile.mkdtemp(prefix="ledgerline-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import row_bytes
 from ledgerline.sources.files import TIMESTAMP_MICROS, TIMESTAMP_NTZ_MICROS
 
 SHUFFLE_STRATEGIES = ("rebalance", "repartition", "none")
@@ -60,30 +61,44 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as its file system spells it, without a slash at the end."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString().rstrip("/")
+
+
+def require_apart(spark: SparkSession, paths: dict[str, str | None]) -> None:
+    """Raise unless the given paths (by name; ``None`` is skipped) are neither
+    equal nor inside one another, whatever their spelling."""
+    whole = [(name, qualified(spark, p)) for name, p in paths.items() if p]
+    for i, (a, x) in enumerate(whole):
+        for b, y in whole[:i]:
+            if x == y or x.startswith(y + "/") or y.startswith(x + "/"):
+                raise ValueError(f"{a} and {b} must be apart: {x}, {y}")
+
+
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as measured by :func:`row_bytes` (one pass, one number per task)."""
+    return df.agg(F.sum(row_bytes(df.schema)).alias("n")).first()["n"] or 0
+
+
 def write_compacted(
     df: DataFrame,
     path: str,
-    rows_per_file: int = 2_000_000,
+    target_bytes: int = 256 * 1024 * 1024,
     mode: str = "overwrite",
     compression: str = "snappy",
-    total_rows: int | None = None,
 ) -> int:
-    """Few, bounded files: ``ceil(rows / rows_per_file)`` files of at most
-    ``rows_per_file`` rows each.  Returns the number of files aimed at.
+    """Few, evenly filled files of about ``target_bytes`` each (measured before
+    encoding and compression, so files come out smaller).  Returns their number.
 
     Replaces the reference's ``coalesce(1)`` debug export, which funnels the
     whole dataset through one task.  Write it to its own path, never inside
     a partitioned dataset's directory.
     """
-    rows = df.count() if total_rows is None else total_rows
-    files = max(1, math.ceil(rows / rows_per_file))
-    (
-        df.repartition(files)
-        .write.mode(mode)
-        .option("compression", compression)
-        .option("maxRecordsPerFile", rows_per_file)
-        .parquet(path)
-    )
+    files = max(1, math.ceil(text_bytes(df) / target_bytes))
+    df.repartition(files).write.mode(mode).option("compression", compression).parquet(path)
     return files
 
 
@@ -93,7 +108,13 @@ def write_ndjson(
     partition_cols: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
-    """One JSON object per line; timestamps keep microseconds."""
+    """One JSON object per line; timestamps keep microseconds.
+
+    With ``partition_cols`` the rows of a folder meet in few tasks first (a
+    rebalance hint), so each folder gets few files, and a hot one is split.
+    """
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode(mode).options(**_JSON_TIME_OPTIONS)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -101,7 +122,10 @@ def write_ndjson(
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    """CSV that keeps blanks around values.  A value with a line break is quoted;
+    read such files with ``options={"multiLine": "true"}`` (one task per file)."""
+    options = {"header": str(header).lower(), "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def _bracket_step():
@@ -130,21 +154,22 @@ def write_json_documents(
     path: str,
     files: int | None = None,
     mode: str = "overwrite",
-    rows_per_file: int = 1_000_000,
+    target_bytes: int = 64 * 1024 * 1024,
 ) -> int:
     """Multi-line JSON: files that each hold one JSON array of row objects.
 
-    ``files`` fixes the file count; by default it is ``ceil(rows /
-    rows_per_file)``, so every file (and the one task a reader spends on
-    it) stays bounded.  Rows are rendered by ``to_json`` in the JVM; a
+    ``files`` fixes the file count; by default files hold about
+    ``target_bytes``, so every file (and the one task a reader spends on it)
+    stays bounded.  A session's cap on records per file does not apply, as it
+    would cut a document in two.  Rows are rendered by ``to_json`` in the JVM; a
     streaming Arrow step only adds the brackets and commas, holding one
     batch at a time.  Returns the number of files aimed at.
     """
     if files is None:
-        files = max(1, math.ceil(df.count() / rows_per_file))
-    lines = df.select(F.to_json(F.struct(*df.columns), _JSON_TIME_OPTIONS).alias("value"))
+        files = max(1, math.ceil(text_bytes(df) / target_bytes))
+    lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _JSON_TIME_OPTIONS).alias("value"))
     documents = lines.repartition(files).mapInPandas(_bracket_step(), "value string")
-    documents.write.mode(mode).text(path)
+    documents.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     return files
 
 

@@ -2,8 +2,7 @@
 
 Connection details (URL, user, password, driver class) come from the
 caller; nothing is kept in code.  Every write task opens one connection, so
-``num_partitions`` bounds the load put on the database (Spark coalesces to
-it before writing).
+``num_partitions`` bounds the load put on the database.
 """
 
 from __future__ import annotations
@@ -39,8 +38,13 @@ def write_jdbc(
     batch_size: int = 10_000,
     truncate: bool = False,
 ) -> None:
-    """``df.write.mode(mode).jdbc(url, table, properties)`` with bounded connections."""
-    writer = df.write.mode(mode).options(
+    """``df.write.mode(mode).jdbc(url, table, properties)`` with bounded connections.
+
+    The rows are dealt over ``num_partitions`` first: only the inserts run in
+    so few tasks, not the scan and the transformations before them (which
+    Spark's own coalescing to ``numPartitions`` would narrow as well).
+    """
+    writer = df.repartition(num_partitions).write.mode(mode).options(
         **jdbc_write_options(num_partitions, batch_size, truncate)
     )
     writer.jdbc(url, table, properties=dict(properties))

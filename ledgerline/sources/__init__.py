@@ -19,11 +19,11 @@ from ledgerline.sources.files import (
     string_schema,
 )
 from ledgerline.sources.generate import generate_orders, order_columns
-from ledgerline.sources.rows import CURRENCIES, currencies, from_rows
+from ledgerline.sources.rows import from_rows
 
 __all__ = [
-    "CURRENCIES", "TIMESTAMP_MICROS", "TIMESTAMP_NTZ_MICROS", "abfss_conf", "abfss_uri",
-    "currencies", "drop_table", "ensure_database", "from_rows", "generate_orders",
+    "TIMESTAMP_MICROS", "TIMESTAMP_NTZ_MICROS", "abfss_conf", "abfss_uri",
+    "drop_table", "ensure_database", "from_rows", "generate_orders",
     "list_tables", "order_columns", "read_csv", "read_json_documents", "read_ndjson_tree",
     "read_parquet", "read_table", "string_schema", "use_database",
 ]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Generator constants (own choice; primes keep the sequences spread out).
-ID_MODULUS = 1_000_003          # ids are reduced first so no product can overflow a long
+ID_MODULUS = 2_147_483_647      # ids are reduced first so no product can overflow a long
 PRICE_MULTIPLIER = 7919
 PRICE_OFFSET = 13
 QUANTITY_MULTIPLIER = 104729

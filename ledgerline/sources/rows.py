@@ -7,18 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# The reference's currency lookup (code, name), in its order.
-CURRENCIES: list[tuple[str, str]] = [
-    ("USD", "US Dollar"),
-    ("INR", "Indian Rupee"),
-    ("EUR", "Euro"),
-]
-
-CURRENCY_SCHEMA = T.StructType([
-    T.StructField("code", T.StringType(), False),
-    T.StructField("name", T.StringType(), False),
-])
-
 #: Largest row list accepted: the rows travel inside the plan, so they must stay small.
 MAX_INLINE_ROWS = 100_000
 
@@ -36,7 +24,3 @@ def from_rows(
             f"(limit {MAX_INLINE_ROWS})"
         )
     return spark.createDataFrame(data, schema)
-
-
-def currencies(spark: SparkSession) -> DataFrame:
-    return from_rows(spark, CURRENCIES, CURRENCY_SCHEMA)

@@ -38,7 +38,7 @@ def test_orders_json_accepts_any_iso_timestamp(spark, scratch):
     orders = read_orders_json(spark, folder)
     assert orders.filter("timestamp IS NULL").count() == 0
     daily = {(r.security_id, r.trade_date_str): (r.total_volume, r.avg_price) for r in orders_daily(orders).collect()}
-    assert daily == {(1, "2025-05-05"): (8, 3.0), (2, "2025-05-06"): (5, 4.0)}
+    assert daily == {("1", "2025-05-05"): (8, 3.0), ("2", "2025-05-06"): (5, 4.0)}
 
 
 def test_join_comparison(spark, scratch):

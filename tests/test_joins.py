@@ -84,13 +84,13 @@ def test_salt_spreads_exact_copies(spark):
 def test_bucketed_join_no_exchange_and_equal(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4)
+        out = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4, min_share=None)
         assert count_nodes(out, "Exchange") == 0
         assert "SortMergeJoin" in physical_plan(out)
         assert rows_of(out) == rows_of(join_customer_transactions(customers(spark), transactions(spark)))
         assert list_tables(spark, "ledgerline_demo") == ["customers_bucketed", "transactions_bucketed"]
         # re-running over the existing catalog entries works
-        again = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4)
+        again = bucketed_customer_transactions(spark, customers(spark), transactions(spark), buckets=4, min_share=None)
         assert again.count() == out.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -28,7 +28,7 @@ from ledgerline.sinks.files import (
 )
 from ledgerline.sinks.jdbc import jdbc_write_options
 from ledgerline.sources.files import read_csv, read_json_documents, read_ndjson_tree, read_parquet
-from ledgerline.sources.rows import CURRENCIES, MAX_INLINE_ROWS, currencies, from_rows
+from ledgerline.sources.rows import MAX_INLINE_ROWS, from_rows
 
 
 def parquet_files(path):
@@ -38,7 +38,7 @@ def parquet_files(path):
 def test_compacted_file_count_bounded(spark, scratch):
     df = spark.range(0, 2500, 1, 9)
     path = os.path.join(scratch, "c")
-    assert write_compacted(df, path, rows_per_file=1000) == 3
+    assert write_compacted(df, path, target_bytes=8 * 1000) == 3
     assert len(parquet_files(path)) == 3
     assert spark.read.parquet(path).count() == 2500
 
@@ -82,9 +82,13 @@ def test_json_documents_round_trip(spark, scratch):
     assert len(glob.glob(os.path.join(path, "part-*"))) == 3
     back = read_json_documents(spark, path, schema=df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
-    # sized by rows: 50 rows at 20 per file -> 3 files
+    # sized by bytes: 50 rows of three 8-byte values at 20 rows per file -> 3 files
     sized = os.path.join(scratch, "docs_sized")
-    assert write_json_documents(df, sized, rows_per_file=20) == 3
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)      # would cut a document in two
+    try:
+        assert write_json_documents(df, sized, target_bytes=20 * 24) == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert len(glob.glob(os.path.join(sized, "part-*"))) == 3
     assert sorted(read_json_documents(spark, sized, schema=df.schema).collect()) == sorted(df.collect())
 
@@ -132,8 +136,9 @@ def test_shared_dir_uses_checkpoint_setting(spark):
 
 
 def test_rows_source_and_bound(spark):
-    df = currencies(spark)
-    assert [tuple(r) for r in df.collect()] == CURRENCIES
+    rows = [("a", "first"), ("b", "second")]
+    df = from_rows(spark, rows, "code string not null, name string not null")
+    assert [tuple(r) for r in df.collect()] == rows
     assert [f.nullable for f in df.schema.fields] == [False, False]
     with pytest.raises(ValueError):
         from_rows(spark, [("a", "b")] * (MAX_INLINE_ROWS + 1), "code string, name string")
@@ -169,14 +174,60 @@ def test_object_store_helpers():
 def test_scale_conf_sizes_partitions():
     from ledgerline.session import scale_conf
     big = scale_conf(100 * (1 << 40))                   # 100 TiB
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000          # capped
-    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * (1 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 400 * 1024       # 256 MiB each, no cap
     mid = scale_conf(1 << 40)                           # 1 TiB: 4096 x 256 MiB
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096
-    assert int(mid["spark.sql.files.maxPartitionBytes"]) == 128 * (1 << 20)
+    assert mid["spark.sql.files.maxPartitionBytes"] == big["spark.sql.files.maxPartitionBytes"]
+    assert int(scale_conf(1 << 40, scan_split_bytes=1 << 29)["spark.sql.files.maxPartitionBytes"]) == 1 << 29
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
 
+def test_bucket_count_follows_the_input():
+    from ledgerline.session import bucket_count
+    assert [bucket_count(n) for n in (0, 1 << 30, 9 << 30, 1 << 40, 100 << 40)] == [8, 8, 16, 1024, 131072]
+
+
+def test_private_folder_needs_a_local_master():
+    from ledgerline.session import require_local
+    for master in ("local", "local[4]", "local[*]", "local[4, 2]"):
+        require_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError):
+            require_local(master)
+
+
+def test_paths_must_be_apart(spark, scratch):
+    from ledgerline.sinks.files import require_apart
+    out = f"{scratch}/out"
+    require_apart(spark, {"a": out, "b": f"{scratch}/out2", "c": None})
+    for other in (out, f"{out}/", f"file:{out}/x", f"file://{out}", scratch, f"{scratch}/x/../out"):
+        with pytest.raises(ValueError):
+            require_apart(spark, {"a": out, "b": other})
+
+
+def test_csv_keeps_blanks_and_line_breaks(spark, scratch):
+    rows = [(" a ", "x"), ("b\nc", " y"), ('q"q', "")]
+    path = os.path.join(scratch, "csv")
+    write_csv(spark.createDataFrame(rows, "s string, t string"), path)
+    back = read_csv(spark, path, options={"multiLine": "true", "emptyValue": ""})
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_ndjson_folders_get_few_files(spark, scratch):
+    path = os.path.join(scratch, "tree")
+    write_ndjson(spark.range(0, 4000, 1, 20).withColumn("p", F.col("id") % 4), path, ["p"])
+    assert len(glob.glob(os.path.join(path, "p=*", "part-*"))) < 20
+
+
+def test_jdbc_write_narrows_the_inserts_only(spark, monkeypatch):
+    from ledgerline.sinks import jdbc
+    seen = {}
+    from pyspark.sql import DataFrameWriter
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, properties=None: seen.update(df=self._df))
+    jdbc.write_jdbc(spark.range(0, 1000, 1, 40), "jdbc:none", "t", {}, num_partitions=3)
+    assert "RoundRobinPartitioning(3)" in seen["df"]._jdf.queryExecution().toString()
+
+
 def test_sort_splits_a_hot_value_over_ranges(spark):
     # one value holds most rows, spread over 8 input splits as exact copies
     hot = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))

@@ -15,9 +15,10 @@ from ledgerline.plans.orders import (
     orders_daily,
     read_daily,
     read_orders_json,
+    rejected_json_values,
     run_orders,
 )
-from ledgerline.sources.generate import generate_orders
+from ledgerline.sources.generate import generate_orders, order_columns
 
 ROWS = [
     # security, price, quantity, timestamp
@@ -145,7 +146,29 @@ def test_multiline_json_orders(spark, scratch):
     df = read_orders_json(spark, scratch)
     assert df.count() == 3
     rows = {(r.security_id, r.trade_date_str): r.total_volume for r in orders_daily(df).collect()}
-    assert rows == {(7, "2025-01-01"): 2, (8, "2025-01-02"): 3}
+    assert rows == {("7", "2025-01-01"): 2, ("8", "2025-01-02"): 3}
+
+
+def test_json_values_of_any_spelling_survive(spark, scratch):
+    values = [("AAPL", 2.5), ("AAPL", "3.0"), (7, 4.0), (7, "5"), (None, 1)]
+    docs = [{"security_id": i, "price": 1.0, "quantity": q, "timestamp": "2025-01-01T10:00:00Z"} for i, q in values]
+    with open(os.path.join(scratch, "o.json"), "w") as fh:
+        json.dump(docs, fh)
+    rows = {r.security_id: r.total_volume for r in orders_daily(read_orders_json(spark, scratch)).collect()}
+    assert rows == {"AAPL": 5.5, "7": 9.0, None: 1.0}
+    whole = T.StructType.fromDDL("security_id string, price double, quantity bigint, timestamp timestamp")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_orders_json(spark, scratch, whole).collect()
+    lenient = read_orders_json(spark, scratch, whole, strict=False)
+    assert sorted(r.quantity for r in lenient.collect() if r.quantity is not None) == [1, 3, 4, 5]
+    lost = rejected_json_values(spark, scratch, whole).first().asDict()
+    assert lost == {"security_id": 0, "price": 0, "quantity": 1, "timestamp": 0}
+
+
+def test_generator_repeats_no_order(spark):
+    moved = spark.range(0, 10).select(*order_columns(F.col("id"))).exceptAll(
+        spark.range(1_000_003, 1_000_013).select(*order_columns(F.col("id"))))
+    assert moved.count() == 10
 
 
 def test_generator_is_deterministic_across_partitionings(spark):
