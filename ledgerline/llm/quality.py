@@ -108,27 +108,35 @@ def with_quality(
     if name in docs.columns:
         raise ValueError(f"{name} is taken")
     weights = bucket_weights(docs, labels, id_col, text_col, buckets, target_docs).scalar()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    own = lambda c: F.col(f"__m.{c}")
-    w = F.col("__w")
-    score = let(F.col("__weights"), lambda m: F.aggregate(gram_buckets(F.col("__h"), buckets), F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(m, b.cast("int"))))
-    measured = docs.withColumn("__w", words(F.col(text_col))).withColumn("__h", word_hashes(F.col("__w"))).withColumn("__weights", weights).withColumn(
-        "__m",
-        F.struct(
+    judged = docs.withColumn("__weights", weights).withColumn(name, _measures(F.col(f"`{text_col}`"), F.col("__weights"), threshold, buckets))
+    return judged.drop("__weights")
+
+
+def _measures(text: Column, weights: Column, threshold: int, buckets: int) -> Column:
+    """The struct of :data:`MEASURES`: one expression that binds words, hashes and weights once each.
+
+    A filter on one of its fields may be pushed down as a copy of the whole
+    expression, which stays as cheap as the original.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    def counted(w: Column, h: Column, m: Column) -> Column:
+        return F.struct(
             F.size(w).cast("bigint").alias("n_words"),
             F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
-            F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
+            F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")).alias("n_dup_lines"),
-            repeated_words(F.col("__h")).alias("n_repeat_words"),
-            score.alias("score"),
-        ),
-    )
-    failed = (own("n_words") < 10) | (100 * own("n_repeat_words") > 20 * own("n_words"))
-    kept = ~failed & (own("score") >= threshold * (2 * own("n_words") - 1))
-    return measured.withColumn(
-        name, F.struct(*(own(c).alias(c) for c in MEASURES[:5]), failed.alias("base_failed"), own("score").alias("score"), kept.alias("kept"))
-    ).drop("__w", "__h", "__m", "__weights")
+            repeated_words(h).alias("n_repeat_words"),
+            F.aggregate(gram_buckets(h, buckets), F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(m, b.cast("int"))).alias("score"),
+        )
+
+    def verdict(r: Column) -> Column:
+        failed = (r["n_words"] < 10) | (100 * r["n_repeat_words"] > 20 * r["n_words"])
+        kept = ~failed & (r["score"] >= threshold * (2 * r["n_words"] - 1))
+        return F.struct(*(r[c].alias(c) for c in MEASURES[:5]), failed.alias("base_failed"), r["score"].alias("score"), kept.alias("kept"))
+
+    return let(words(text), lambda w: let(word_hashes(w), lambda h: let(weights, lambda m: let(counted(w, h, m), verdict))))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options: object) -> DataFrame:
