@@ -9,8 +9,9 @@ keeps posting lists short.
 Equal sets form a class; only classes are joined, on their prefix grams.
 Candidates pass the length filter, the positional filter (what can still be
 shared before and after the common gram) and the suffix filter (sets cut into
-64 hash ranges; the differences of the ranges' sizes bound the sets'
-difference from below), and each pair is verified once on the whole sets.
+hash ranges; the differences of the ranges' sizes, or of their parities, bound
+the sets' difference from below), and each pair is verified once on the whole
+sets.
 
 Because components are asked for, not all links, the join runs in two steps
 that lose none of them:
@@ -43,7 +44,9 @@ SKETCH_BITS, BLOCK = 20, 4096
 #: Bits of the filter that tells which sets have to be fetched for verification.
 FILTER_BITS = 24
 PARTS = 64
-MEMO_WORDS = 1 << 20
+#: Bits that tell which of 256 hash ranges hold an odd number of a set's grams.
+ODD = ("o0", "o1", "o2", "o3")
+MEMO_WORDS = 1 << 17
 
 
 class _WordHashes(dict):
@@ -124,14 +127,14 @@ def _sketch(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``doc, n, sig, prefix, parts`` of every document; ``prefix`` and ``parts`` are empty without words."""
+    """``doc, n, sig, prefix, parts`` and the odd ranges of every document; ``prefix`` is empty without words."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = shared.value
         for batch in batches:
             for part in slices(batch, 256):
-                n, sig, ends, prefixes, parts = [], [], [0], [], []
+                n, sig, ends, prefixes, parts, bits = [], [], [0], [], [], []
                 for t in part.column(1).to_pylist():
                     g = gram_set(t, width)
                     order = np.lexsort((g, df[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
@@ -142,6 +145,8 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                     ends.append(ends[-1] + len(first))
                     # counts above 127 may count as 127: their difference only gets smaller
                     parts.append(np.minimum(np.bincount((g >> np.uint64(58)).astype(np.int64), minlength=PARTS), 127).astype(np.int8))
+                    bits.append(np.packbits(np.bincount((g >> np.uint64(56)).astype(np.int64), minlength=256) & 1).view(np.int64))
+                odd = np.concatenate([*bits, np.empty(0, np.int64)]).reshape(-1, 4)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -149,12 +154,13 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                         pa.array(sig, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64())),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * PARTS, pa.int32()), pa.array(np.concatenate([*parts, np.empty(0, np.int8)]), pa.int8())),
+                        *(pa.array(odd[:, i]) for i in range(4)),
                     ],
-                    names=["doc", "n", "sig", "prefix", "parts"],
+                    names=["doc", "n", "sig", "prefix", "parts", *ODD],
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc {id_type}, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"doc {id_type}, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>, " + ", ".join(f"{c} bigint" for c in ODD))
 
 
 def _sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -227,7 +233,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     profiles, _ = scratch.write(_profiles(docs, id_col, text_col, width, percent, _sketch(docs, text_col, width)))
-    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts", *ODD)]
     classes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc").alias("doc"), *first)
     classes, _ = scratch.write(classes.withColumn("cid", F.monotonically_increasing_id()))
 
@@ -239,13 +245,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = _verified(pairs, classes, docs, text_col, width, percent, scratch)
 
     roots, _ = scratch.write(components(links, scratch))
-    members = lists.select("gram", "cid", "n", "i").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    odd = classes.select("cid", *ODD)
+    members = lists.select("gram", "cid", "n", "i").join(odd, "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     per = members.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(F.max_by("root", "k").alias("main"), F.count(F.lit(1)).alias("roots"))
     open_lists, _ = scratch.write(members.join(per.where("roots > 1").select("gram", "main"), "gram"))
     x, y = open_lists.where("root <> main").alias("x"), open_lists.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))
     fits = _fits(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), percent)
-    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & fits)
+    # every gram that only one set has turns the parity of one range
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ODD), F.lit(0))
+    near = apart <= F.col("x.n") + F.col("y.n") - 2 * _least_overlap(F.col("x.n"), F.col("y.n"), percent)
+    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & fits & near)
     pairs = pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
     links = links.union(_verified(pairs, classes, docs, text_col, width, percent, scratch))
 
