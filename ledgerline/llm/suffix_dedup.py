@@ -39,7 +39,7 @@ from ledgerline.llm.common import Scratch, bit_filter, slices
 
 MIN_BYTES, SEED = 400, 48
 #: Different blocks of one minimizer that are sorted in one task.
-HOT_BLOCKS = 512
+HOT_BLOCKS = 1024
 #: Bytes of suffixes sorted at once.
 SORT_BYTES = 1 << 20
 FILTER_BITS = 24
@@ -114,6 +114,18 @@ def suffix_array(x: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray
     n = len(x)
     rank = x.astype(np.int64)
     levels, k = [rank], 1
+    if int(rank.max(initial=0)) < 1 << 15:  # four values fit in one key: the first two rounds need no sorting
+        key = rank
+        for _ in range(2):
+            after = np.zeros(n, np.int64)
+            after[: max(0, n - k)] = key[k:]
+            key = (key << (15 * k)) | after
+            k *= 2
+            levels.append(key)
+        order = np.argsort(key, kind="stable")
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.r_[True, key[order][1:] != key[order][:-1]])
+        levels[-1] = rank
     while k < depth:
         second = np.zeros(n, np.int64)
         second[: max(0, n - k)] = rank[k:]
@@ -318,10 +330,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(docs.sparkSession, "suffix")
     blocks, _ = scratch.write(_blocks(docs, id_col, text_col, min_bytes))
     per = blocks.groupBy("h", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "key", "start")).alias("one"), F.max("size").alias("size"))
-    many = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
+    many = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
     # what is not here is a block that occurs once, alone with its minimizer
     per, _ = scratch.write(per.join(many, "h").where("n > 1 or kinds > 1"))
-    mixed = per.where("kinds > 1")
+    # where all blocks repeat whole, there is nothing to tell but which of them comes first
+    mixed = per.where("kinds > 1").where((F.col("single") > 0) | F.lit(keep_first))
     total = mixed.where(F.col("kinds") <= hot_blocks).agg(F.sum("size").alias("s")).first()["s"] or 0
     contents, _ = scratch.write(_contents(docs, text_col, min_bytes, mixed))
     full = mixed.select("h", "b", "kinds", "one.*").join(contents, ["h", "b"])
