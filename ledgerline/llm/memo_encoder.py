@@ -23,7 +23,7 @@ from ledgerline.llm.bpe_stream import WHITE, MergeList
 
 #: The pattern of byte-level pre-tokens (a fixed value of the vocabulary file's pre-tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO = 1 << 18
+MEMO = 400_000
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
