@@ -141,7 +141,7 @@ def test_substrings_of_nothing(spark):
 
 def test_chains_are_collinear_and_best():
     assert chains([]) == []
-    (best, *rest) = chains([(0, 10), (5, 15), (7, 2), (20, 30), (21, 100)])
+    (best, *rest) = chains([(0, 10), (5, 15), (7, 2), (20, 30), (21, 200)])
     assert best == [(0, 10), (5, 15), (20, 30)] and sorted(map(len, rest)) == [1, 1]
     rng = random.Random(3)
     for _ in range(50):
