@@ -179,6 +179,19 @@ def test_passages(spark):
     assert cut_words(" a  b c ", [(1, 2)]) == " a   c "
 
 
+def test_passages_of_planted_seeds(spark):
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    join = " ".join
+    rows = []
+    for i, n in enumerate((40, 47, 75)):  # every short stretch of them was somewhere before, each in a text of its own
+        passage = text(n)
+        rows += [(100 * i + j, join(text(20) + passage[j : j + 8] + text(20))) for j in range(n - 7)]
+        rows += [(1000 + i, join(text(30) + passage + text(30))), (2000 + i, join(text(9) + passage + text(12)))]
+    got = repeated_passages(make_docs(spark, rows)).collect()
+    assert sorted(tuple(r)[:6] for r in got) == [(2000 + i, 9, 9 + n, 1000 + i, 30, 30 + n) for i, n in enumerate((40, 47, 75))]
+
+
 def near_truth(rows, k):
     usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     dim = max(len(v) for _, v in usable)
