@@ -192,6 +192,22 @@ def test_passages_of_planted_seeds(spark):
     assert sorted(tuple(r)[:6] for r in got) == [(2000 + i, 9, 9 + n, 1000 + i, 30, 30 + n) for i, n in enumerate((40, 47, 75))]
 
 
+def test_recall_of_changed_passages(spark):
+    rng = random.Random(13)
+    text = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows, wanted = [], {}
+    for i, (n, share) in enumerate([(n, share) for n in (50, 60, 80) for share in (0.05, 0.1, 0.15, 0.19) for _ in range(10)]):
+        passage = text(n)
+        changed = list(passage)
+        for k in rng.sample(range(n), int(n * share)):
+            changed[k] = text(1)[0]
+        rows += [(i, " ".join(text(30) + passage + text(30))), (1000 + i, " ".join(text(25) + changed + text(35)))]
+        wanted[1000 + i] = (i, n)
+    got = {r["doc_id"]: (r["source_id"], r["start_word"], r["end_word"]) for r in repeated_passages(make_docs(spark, rows)).collect()}
+    near = [i for i, (source, n) in wanted.items() if i in got and got[i][0] == source and min(got[i][2], 25 + n) - max(got[i][1], 25) >= 0.7 * n]
+    assert set(got) <= set(wanted) and len(near) >= 0.98 * len(wanted)
+
+
 def near_truth(rows, k):
     usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     dim = max(len(v) for _, v in usable)
