@@ -4,17 +4,19 @@ Nearness is the inner product.  Equal vectors are one node that knows its
 smallest ids.
 
 Building.  Random hyperplanes cut the nodes into leaves a few times over; the
-best within the leaves start every node's list.  Then, round by round, each
+best within the leaves start every node's list, and so do the best of a group
+dealt by chance, which is never small: a node alone in its leaves has a full
+list, too.  Then, round by round, each
 node introduces its neighbours (those in its list and those that list it) to
 each other, if one of the two is new to it: neighbours of neighbours.  Pairs
 that beat the end of a list go into it, until few entries change.  All rounds
-are joins: lists and vectors meet by node, and vectors travel in 8 bits per
-component.
+are joins: lists and vectors meet by node, and vectors travel in 16 bits per
+component (8 mix up the order within tight clusters).
 
-Searching.  A query starts at its own node's list, expands the nearest nodes
-not yet expanded, scores their neighbours on the original vectors in double
-precision, and stops when the nearest ``beam`` hold nothing unexpanded that
-could matter.  State is a row per query.
+Searching.  A query starts at its own node's list and at entry nodes that all
+share, expands the nearest nodes not yet expanded, scores their neighbours
+(both ways) on the original vectors in double precision, and goes on until its
+nearest ``k`` and its own node are expanded.  State is a row per query.
 """
 
 from __future__ import annotations
@@ -32,24 +34,26 @@ from ledgerline.llm.common import Scratch, slices
 
 #: List length; reverse neighbours that take part in a round; leaves cut; nodes in a leaf.
 NEIGHBOURS, REVERSE, TREES, LEAF = 40, 40, 3, 256
+#: Reverse neighbours that take part besides the nearest, drawn by chance: those far from all others.
+CHANCE = 10
 #: Rounds at most, and the share of list entries below which another round is not worth it.
 ROUNDS, ENOUGH = 10, 0.01
 #: Best partners that a node is told of by one introduction.
 TOLD = 4
-#: Nodes expanded at once by a query, nodes it keeps, and its steps at most.
-EXPAND, BEAM, STEPS = 8, 64, 6
+#: Nodes expanded at once by a query, nodes it keeps, and entry nodes.
+EXPAND, BEAM, ENTRIES = 8, 64, 64
 
 
 def quantized(v: np.ndarray) -> list[bytes]:
-    """Each row as a scale (float32) and 8-bit components."""
-    scale = np.maximum(np.abs(v).max(axis=1, initial=0), 1e-30).astype(np.float32) / 127
-    q = np.rint(v / scale[:, None]).astype(np.int8)
+    """Each row as a scale (float32) and 16-bit components."""
+    scale = np.maximum(np.abs(v).max(axis=1, initial=0), 1e-30).astype(np.float32) / 32767
+    q = np.rint(v / scale[:, None]).astype(np.int16)
     return [s.tobytes() + x.tobytes() for s, x in zip(scale, q)]
 
 
 def expanded(data: list[bytes]) -> np.ndarray:
     raw = np.frombuffer(b"".join(data), np.uint8).reshape(len(data), -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * raw[:, :4].copy().view(np.float32)
+    return raw[:, 4:].view(np.int16).astype(np.float32) * raw[:, :4].copy().view(np.float32)
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -70,9 +74,10 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
     return few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.monotonically_increasing_id().alias("node"), "ids", "v")
 
 
-def _leaves(nodes: DataFrame, count: int, dim: int, tree: int, neighbours: int) -> DataFrame:
-    """``node, other, s``: the best of each node within its leaf; large leaves are dealt out by chance."""
-    bits = max(0, int(np.ceil(np.log2(max(1, count / LEAF)))))
+def _leaves(nodes: DataFrame, count: int, dim: int, tree: int, neighbours: int, by_chance: bool = False) -> DataFrame:
+    """``node, other, s``: the best of each node within its leaf; large leaves are dealt out by chance, as are all nodes without planes."""
+    bits = 0 if by_chance else max(0, int(np.ceil(np.log2(max(1, count / LEAF)))))
+    most = LEAF if by_chance else 4 * LEAF
     planes = np.random.default_rng(1000 + tree).standard_normal((dim, bits)).astype(np.float32)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +87,7 @@ def _leaves(nodes: DataFrame, count: int, dim: int, tree: int, neighbours: int)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code.astype(np.int64))], names=["node", "q", "leaf"])
 
     coded = nodes.select("node", "q").mapInArrow(cut, "node bigint, q binary, leaf bigint")
-    sizes = coded.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (4 * LEAF)).alias("parts"))
+    sizes = coded.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
     dealt = coded.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("node", F.lit(tree)), "parts"))
 
     def best(table: pa.Table) -> pa.Table:
@@ -130,17 +135,23 @@ def _merged(graph: DataFrame | None, news: DataFrame, neighbours: int) -> DataFr
     return both.mapInArrow(merge, GRAPH)
 
 
-def _introductions(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, other, s``: pairs that meet at a common neighbour and beat the end of the node's list."""
-    last = F.coalesce(F.get("s", F.size("s") - 1), F.lit(-1e30)).cast("float")
+def _some_back(back: DataFrame, salt: int) -> DataFrame:
+    """Of those that list a node ``at`` with score ``s``: the nearest, and some by chance."""
+    near = F.row_number().over(W.partitionBy("at").orderBy(F.desc("s"), "node"))
+    drawn = F.row_number().over(W.partitionBy("at").orderBy(F.xxhash64("node", F.lit(salt)), "node"))
+    return back.withColumn("r", near).withColumn("c", drawn).where((F.col("r") <= REVERSE) | (F.col("c") <= CHANCE)).drop("r", "c")
+
+
+def _introductions(graph: DataFrame, nodes: DataFrame, neighbours: int, salt: int) -> DataFrame:
+    """``node, other, s``: pairs that meet at a common neighbour and beat the end of the node's list, or find it not full."""
+    last = F.when(F.size("s") < neighbours, F.lit(float("-inf"))).otherwise(F.get("s", F.size("s") - 1)).cast("float")
     full = graph.join(nodes.select("node", "q"), "node").withColumn("last", last)
     # a node's own list: the neighbours' vectors are fetched by their ids
     pairs = full.select(F.col("node").alias("at"), F.explode(F.arrays_zip("ids", "fresh", "s")).alias("e")).select("at", F.col("e.ids").alias("node"), F.col("e.fresh").alias("fresh"))
     forward = pairs.join(full.select("node", "q", "last"), "node").select("at", "node", "fresh", "q", "last")
-    # those that list it bring their own; the nearest take part
+    # those that list it bring their own; the nearest take part, and some by chance
     back = full.select("node", "q", "last", F.explode(F.arrays_zip("ids", "fresh", "s")).alias("e")).select(F.col("e.ids").alias("at"), "node", F.col("e.fresh").alias("fresh"), "q", "last", F.col("e.s").alias("s"))
-    near = F.row_number().over(W.partitionBy("at").orderBy(F.desc("s"), "node"))
-    back = back.withColumn("r", near).where(F.col("r") <= REVERSE).drop("r", "s")
+    back = _some_back(back, salt).drop("s")
     met = forward.union(back).groupBy("at").agg(F.collect_list(F.struct("node", "fresh", "q", "last")).alias("m")).where(F.exists("m", lambda x: x["fresh"]))
 
     def introduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +174,7 @@ def _introductions(graph: DataFrame, nodes: DataFrame) -> DataFrame:
                     s = y @ y.T
                     s[~(new[:, None] | new[None, :])] = -np.inf
                     np.fill_diagonal(s, -np.inf)
-                    s[s <= end[:, None]] = -np.inf
+                    s[s <= end[:, None]] = -np.inf  # a list that is not full ends at -inf
                     k = min(TOLD, len(n))
                     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
                     best = np.take_along_axis(s, top, 1)
@@ -188,15 +199,15 @@ def neighbour_graph(nodes: DataFrame, scratch: Scratch, neighbours: int = NEIGHB
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("d")).first()
     count, dim = size["n"], size["d"] or 1
     news = None
-    for tree in range(trees):
-        leaf = _leaves(nodes, count, dim, tree, neighbours)
+    for tree in range(trees + 1):
+        leaf = _leaves(nodes, count, dim, tree, neighbours, tree == trees)
         news = leaf if news is None else news.union(leaf)
     every = nodes.select("node", F.lit(None).cast("bigint").alias("other"), F.lit(None).cast("float").alias("s"))
     lists = _merged(None, news.groupBy("node", "other").agg(F.max("s").alias("s")), neighbours)
     alone = every.join(lists, "node", "left_anti").selectExpr("node", "cast(array() as array<bigint>) as ids", "cast(array() as array<float>) as s", "cast(array() as array<boolean>) as fresh")
     graph, path = scratch.write(lists.union(alone))
-    for _ in range(rounds):
-        news, told = scratch.write(_introductions(graph, nodes))
+    for turn in range(rounds):
+        news, told = scratch.write(_introductions(graph, nodes, neighbours, turn))
         old = path
         graph, path = scratch.write(_merged(graph, news, neighbours))
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
@@ -214,13 +225,23 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
     beam = max(BEAM, 2 * k)
     state_type = "query bigint, v array<double>, ids array<bigint>, s array<double>, done array<boolean>"
     state = queries.select("query", "v", F.array("node").alias("ids"), F.array(F.lit(float("inf"))).alias("s"), F.array(F.lit(False)).alias("done"))
-    state, _ = scratch.write(state)
-    for _ in range(STEPS):
+    state, path = scratch.write(state)
+    listed = graph.select("node", F.explode(F.arrays_zip("ids", "s")).alias("e")).select(F.col("e.ids").alias("at"), "node", F.col("e.s").alias("s"))
+    back = _some_back(listed, -1).groupBy(F.col("at").alias("node")).agg(F.collect_list("node").alias("back"))
+    both = F.array_union("ids", F.coalesce("back", F.array().cast("array<bigint>")))
+    graph, _ = scratch.write(graph.join(back, "node", "left").select("node", both.alias("near")))
+    entries = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()]
+    first = True
+    while True:
         # ids are best first; the nearest unexpanded ones go on
         open_ids = F.slice(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"]), 1, EXPAND)
         todo = state.select("query", "ids", F.transform(open_ids, lambda x: x["ids"]).alias("go"))
-        met = todo.select("query", "ids", F.explode("go").alias("node")).join(graph.select("node", F.col("ids").alias("near")), "node")
-        fresh = met.select("query", F.explode(F.array_except("near", "ids")).alias("node")).distinct()
+        met = todo.select("query", "ids", F.explode("go").alias("node")).join(graph, "node")
+        fresh = met.select("query", F.explode(F.array_except("near", "ids")).alias("node"))
+        if first and entries:
+            shared = F.array(*map(F.lit, entries)).cast("array<bigint>")
+            fresh = fresh.union(state.select("query", F.explode(F.array_except(shared, F.col("ids"))).alias("node")))
+        fresh, first = fresh.distinct(), False
         scored = fresh.join(nodes.select("node", F.col("v").alias("w")), "node")
         found = scored.groupBy("query").agg(F.collect_list(F.struct("node", "w")).alias("found"))
         rows = state.join(todo.select("query", "go"), "query").join(found, "query", "left").select("query", "v", "ids", "s", "done", "go", "found")
@@ -249,7 +270,9 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
                         [part.column(0), vs, _lists(ids_out, pa.int64()), _lists(s_out, pa.float64()), _lists(done_out, pa.bool_())], names=["query", "v", "ids", "s", "done"]
                     )
 
-        state, _ = scratch.write(rows.mapInArrow(step, state_type))
+        old = path
+        state, path = scratch.write(rows.mapInArrow(step, state_type))
+        scratch.release(old)
         # a query is through when its nearest k are all expanded
         if not state.where(F.exists(F.slice("done", 1, k + 1), lambda x: ~x)).limit(1).count():
             break

@@ -244,6 +244,25 @@ def test_nearest(spark):
     assert [i for _, i, _ in got[220]] == [i for i, _ in truth[220]]  # ties go to the smallest ids
 
 
+def test_nearest_of_clusters_and_outliers(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((3, 32))
+    x = np.concatenate([centres[rng.integers(0, 3, 3960)] + 0.05 * rng.standard_normal((3960, 32)), rng.standard_normal((40, 32))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4)
+    got = {}
+    for r in nearest(df, (F.col("vec_id") % 40 == 0) | (F.col("vec_id") >= 3960)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    queries = [i for i in range(4000) if i % 40 == 0 or i >= 3960]
+    score = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(score, -np.inf)
+    assert all(len(got.get(q, ())) == 20 for q in queries)  # an outlier, too, has its 20
+    share = {q: len(got[q] & {*np.argsort(-score[q])[:20].tolist()}) / 20 for q in queries}
+    inside, outside = ([s for q, s in share.items() if (q >= 3960) == o] for o in (False, True))
+    assert np.mean(inside) >= 0.95 and np.mean(outside) >= 0.9, (np.mean(inside), np.mean(outside))
+
+
 def test_nearest_small_tables(spark):
     rows = [(i, [float(i), 1.0]) for i in range(5)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
