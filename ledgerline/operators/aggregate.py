@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ColumnLike, col_of, row_hash
+from ledgerline.operators.layout import materialized
 
 
 def daily_volume_price(
@@ -93,3 +94,33 @@ def top_n(df: DataFrame, n: int, order: Sequence[ColumnLike]) -> DataFrame:
     """
     ordering: list[Column] = [col_of(c) for c in order]
     return df.orderBy(*ordering).limit(n)
+
+
+_PART, _AT, _BEFORE = "__ledgerline_part", "__ledgerline_at", "__ledgerline_before"
+
+
+def with_row_number(df: DataFrame, order: Sequence[ColumnLike], name: str = "row_number") -> DataFrame:
+    """``row_number() OVER (ORDER BY order)`` as column ``name``, without a one-task window.
+
+    The rows are range-partitioned and sorted, numbered inside their range,
+    and written once to the shared folder (the ranges come from a sample, so
+    two runs of the sort need not cut alike).  A count per range, at most one
+    row per partition, gives each range the number of rows ahead of it; only
+    those few counts go through a window and a broadcast.
+
+    Give a total order, as for :func:`top_n`.  Null order values come first
+    when ascending.  A hot order value without further keys is one range.
+    """
+    if clash := {name, _PART, _AT} & set(df.columns):
+        raise ValueError(f"columns are taken: {sorted(clash)}")
+    placed = df.orderBy(*[col_of(c) for c in order]).withColumns({
+        _PART: F.spark_partition_id(),
+        # the row's place in its partition: the id's low 33 bits
+        _AT: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    ranges = materialized(placed, "row_number")
+    counts = ranges.groupBy(_PART).agg(F.count(F.lit(1)).alias(_BEFORE))
+    ahead = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, F.coalesce(F.sum(_BEFORE).over(ahead), F.lit(0)).alias(_BEFORE))
+    numbered = ranges.join(F.broadcast(offsets), _PART)
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(_BEFORE) + F.col(_AT) + 1).alias(name))
