@@ -19,6 +19,7 @@ from ledgerline.llm.nn_descent import nearest
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import MEASURES, with_quality
 from ledgerline.llm.secrets import secret_spans
+from ledgerline.llm.spelling import spelling_groups, vocabulary
 from ledgerline.llm.suffix_dedup import dedup_substrings
 from ledgerline.llm.surrogates import pseudonymize
 from ledgerline.llm.token_counts import token_counts
@@ -81,6 +82,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.selectExpr("doc AS doc_id", "n AS n_shingles", "component AS component_id")
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(vocabulary(read_test_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nn_descent": op1_nn_descent,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_spelling_groups": op11_spelling_groups,
 }
 
 ORACLE_SQL: dict[str, str] = {}
