@@ -21,8 +21,9 @@ from ledgerline.operators.profile import key_skew, partition_profile
 from ledgerline.operators.quality import require_not_null
 from ledgerline.sinks.files import write_partitioned
 from ledgerline.sinks.jdbc import write_jdbc
-from ledgerline.sources.files import read_json_documents, read_parquet
+from ledgerline.sources.files import read_parquet
 from ledgerline.sources.generate import generate_orders
+from ledgerline.sources.json_arrays import read_json_array
 
 #: Default types of orders read from JSON: any id is kept as text, any number as a double.
 ORDER_SCHEMA = T.StructType([
@@ -100,16 +101,16 @@ def read_orders_json(
     schema: T.StructType = ORDER_SCHEMA,
     strict: bool = True,
 ) -> DataFrame:
-    """Orders from multi-line JSON documents (one task per file).
+    """Orders from multi-line JSON documents of any size, read in splits.
 
-    Every field is read as text, so no spelling turns into null in the
-    reader, and then cast to ``schema``: ``2.5``, ``3.0``, ``"7"`` and text ids
+    Every field is parsed as text, so no spelling turns into null in the
+    parser, and then cast to ``schema``: ``2.5``, ``3.0``, ``"7"`` and text ids
     all survive.  Timestamps follow Spark's ISO rules (``T`` or space,
     optional fraction, ``Z`` or an offset).  ``strict`` fails on text that a
     type cannot hold (ANSI); otherwise it becomes null, and
     :func:`rejected_json_values` counts what did.
     """
-    raw = read_json_documents(spark, path, schema=_as_text(schema))
+    raw = read_json_array(spark, path, _as_text(schema))
     return raw.select(*[_typed(f, strict).alias(f.name) for f in schema.fields])
 
 
@@ -129,7 +130,7 @@ def _typed(field: T.StructField, strict: bool) -> Column:
 
 def rejected_json_values(spark: SparkSession, path: str, schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
     """One row: for each field, how many values the permissive reading turns into null."""
-    raw = read_json_documents(spark, path, schema=_as_text(schema))
+    raw = read_json_array(spark, path, _as_text(schema))
     lost = {f.name: F.col(f"`{f.name}`").isNotNull() & _typed(f, strict=False).isNull() for f in schema.fields}
     return raw.agg(*[F.count_if(cond).alias(name) for name, cond in lost.items()])
 

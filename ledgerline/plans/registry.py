@@ -46,6 +46,7 @@ from ledgerline.sinks.files import (
 )
 from ledgerline.sources.files import read_csv, read_json_documents, read_ndjson_tree, read_parquet, string_schema
 from ledgerline.sources.generate import generate_orders
+from ledgerline.sources.json_arrays import read_json_array
 from ledgerline.sources.rows import from_rows
 from ledgerline.sources.tables import (
     contacts_from_customer,
@@ -176,6 +177,19 @@ def q_orders_json_types(spark, sf_dir):
     return orders_daily(both, round_digits=AVG_DIGITS)
 
 
+def q_rt_json_split(spark, sf_dir):
+    """All documents as one JSON array in one file, with texts that hold quotes, escapes and
+    brackets, read back in splits."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text",
+        F.concat(F.lit('{"}],[{\\\\"'), F.col("lang"), F.lit('\\\\}"\n]')).alias("note"),
+        F.struct(F.col("source"), F.array("n_chars", "doc_id").alias("sizes")).alias("origin"),
+    )
+    path = fresh_dir(spark, "rt_json_split")
+    write_json_documents(docs, path, files=1)
+    return read_json_array(spark, path, docs.schema).select("doc_id", "text", "note", "origin.source", F.get("origin.sizes", F.lit(0)).alias("n_chars"))
+
+
 # --- ticks -------------------------------------------------------------
 
 def q_tick_quality(spark, sf_dir):
@@ -376,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "orders_json_daily": q_orders_json_daily,
     "orders_json_types": q_orders_json_types,
     "rt_json_multiline": q_rt_json_multiline,
+    "rt_json_split": q_rt_json_split,
     "tick_quality": q_tick_quality,
     "tick_latest": q_tick_latest,
     "tick_latest_maxby": q_tick_latest_maxby,
@@ -482,6 +497,8 @@ FROM (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM lineitem)""",
     "rt_parquet_prune": _ORDERS_CTE + f"""
 SELECT * FROM daily WHERE trade_date_str BETWEEN '{PRUNE_FROM}' AND '{PRUNE_TO}'""",
     "rt_json_multiline": "SELECT * FROM orders",
+    "rt_json_split": r"""
+SELECT doc_id, text, '{"}],[{\\"' || lang || '\\}"' || chr(10) || ']' AS note, source, n_chars FROM documents""",
     "orders_json_daily": _ORDERS_CTE + "SELECT * FROM daily",
     "orders_json_types": f"""
 SELECT 'S' || CAST(l_partkey AS VARCHAR) AS security_id, strftime(l_shipdate, '%Y-%m-%d') AS trade_date_str,

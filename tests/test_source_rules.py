@@ -1,7 +1,11 @@
 """Source-level guards for the scale rules the library commits to."""
 
+import os
 import pathlib
 import re
+import shutil
+import subprocess
+import sys
 
 PACKAGE = pathlib.Path(__file__).resolve().parent.parent / "ledgerline"
 
@@ -44,3 +48,14 @@ def test_driver_collects_are_the_bounded_ones():
             if ".collect()" in line and not line.strip().startswith("#"):
                 found.add((path.name, line.strip()))
     assert found == ALLOWED_COLLECTS
+
+
+def test_works_without_the_optional_folders(tmp_path):
+    """A copy of the tree without the training-data folders imports and registers the other queries."""
+    root = PACKAGE.parent
+    shutil.copytree(PACKAGE, tmp_path / "ledgerline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(q) == set(e.oracle_sql()) and len(q) > 30"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": ""})
