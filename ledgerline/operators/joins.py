@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import row_bytes, row_hash
+from ledgerline.operators.layout import materialized
 from ledgerline.operators.profile import hot_keys
 
 _SALT = "__ledgerline_salt"
@@ -85,8 +86,8 @@ def bucketed_join(
     side would make one join task do that share of the work, and adaptive
     skew splitting does not apply without an exchange.  With ``hot_side``
     (``"left"`` or ``"right"``, one key column) keys holding at least
-    ``min_share`` of that side are found first -- a per-key count that needs
-    no exchange on a bucketed table -- and joined apart with
+    ``min_share`` of that side are found first (:func:`hot_keys`, which
+    shuffles no keys) and joined apart with
     :func:`skew_join`'s salting; all other keys keep the exchange-free
     bucketed join.  The union equals the plain join.
     """
@@ -148,6 +149,81 @@ def dimension_join(
     return fact.join(dim, on, how)
 
 
+#: Bits of a key filter at most (16 MiB), bits per key, and hashes of a key.
+MAX_FILTER_BITS = 1 << 27
+FILTER_BITS_PER_KEY, FILTER_HASHES = 10, 4
+
+
+def _filter_places(key: Column, bits: int, hashes: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(hashes)]
+
+
+def key_filter(
+    keys: DataFrame,
+    key: str,
+    max_bits: int = MAX_FILTER_BITS,
+    max_fill: float = 0.5,
+) -> tuple[DataFrame, int] | None:
+    """Bloom filter of the values of ``key``: a one-row frame with an array of
+    64-bit words, and its number of bits; ``None`` if it would let too much through.
+
+    Sized by an estimate of the distinct keys (:data:`FILTER_BITS_PER_KEY`
+    each, a power of two, ``max_bits`` at most).  One aggregate sets the bits:
+    a task sends at most one row per word.  If more than ``max_fill`` of the
+    bits are set, a random key passes with a chance of over ``max_fill ** 4``
+    and the filter is not worth its cost.
+    """
+    values = keys.select(F.col(f"`{key}`").alias("key")).where(F.col("key").isNotNull())
+    expected = values.agg(F.approx_count_distinct("key", 0.02)).first()[0]
+    bits = 1 << max(10, (FILTER_BITS_PER_KEY * expected).bit_length())
+    if bits > max_bits:
+        bits = 1 << (max_bits.bit_length() - 1)
+    place = F.explode(F.array(*_filter_places(F.col("key"), bits, FILTER_HASHES))).alias("place")
+    words = values.select(place).groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("set"))
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"))
+    dense = every.join(words, "word", "left").select("word", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
+    # at most max_bits / 64 words: kept as one row, so that a plan reads it as a constant
+    packed = materialized(dense.agg(F.sort_array(F.collect_list(F.struct("word", "set")))["set"].alias("words")), "key_filter")
+    ones = packed.select(F.aggregate("words", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w))).first()[0]
+    return (packed, bits) if ones <= max_fill * bits else None
+
+
+def may_be_in(key: Column, words: DataFrame, bits: int) -> Column:
+    """False only for keys that the filter of :func:`key_filter` does not hold; null for null."""
+    array = words.scalar()
+    hits = [F.getbit(F.get(array, F.shiftright(p, 6).cast("int")), (p % 64).cast("int")) == 1 for p in _filter_places(key, bits, FILTER_HASHES)]
+    return F.when(key.isNotNull(), reduce(lambda a, b: a & b, hits))
+
+
+def filtered_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str,
+    fact_cols: Sequence[str] | None = None,
+    dim_cols: Sequence[str] | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    max_bits: int = MAX_FILTER_BITS,
+) -> DataFrame:
+    """:func:`inner_join` of a large ``fact`` and a ``dim`` that holds few of its keys.
+
+    Within the broadcast bounds ``dim`` is broadcast.  Beyond them both sides
+    must be shuffled; a filter of the dimension's keys (:func:`key_filter`)
+    then drops fact rows without a partner in the scan, before their exchange.
+    A filter that came out too full is left away.  ``dim`` is read up to three
+    times more (its size, its keys), so give one that is cheap to compute.
+    """
+    if fact.schema[on].dataType != dim.schema[on].dataType:
+        raise ValueError(f"{on} differs in type: {fact.schema[on].dataType}, {dim.schema[on].dataType}")
+    if fits_broadcast(dim, max_rows, max_bytes):
+        return inner_join(fact, F.broadcast(dim), on, fact_cols, dim_cols)
+    found = key_filter(dim, on, max_bits)
+    if found:
+        fact = fact.where(may_be_in(F.col(f"`{on}`"), *found))
+    return inner_join(fact, dim, on, fact_cols, dim_cols)
+
+
 def row_salt(df: DataFrame, is_hot: Column, salt_buckets: int) -> Column:
     """Salt in ``[0, salt_buckets)`` for hot rows, 0 for the rest: a hash of
     the input partition id and every column, so it is stable under recompute."""

@@ -6,10 +6,13 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline.session import fresh_dir, shared_dir
 
+_SIDE = "__ledgerline_side"
+
 
 def repartition_by(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
     """Hash-partition on ``cols`` (``n`` partitions, or the shuffle default).
@@ -99,3 +102,20 @@ def write_bucketed(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
+
+
+def dealt(df: DataFrame, flag: Column, name: str = "dealt") -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows where ``flag`` is true, and all others (false or null).
+
+    One pass over ``df`` and one write: rows go to the shared folder under a
+    partition column that holds the flag, and each side reads its own folder
+    back.  For inputs that are costly to read or parse twice, or that would not
+    give the same rows twice.
+    """
+    if _SIDE in df.columns:
+        raise ValueError(f"{_SIDE} is taken")
+    path = fresh_dir(df.sparkSession, name)
+    flagged = df.withColumn(_SIDE, F.coalesce(flag, F.lit(False)))
+    flagged.write.partitionBy(_SIDE).parquet(path)
+    both = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return both.where(F.col(_SIDE)).drop(_SIDE), both.where(~F.col(_SIDE)).drop(_SIDE)

@@ -45,16 +45,33 @@ def key_skew(df: DataFrame, key: str, digits: int | None = 8) -> DataFrame:
     return counts.select(F.col(f"`{key}`"), "n_rows", share.alias("share"))
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
-    """Non-null keys holding at least ``min_share`` of all rows.
+#: Smallest share that the frequent-item summary can be asked for.
+_LEAST_SHARE = 1e-4
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, nulls: bool = False) -> list:
+    """Keys holding at least ``min_share`` of all rows; with ``nulls`` the null key, too.
+
+    Found without shuffling the keys.  First every task keeps a Misra-Gries
+    summary of ``2 / min_share`` counters, and the summaries are merged
+    (``freqItems``): a key that is frequent enough cannot fall out of one, so
+    the merged summary holds all hot keys and at most ``2 / min_share`` others.
+    Then those candidates are counted exactly: a task sends a count per
+    candidate, and one for all other rows.  The key column is read twice.
 
     At most ``floor(1 / min_share)`` keys can reach that share, so the list
     brought to the driver has a proven size bound.
     """
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    bound = math.floor(1 / min_share)
-    report = key_skew(df, key, digits=None)
-    key_col = F.col(f"`{key}`")
-    hot = report.filter(key_col.isNotNull() & (F.col("share") >= min_share))
-    return [row[0] for row in collect_bounded(hot.select(key_col), bound)]
+    keys = df.select(F.col(f"`{key}`").alias("key"))
+    if min_share / 2 < _LEAST_SHARE:
+        report = key_skew(keys, "key", digits=None).where((F.col("share") >= min_share) & (F.lit(nulls) | F.col("key").isNotNull()))
+        return [row[0] for row in collect_bounded(report.select("key"), math.floor(1 / min_share))]
+    candidates = [k for k in keys.stat.freqItems(["key"], min_share / 2).first()[0] if k is not None]
+    kept = F.when(F.col("key").isin(candidates), F.col("key"))
+    counted = keys.groupBy(kept.alias("key"), F.col("key").isNull().alias("none")).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = collect_bounded(counted, len(candidates) + 2)
+    least = min_share * sum(r["n_rows"] for r in rows)
+    hot = [r for r in rows if r["n_rows"] >= least and (r["key"] is not None or r["none"])]
+    return [r["key"] for r in hot if nulls or not r["none"]]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ColumnLike, col_of, contains_match
+from ledgerline.operators.layout import dealt
 
 
 def all_not_null(cols: Sequence[ColumnLike]) -> Column:
@@ -59,3 +60,13 @@ def split_corrupt(df: DataFrame, corrupt_column: str = "_corrupt_record") -> tup
     good = df.filter(flag.isNull()).drop(corrupt_column)
     bad = df.filter(flag.isNotNull())
     return good, bad
+
+
+def deal_corrupt(df: DataFrame, corrupt_column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """:func:`split_corrupt` with one read of the raw files: (good rows, malformed lines).
+
+    Every line is parsed once and written once, good or bad; both sides come
+    from what was written, so they may be counted and used in any way.
+    """
+    bad, good = dealt(df, F.col(corrupt_column).isNotNull(), "corrupt")
+    return good.drop(corrupt_column), bad

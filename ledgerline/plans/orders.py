@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.columns import day_string, parse_timestamp, trade_value
 from ledgerline.operators.aggregate import collect_bounded, daily_volume_price, top_n
 from ledgerline.operators.layout import persisted, repartition_by
-from ledgerline.operators.profile import key_skew, partition_profile
+from ledgerline.operators.profile import hot_keys, partition_profile
 from ledgerline.operators.quality import require_not_null
 from ledgerline.sinks.files import write_partitioned
 from ledgerline.sinks.jdbc import write_jdbc
@@ -175,14 +175,13 @@ def layout_orders(cleaned: DataFrame, partitions: int, layout: str = "auto") ->
       partition map-side, then shuffles only the partial sums;
     * ``"auto"`` -- ``"key"`` unless a security (or the null key) holds at
       least ``1 / partitions`` of all orders (more than an average
-      partition), found by a per-key count over the key column.
+      partition), found by :func:`hot_keys` over the key column.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "auto":
         # the null group counts too: hashing sends all null keys to one partition
-        shares = key_skew(cleaned, "security_id", digits=None)
-        layout = "even" if shares.filter(F.col("share") >= 1 / partitions).limit(1).count() else "key"
+        layout = "even" if hot_keys(cleaned, "security_id", 1 / partitions, nulls=True) else "key"
     if layout == "key":
         return repartition_by(cleaned, ["security_id"], partitions)
     return cleaned.repartition(partitions)

@@ -7,6 +7,7 @@ to the shared folder); no row caps except where a limit is the feature
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.aggregate import count_rows, distinct_rows
+from ledgerline.operators.aggregate import collect_bounded, count_rows, distinct_rows, with_row_number
 from ledgerline.operators.dedup import latest_per_key, latest_per_key_agg
-from ledgerline.operators.joins import dimension_join
-from ledgerline.operators.layout import repartition_by
-from ledgerline.operators.profile import key_skew, partition_profile
-from ledgerline.operators.quality import valid_quotes
+from ledgerline.operators.joins import dimension_join, filtered_join
+from ledgerline.operators.layout import coalesce_to, persisted, repartition_by
+from ledgerline.operators.profile import hot_keys, key_skew, partition_profile
+from ledgerline.operators.quality import deal_corrupt, valid_quotes
+from ledgerline.operators.state import DailyState, LatestState
 from ledgerline.plans.contacts import contacts_with_full_name, read_contacts
 from ledgerline.plans.customer_transactions import (
     bucketed_customer_transactions,
@@ -35,14 +37,24 @@ from ledgerline.plans.orders import (
     read_daily,
     read_orders_json,
 )
-from ledgerline.plans.ticks import RAW_TICK_SCHEMA, process_ticks, read_processed, PARTITION_COLUMNS
+from ledgerline.plans.ticks import (
+    PARTITION_COLUMNS,
+    RAW_TICK_SCHEMA,
+    IncrementalTicks,
+    parse_ticks,
+    process_ticks,
+    read_processed,
+    with_corrupt,
+)
 from ledgerline.session import fresh_dir
+from ledgerline.sinks.compaction import Manifest, compact_small_files
 from ledgerline.sinks.files import (
     write_compacted,
     write_csv,
     write_json_documents,
     write_ndjson,
     write_partitioned,
+    write_unless_empty,
 )
 from ledgerline.sources.files import read_csv, read_json_documents, read_ndjson_tree, read_parquet, string_schema
 from ledgerline.sources.generate import generate_orders
@@ -190,6 +202,29 @@ def q_rt_json_split(spark, sf_dir):
     return read_json_array(spark, path, docs.schema).select("doc_id", "text", "note", "origin.source", F.get("origin.sizes", F.lit(0)).alias("n_chars"))
 
 
+def q_order_daily_incremental(spark, sf_dir):
+    """Two half loads (even and odd order keys) merged into stored partial sums per day."""
+    lines = _table(spark, sf_dir, "lineitem")
+    state = DailyState(spark, fresh_dir(spark, "daily_state"))
+    for half in (0, 1):
+        orders = orders_from_lineitem(lines.where(F.col("l_orderkey") % 2 == half))
+        state.merge(enrich_orders(clean_orders(orders)), f"half-{half}")
+    return state.read(AVG_DIGITS)
+
+
+def q_collect_preview(spark, sf_dir):
+    """The preview brought to the driver behind its bound, and back as rows."""
+    preview = q_order_daily_agg_topk(spark, sf_dir)
+    return from_rows(spark, [tuple(r) for r in collect_bounded(preview, 20)], preview.schema)
+
+
+def q_persist_reuse(spark, sf_dir):
+    """Cleaned orders kept for two actions, a count and a count of groups."""
+    with persisted(clean_orders(_orders(spark, sf_dir))) as cleaned:
+        n_rows, n_groups = cleaned.count(), orders_daily(cleaned).count()
+    return from_rows(spark, [(n_rows, n_groups)], T.StructType.fromDDL("n_rows bigint, n_groups bigint"))
+
+
 # --- ticks -------------------------------------------------------------
 
 def q_tick_quality(spark, sf_dir):
@@ -249,6 +284,68 @@ def q_tick_ndjson_e2e(spark, sf_dir):
     return out.withColumns({**utc, "ingest_ts": F.col("ingest_ts").cast("timestamp_ntz")})
 
 
+def _dealt_tick_lines(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Events as lines of JSON, every 17th cut off; read once and dealt into good rows and malformed lines."""
+    event = F.to_json(F.struct("event_id", "user_id", "value"))
+    cut = F.concat(F.lit('{"event_id": '), F.col("event_id"), F.lit(', "value":'))
+    root = fresh_dir(spark, "tick_lines")
+    _table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 17 == 0, cut).otherwise(event).alias("value")).write.text(root)
+    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, value double")
+    return deal_corrupt(read_ndjson_tree(spark, root, schema=with_corrupt(schema), file_glob="*.txt", corrupt_column="_corrupt_record"))
+
+
+def q_tick_quarantine_good(spark, sf_dir):
+    return _dealt_tick_lines(spark, sf_dir)[0]
+
+
+def q_tick_quarantine_bad(spark, sf_dir):
+    return _dealt_tick_lines(spark, sf_dir)[1].select(F.col("_corrupt_record").alias("line"))
+
+
+def q_tick_landing_incremental(spark, sf_dir):
+    """Ticks land in two parts; each run reads the files that are new, the last one none."""
+    lines = _raw_tick_lines(_table(spark, sf_dir, "events"))
+    root, store = fresh_dir(spark, "tick_drops"), IncrementalTicks(spark, fresh_dir(spark, "tick_incremental"))
+    for part in (0, 1):
+        write_ndjson(lines.where(F.col("venue").cast("bigint") % 2 == part).drop("y", "m", "d"), f"{root}/drop={part}")
+        store.ingest(root, ingest_ts=INGEST_TS, file_glob="*.json")
+    if store.ingest(root, ingest_ts=INGEST_TS, file_glob="*.json"):
+        raise RuntimeError("files were read twice")
+    typed = parse_ticks(read_ndjson_tree(spark, root, schema=RAW_TICK_SCHEMA), ingest_ts=INGEST_TS)
+    utc = F.convert_timezone(None, F.lit("UTC"), F.col("recv_ts_parsed").cast("timestamp_ntz"))
+    return store.valid(typed.schema).select("venue", "pair", "bid", "ask", "sequence_id", utc.alias("recv_ts_parsed"))
+
+
+def q_tick_state_merge(spark, sf_dir):
+    """Latest ticks, from three batches merged one after another into the bucketed state."""
+    ticks = valid_quotes(_ticks(spark, sf_dir))
+    state = LatestState(spark, f"ledgerline_latest_{uuid.uuid4().hex}", "sequence_id", ["recv_ts", "event_id"], buckets=8)
+    for part in range(3):
+        state.merge(ticks.where(F.col("event_id") % 3 == part))
+    return state.read()
+
+
+def q_tick_ingest_stamp(spark, sf_dir):
+    """The query's own time as ingest stamp: one for all rows, not before this call."""
+    begun = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    stamped = parse_ticks(_ticks(spark, sf_dir))
+    return stamped.agg(
+        F.count("ingest_ts").alias("n_stamped"),
+        F.count_distinct("ingest_ts").alias("n_stamps"),
+        (F.min("ingest_ts") >= F.lit(begun)).alias("not_before"),
+    )
+
+
+def q_guard_empty(spark, sf_dir):
+    """Of two results one is empty: only the other is written."""
+    ticks, base = _ticks(spark, sf_dir), fresh_dir(spark, "guard_empty")
+    rows = []
+    for name, df in (("valid", valid_quotes(ticks)), ("none", valid_quotes(ticks).where("ask < bid"))):
+        wrote = write_unless_empty(df, lambda d: d.write.parquet(f"{base}/{name}"))  # noqa: B023
+        rows.append((name, wrote, spark.read.parquet(f"{base}/{name}").count() if wrote else 0))
+    return from_rows(spark, rows, T.StructType.fromDDL("name string, wrote boolean, n_rows bigint"))
+
+
 def q_rt_ndjson(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     root = fresh_dir(spark, "rt_ndjson")
@@ -292,6 +389,12 @@ def q_contacts_order(spark, sf_dir):
     return ends.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("low") < F.col("before")).cast("bigint").alias("out_of_order"))
 
 
+def q_contacts_rank(spark, sf_dir):
+    """Place of each contact in the sorted list, without a one-task window."""
+    named = contacts_with_full_name(_contacts(spark, sf_dir))
+    return with_row_number(named, ["first_name", F.col("last_name").desc()], "place").select("c_custkey", "full_name", "place")
+
+
 def q_rt_csv(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = fresh_dir(spark, "rt_csv")
@@ -315,6 +418,17 @@ def q_compact(spark, sf_dir):
     return read_parquet(spark, path, schema=customer.schema)
 
 
+def q_compact_small(spark, sf_dir):
+    """Orders stored in a folder per status, as many small files, compacted and read through the manifest."""
+    orders = _table(spark, sf_dir, "orders")
+    path = fresh_dir(spark, "compact_small")
+    orders.repartition(12).write.partitionBy("o_orderstatus").parquet(path)
+    compact_small_files(spark, path, orders.schema, ["o_orderstatus"], target_bytes=1 << 20)
+    manifest = Manifest(spark, path)
+    manifest.vacuum()
+    return manifest.read(orders.schema)
+
+
 # --- joins -------------------------------------------------------------
 
 def q_join_inner(spark, sf_dir):
@@ -340,6 +454,13 @@ def q_join_skew(spark, sf_dir):
     )
 
 
+def q_join_key_filter(spark, sf_dir):
+    """Transactions of one segment's customers; as if those were too many to broadcast, a filter
+    of their keys drops other transactions before the exchange."""
+    segment = _customers(spark, sf_dir).where(F.col("segment") == "BUILDING")
+    return filtered_join(_transactions(spark, sf_dir), segment, "customer_id", max_rows=1)
+
+
 def q_dimension_join(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -371,6 +492,21 @@ def q_key_skew(spark, sf_dir):
     return key_skew(_orders(spark, sf_dir), "security_id", digits=8)
 
 
+def q_hot_keys(spark, sf_dir):
+    """Event types with at least a tenth of all events, and users with at least a thousandth."""
+    events = _table(spark, sf_dir, "events")
+    rows = [("event_type", str(k)) for k in hot_keys(events, "event_type", 0.1)]
+    rows += [("user_id", str(k)) for k in hot_keys(events, "user_id", 0.001)]
+    return from_rows(spark, rows, T.StructType.fromDDL("column_name string, hot_key string"))
+
+
+def q_coalesce_rows(spark, sf_dir):
+    """Line items in 12 partitions merged into 3 without a shuffle: no row is lost."""
+    merged = coalesce_to(_table(spark, sf_dir, "lineitem").select("l_orderkey").repartition(12), 3)
+    profile = partition_profile(merged)
+    return profile.agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("rows").alias("n_rows"))
+
+
 def q_partition_rows(spark, sf_dir):
     """Profile of a layout by key: rows, smallest and largest key, and the distinct keys, which no two partitions share."""
     by_key = repartition_by(_table(spark, sf_dir, "lineitem").select("l_partkey"), ["l_partkey"])
@@ -385,6 +521,9 @@ QUERIES: dict[str, Query] = {
     "order_daily_agg_topk": q_order_daily_agg_topk,
     "orders_clean_count": q_orders_clean_count,
     "layout_agg": q_layout_agg,
+    "order_daily_incremental": q_order_daily_incremental,
+    "collect_preview": q_collect_preview,
+    "persist_reuse": q_persist_reuse,
     "gen": q_gen,
     "rt_parquet_prune": q_rt_parquet_prune,
     "orders_json_daily": q_orders_json_daily,
@@ -392,6 +531,12 @@ QUERIES: dict[str, Query] = {
     "rt_json_multiline": q_rt_json_multiline,
     "rt_json_split": q_rt_json_split,
     "tick_quality": q_tick_quality,
+    "tick_quarantine_good": q_tick_quarantine_good,
+    "tick_quarantine_bad": q_tick_quarantine_bad,
+    "tick_landing_incremental": q_tick_landing_incremental,
+    "tick_state_merge": q_tick_state_merge,
+    "tick_ingest_stamp": q_tick_ingest_stamp,
+    "guard_empty": q_guard_empty,
     "tick_latest": q_tick_latest,
     "tick_latest_maxby": q_tick_latest_maxby,
     "tick_enrich": q_tick_enrich,
@@ -402,18 +547,23 @@ QUERIES: dict[str, Query] = {
     "text_digits": q_text_digits,
     "contacts_csv_e2e": q_contacts_csv_e2e,
     "contacts_order": q_contacts_order,
+    "contacts_rank": q_contacts_rank,
     "rt_csv": q_rt_csv,
     "csv_infer": q_csv_infer,
     "compact": q_compact,
+    "compact_small": q_compact_small,
     "join_inner": q_join_inner,
     "join_bucketed": q_join_bucketed,
     "join_bucketed_skew": q_join_bucketed_skew,
     "join_skew": q_join_skew,
     "dimension_join": q_dimension_join,
+    "join_key_filter": q_join_key_filter,
     "rows_source": q_rows_source,
     "distinct_segments": q_distinct_segments,
     "key_skew": q_key_skew,
+    "hot_keys": q_hot_keys,
     "partition_rows": q_partition_rows,
+    "coalesce_rows": q_coalesce_rows,
 }
 
 
@@ -512,6 +662,34 @@ FROM lineitem GROUP BY 1, 2""",
     "tick_store_rt": _TICKS_CTE + "SELECT * FROM enriched",
     "tick_ndjson_e2e": _TICK_E2E_SQL,
     "rt_ndjson": "SELECT * FROM events",
+    "order_daily_incremental": _ORDERS_CTE + "SELECT * FROM daily",
+    "collect_preview": _ORDERS_CTE + "SELECT * FROM daily ORDER BY trade_date_str, security_id LIMIT 20",
+    "persist_reuse": _ORDERS_CTE + "SELECT (SELECT count(*) FROM clean) AS n_rows, (SELECT count(*) FROM daily) AS n_groups",
+    "tick_quarantine_good": "SELECT event_id, user_id, value FROM events WHERE event_id % 17 <> 0",
+    "tick_quarantine_bad": """
+SELECT '{"event_id": ' || CAST(event_id AS VARCHAR) || ', "value":' AS line FROM events WHERE event_id % 17 = 0""",
+    "tick_landing_incremental": """
+SELECT CAST(event_id AS VARCHAR) AS venue, upper(event_type) || '/USD' AS pair, value AS bid,
+       value * CAST(1.001 AS DOUBLE) AS ask, CAST(user_id AS VARCHAR) AS sequence_id, ts AS recv_ts_parsed
+FROM events WHERE value > 0 AND value * CAST(1.001 AS DOUBLE) > value""",
+    "tick_state_merge": _TICKS_CTE + "SELECT * FROM latest WHERE sequence_id IS NOT NULL",
+    "tick_ingest_stamp": "SELECT count(*) AS n_stamped, CAST(1 AS BIGINT) AS n_stamps, true AS not_before FROM events",
+    "guard_empty": _TICKS_CTE + """
+SELECT 'valid' AS name, true AS wrote, count(*) AS n_rows FROM valid
+UNION ALL SELECT 'none', false, 0""",
+    "contacts_rank": r"""
+SELECT c_custkey, c_name || ', ' || c_mktsegment AS full_name,
+       row_number() OVER (ORDER BY c_mktsegment, c_name DESC) AS place
+FROM customer WHERE c_custkey % 3 <> 0 AND regexp_matches(c_name, '\d+')""",
+    "compact_small": "SELECT * FROM orders",
+    "join_key_filter": _JOIN_SQL + " WHERE c.c_mktsegment = 'BUILDING'",
+    "hot_keys": """
+SELECT 'event_type' AS column_name, event_type AS hot_key FROM events
+GROUP BY event_type HAVING count(*) >= 0.1 * (SELECT count(*) FROM events)
+UNION ALL
+SELECT 'user_id', CAST(user_id AS VARCHAR) FROM events
+GROUP BY user_id HAVING count(*) >= 0.001 * (SELECT count(*) FROM events)""",
+    "coalesce_rows": "SELECT CAST(3 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem",
     "doc_digits": r"""
 SELECT doc_id, source AS last_name, lang AS first_name, text AS comment,
        source || ', ' || lang AS full_name

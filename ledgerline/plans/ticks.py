@@ -8,7 +8,7 @@ year, month, day, pair_clean``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,9 +23,11 @@ from ledgerline.functions.columns import (
     to_double,
 )
 from ledgerline.operators.dedup import latest_per_key
-from ledgerline.operators.quality import quote_is_valid, split_corrupt, valid_quotes
+from ledgerline.operators.quality import deal_corrupt, quote_is_valid, valid_quotes
 from ledgerline.sinks.files import is_empty, require_apart, write_compacted, write_partitioned
+from ledgerline.operators.state import LatestState
 from ledgerline.sources.files import read_ndjson_tree, read_parquet, string_schema
+from ledgerline.sources.landing import process_new_files, read_batches
 
 RAW_TICK_COLUMNS = (
     "trade_ts", "pair", "bid", "ask", "venue", "sequence_id", "instrument_id", "recv_ts",
@@ -117,6 +119,11 @@ def raw_tick_schema(spark: SparkSession, raw_root: str, file_glob: str = "*.ndjs
     return T.StructType([*RAW_TICK_SCHEMA.fields, *extra])
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """``schema`` and a text column for malformed lines."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+
+
 def read_processed(
     spark: SparkSession,
     path: str,
@@ -174,19 +181,17 @@ def run_ticks(
     """
     require_apart(spark, {"raw_root": raw_root, "output_path": output_path,
                           "export_path": export_path, "quarantine_path": quarantine_path})
-    # A malformed line reads as an all-null row, which the quote filter drops;
-    # the main path therefore needs no corrupt-record column.
     schema = schema or raw_tick_schema(spark, raw_root, file_glob)
-    raw = read_ndjson_tree(spark, raw_root, schema=schema, file_glob=file_glob)
     quarantined = 0
     if quarantine_path:
-        with_lines = read_ndjson_tree(
-            spark, raw_root, file_glob=file_glob, corrupt_column=CORRUPT_COLUMN,
-            schema=T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())]),
-        )
-        _, bad = split_corrupt(with_lines, CORRUPT_COLUMN)
+        # one read and parse: good and malformed lines are dealt into two folders
+        raw, bad = deal_corrupt(read_ndjson_tree(spark, raw_root, schema=with_corrupt(schema), file_glob=file_glob,
+                                                 corrupt_column=CORRUPT_COLUMN), CORRUPT_COLUMN)
         bad.write.mode("overwrite").json(quarantine_path)
-        quarantined = spark.read.text(quarantine_path).count()
+        quarantined = bad.count()
+    else:
+        # a malformed line reads as an all-null row, which the quote filter drops
+        raw = read_ndjson_tree(spark, raw_root, schema=schema, file_glob=file_glob)
     # The latest of a non-empty set is not empty, so one valid quote is enough:
     # the check is narrow and stops at the first, and nothing has to be cached.
     if is_empty(valid_quotes(parse_ticks(raw, strict, ingest_ts))):
@@ -198,3 +203,61 @@ def run_ticks(
     if export_path:
         write_compacted(written, export_path, target_bytes=export_file_bytes)
     return TicksResult(True, written.count(), quarantined, output_path, export_path)
+
+
+@dataclass
+class IncrementalTicks:
+    """Places of an incremental tick store (all below ``root``)."""
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
+    @property
+    def quotes(self) -> str:
+        return f"{self.root}/quotes"
+
+    @property
+    def malformed(self) -> str:
+        return f"{self.root}/malformed"
+
+    def ingest(
+        self,
+        raw_root: str,
+        schema: T.StructType = RAW_TICK_SCHEMA,
+        strict: bool = False,
+        file_glob: str = "*.ndjson",
+        max_files: int = 10_000,
+        ingest_ts: Column | str | dt.datetime | None = None,
+        on_batch: Callable[[DataFrame, str], object] | None = None,
+    ) -> list[str]:
+        """Read the files of ``raw_root`` that no earlier run committed; returns the batches done.
+
+        A batch's valid quotes (typed, one ingest stamp) and malformed lines are
+        written under its name, each file read once.  ``on_batch(quotes, batch)``
+        may carry the batch further, e.g. into a :class:`LatestState`; it is
+        called before the commit, again if a run is repeated.
+        """
+
+        def process(paths: list[str], batch: str) -> None:
+            lines = read_ndjson_tree(self.spark, paths, schema=with_corrupt(schema), file_glob=file_glob, corrupt_column=CORRUPT_COLUMN)
+            good, bad = deal_corrupt(lines, CORRUPT_COLUMN)
+            quotes = valid_quotes(parse_ticks(good, strict, ingest_ts))
+            quotes.write.mode("overwrite").parquet(f"{self.quotes}/batch={batch}")
+            bad.write.mode("overwrite").parquet(f"{self.malformed}/batch={batch}")
+            if on_batch:
+                on_batch(self.spark.read.schema(quotes.schema).parquet(f"{self.quotes}/batch={batch}"), batch)
+
+        return process_new_files(self.spark, raw_root, self.ledger, process, file_glob, max_files)
+
+    def valid(self, schema: T.StructType) -> DataFrame:
+        """Valid quotes of all committed batches."""
+        return read_batches(self.spark, self.quotes, self.ledger, schema)
+
+
+def latest_ticks(spark: SparkSession, table: str, tie_break: Sequence[str] = (), buckets: int | None = None) -> LatestState:
+    """Latest quote per sequence, kept as a bucketed table that takes in batch after batch."""
+    return LatestState(spark, table, "sequence_id", ("recv_ts_parsed", *tie_break), buckets)

@@ -164,3 +164,33 @@ def test_bucketed_write_shuffles_keep_zero_exchange(spark, scratch, shuffle):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError):
         write_bucketed(df, "default.bk_bad", "k", shuffle="other")
+
+
+def test_key_filter_sits_below_the_exchange(spark):
+    from ledgerline.operators.joins import filtered_join, key_filter, may_be_in
+
+    fact = spark.range(20_000).selectExpr("if(id % 50 = 0, null, id % 5000) AS k", "id AS f")
+    dim = spark.range(0, 5000, 40).selectExpr("id AS k", "concat('d', id) AS d").unionByName(spark.createDataFrame([(None, "none"), (40, "again")], "k bigint, d string"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = filtered_join(fact, dim, "k", max_rows=10)  # as if the dimension were too large
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        left = plan[plan.index("SortMergeJoin"):]
+        assert left.index("Exchange hashpartitioning") < left.index("getbit") or left.index("Exchange hashpartitioning") < left.index("bit_get")
+        expected = inner_join(fact, dim, "k")
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, expected.collect()))
+        words, bits = key_filter(dim, "k")
+        passed = fact.where(may_be_in(F.col("k"), words, bits)).count()
+        partners = fact.join(dim.select("k").distinct(), "k", "left_semi").count()
+        assert partners <= passed <= partners + 0.05 * 20_000  # false positives
+        # too many keys for the bits allowed: no filter, the same join
+        assert key_filter(spark.range(5000).withColumnRenamed("id", "k"), "k", max_bits=1024) is None
+        plain = filtered_join(fact, dim, "k", max_rows=10, max_bits=64)
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, expected.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    small = filtered_join(fact, dim, "k")
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString() and small.count() == expected.count()
+    with pytest.raises(ValueError):
+        filtered_join(fact, dim.withColumn("k", F.col("k").cast("string")), "k")

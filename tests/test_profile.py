@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedup import latest_per_key, latest_per_key_agg
@@ -43,3 +44,37 @@ def test_key_skew_reads_input_once(spark):
     report.collect()
     # the total's subquery reuses the per-key counts' shuffle instead of a second pass
     assert "ReusedExchange" in physical_plan(report)
+
+
+def test_hot_keys_without_shuffling_keys(spark):
+    """The same keys as the exact count, found by summaries; a task shuffles a count per candidate."""
+    import random
+
+    from ledgerline.operators.profile import hot_keys, key_skew
+
+    rng = random.Random(3)
+    rows = [("hot",)] * 3000 + [("warm",)] * 500 + [("edge",)] * 100 + [(None,)] * 1400 + [(f"u{i}",) for i in range(5000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string").repartition(6)
+    for share in (0.3, 0.1, 0.05, 0.01, 0.005, 0.00015):
+        exact = key_skew(df, "k", digits=None).where(f"share >= {share}")
+        assert {r["k"] for r in exact.collect()} == set(hot_keys(df, "k", share, nulls=True))
+        assert set(hot_keys(df, "k", share)) == {r["k"] for r in exact.where("k is not null").collect()}
+    assert hot_keys(df.where("k is null"), "k", 0.5) == [] and hot_keys(df.where("k is null"), "k", 0.5, nulls=True) == [None]
+    assert hot_keys(df.limit(0), "k", 0.1) == []
+
+
+def test_row_number_without_one_task_window(spark):
+    from ledgerline.operators.aggregate import with_row_number
+
+    rows = [(i % 7, i, f"n{i}") for i in range(500)] + [(None, 900, "x")]
+    df = spark.createDataFrame(rows, "a int, b int, row_text string").repartition(5)
+    got = with_row_number(df, [F.col("a").desc_nulls_last(), "b"], "rank")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") == 1 and plan.count("SinglePartition") == 1  # over the counts per range only
+    expected = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r["rank"])] == expected
+    assert sorted(r["rank"] for r in got.collect()) == list(range(1, 502))
+    assert with_row_number(df.limit(0), ["a"]).count() == 0
+    with pytest.raises(ValueError):
+        with_row_number(df, ["a"], "b")
