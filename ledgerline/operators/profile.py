@@ -68,10 +68,12 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, nulls: bool = Fal
     if min_share / 2 < _LEAST_SHARE:
         report = key_skew(keys, "key", digits=None).where((F.col("share") >= min_share) & (F.lit(nulls) | F.col("key").isNotNull()))
         return [row[0] for row in collect_bounded(report.select("key"), math.floor(1 / min_share))]
-    candidates = [k for k in keys.stat.freqItems(["key"], min_share / 2).first()[0] if k is not None]
-    kept = F.when(F.col("key").isin(candidates), F.col("key"))
-    counted = keys.groupBy(kept.alias("key"), F.col("key").isNull().alias("none")).agg(F.count(F.lit(1)).alias("n_rows"))
-    rows = collect_bounded(counted, len(candidates) + 2)
+    items = keys.stat.freqItems(["key"], min_share / 2)
+    candidates = items.select(F.explode("key_freqItems").alias("candidate"))
+    # at most 2 / min_share rows: bounded by the parameter
+    marked = keys.join(F.broadcast(candidates), keys["key"] == candidates["candidate"], "left")
+    counted = marked.groupBy("candidate", keys["key"].isNull().alias("none")).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = collect_bounded(counted, math.floor(2 / min_share) + 2)
     least = min_share * sum(r["n_rows"] for r in rows)
-    hot = [r for r in rows if r["n_rows"] >= least and (r["key"] is not None or r["none"])]
-    return [r["key"] for r in hot if nulls or not r["none"]]
+    hot = [r for r in rows if r["n_rows"] >= least and (r["candidate"] is not None or r["none"])]
+    return [r["candidate"] for r in hot if nulls or not r["none"]]

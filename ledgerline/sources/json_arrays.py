@@ -9,9 +9,9 @@ its *transition function*: for both ways it may start (inside a string or not),
 whether it ends in one, how far the depth changes, and the least depth at any
 of its closing braces.  Composing the functions of a file's splits in order --
 running sums over a row per split -- gives the state at the start of each
-split.  In a second scan every split then finds the records in it.  Records
-that lie in one split are emitted where they are; only the pieces of records
-that cross splits are shuffled, and put together by the record they belong to.
+split.  With it every split finds the records in it.  Records that lie in one
+split are emitted where they are; only the pieces at the borders of splits are
+shuffled, and put together by the record they belong to.
 
 An escape never spans a split: in JSON no backslash stands before a brace.
 """
@@ -48,7 +48,8 @@ Schema = T.StructType | str
 
 
 def _segments(spark: SparkSession, path: str | list[str], options: dict | None) -> DataFrame:
-    """Text between closing braces: ``value, file, start, size`` in the order of each split."""
+    """Text between closing braces: ``value, file, start, size, whole`` in the order of each
+    split; ``whole``: the split is a file of its own."""
     reader = spark.read.option("lineSep", "}")
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
@@ -58,6 +59,7 @@ def _segments(spark: SparkSession, path: str | list[str], options: dict | None)
         F.xxhash64(at["file_path"]).alias("file"),
         at["file_block_start"].alias("start"),
         at["file_size"].alias("size"),
+        ((at["file_block_start"] == 0) & (at["file_block_length"] >= at["file_size"])).alias("whole"),
     )
 
 
@@ -129,12 +131,17 @@ def _functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 depth[s] = int(reached[-1]) if len(reached) else depth[s]
             state.update(depth=depth, low=low, flips=state["flips"] ^ flips, bytes=state["bytes"] + len(data) + part.num_rows)
             if state["head"] < 0:
-                solid = data[:4096].tobytes().removeprefix(_BOM).lstrip(_BLANK) or data.tobytes().lstrip(_BLANK)
-                state["head"] = solid[0] if solid else -1
+                state["head"] = _head(data)
     if key is not None:
         yield row()
 
 
+def _head(data: np.ndarray) -> int:
+    """The first byte that is not blank, behind a byte-order mark; -1 without one."""
+    solid = data[:4096].tobytes().removeprefix(_BOM).lstrip(_BLANK) or data.tobytes().removeprefix(_BOM).lstrip(_BLANK)
+    return solid[0] if solid else -1
+
+
 def _states(functions: DataFrame) -> DataFrame:
     """The composed state at the start of each split: a window over the splits of one file."""
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,94 +161,136 @@ def _states(functions: DataFrame) -> DataFrame:
         "file", "start", "inside", "depth", "base", "last", "ends",
         # the split that the first record here began in: the last one ahead in which a record ended
         F.coalesce(F.last(F.when(F.col("ends"), F.col("start")), ignorenulls=True).over(before), F.lit(-1)).alias("owner"),
-        # whether the file's last segment had its brace (told by the bytes of an uncompressed file)
+        # whether the file's last segment had its brace
         F.when(F.col("total") == F.col("size"), 1).when(F.col("total") == F.col("size") + 1, 0).otherwise(-1).alias("closed"),
     )
 
 
-_RECORD = "value binary, whole boolean, file bigint, owner bigint, start bigint, base int, final boolean"
+_PIECE = "value binary, file bigint, owner bigint, start bigint, base int, final boolean"
 
 
 class _Split:
-    """The records of one split, as its segments stream by."""
+    """Follows the state of one split as its segments stream by."""
 
-    def __init__(self, file, start, inside, depth, base, last, owner, closed, ends):
-        self.file, self.start, self.base, self.last, self.closed = file, start, base, bool(last), closed
+    def __init__(self, file, start, size, inside, depth, base, last, owner, closed):
+        self.file, self.start, self.size, self.base = file, start, size, base
+        self.whole = base < 0  # the split is a file of its own: its state is known
+        self.last, self.closed = bool(last), closed
         self.inside, self.depth, self.owner = bool(inside), depth, owner
-        self.pieces: list[bytes] = []  # of the record that is open
-
-    def rows(self, part: pa.RecordBatch, is_end: bool) -> Iterator[tuple]:
-        """Records and pieces that end in ``part``; ``is_end``: no more segments follow."""
-        values = part.column(0)
-        data, ends = _bytes(values)
-        steps, odd, closing, flips = _structure(data, ends)
+        self.bytes = 0
+        self.ended = self.whole  # whether a record has ended in this split (or none began ahead of it)
+        self.fresh = self.whole  # whether the start of the file is still ahead
+        self.open: list[bytes] = []  # text of the record that is open, braces included
+
+    def ends(self, part: pa.RecordBatch, is_end: bool) -> tuple[bytes, np.ndarray, np.ndarray, int]:
+        """The bytes of ``part``, where its segments lie in them, the segments that end a record,
+        and the number of those that a brace follows; ``is_end``: no more segments come."""
+        data, at = _bytes(part.column(0))
+        if self.base < 0:
+            self.base = int(_head(data) == ord("["))
+        self.bytes += len(data) + part.num_rows
+        steps, odd, closing, flips = _structure(data, at)
         outside = odd == self.inside
         reached = self.depth + np.cumsum(np.where(outside, steps, 0))
-        done = outside[closing] & (reached[closing] <= self.base)
-        n = part.num_rows
-        if is_end and self.last and not self._has_brace(data[ends[n - 1] :].tobytes()):
-            done[n - 1] = False
-            n -= 1  # the file's rest, which no brace follows
-        raw, at = data.tobytes(), 0
-        for k in np.flatnonzero(done[:n]):
-            yield self._emit(self._take(raw, ends, at, int(k) + 1))
-            at = int(k) + 1
-        if at < n:
-            self.pieces.append(self._take(raw, ends, at, n, keep=True))
-        if n < part.num_rows:
-            self.pieces.append(raw[ends[n] :])
+        done, n = outside[closing] & (reached[closing] <= self.base), part.num_rows
+        if is_end and self.last and not self._has_brace(data[at[n - 1] :].tobytes()):
+            n -= 1  # the file's rest
         self.inside ^= bool(flips)
         self.depth = int(reached[-1]) if len(reached) else self.depth
+        return data.tobytes(), at, np.flatnonzero(done[:n]), n
 
     def _has_brace(self, rest: bytes) -> bool:
-        return bool(self.closed) if self.closed >= 0 else bool(rest.strip(_BLANK + b",]"))
-
-    def _take(self, raw: bytes, ends: np.ndarray, a: int, b: int, keep: bool = False) -> bytes:
-        """Segments ``a`` to ``b`` with their braces, after the open pieces unless kept with them."""
-        text = raw[ends[a] : ends[a + 1]] + b"}" if b == a + 1 else b"".join(raw[ends[k] : ends[k + 1]] + b"}" for k in range(a, b))
-        if keep or not self.pieces:
-            return text
-        text, self.pieces = b"".join([*self.pieces, text]), []
+        """Whether the file's last segment had its brace, as told by the bytes of an uncompressed file."""
+        closed = self.closed
+        if self.whole:
+            closed = {self.size: 1, self.size + 1: 0}.get(self.bytes, -1)
+        return bool(closed) if closed >= 0 else bool(rest.strip(_BLANK + b",]"))
+
+    def started(self, text: bytes) -> bytes:
+        """``text`` without what a file starts with, if it is a file's first one."""
+        if self.fresh:
+            self.fresh, text = False, text.removeprefix(_BOM).lstrip(_BLANK)
+            return text[1:] if self.base and text.startswith(b"[") else text
         return text
 
-    def _emit(self, text: bytes) -> tuple:
-        """The first record of a split may have begun in an earlier one; the others are whole."""
-        owner, self.owner = self.owner, self.start
-        if owner == self.start:
-            return text.lstrip(_BLANK + b","), True, self.file, owner, self.start, self.base, False
-        return text, False, self.file, owner, self.start, self.base, False
 
-    def rest(self) -> Iterator[tuple]:
-        if self.pieces or self.last:
-            yield b"".join(self.pieces), False, self.file, self.owner, self.start, self.base, self.last
+def _text(raw: bytes, at: np.ndarray, a: int, b: int) -> bytes:
+    """Segments ``a`` to ``b`` (not included), with their braces."""
+    return b"".join(raw[at[k] : at[k + 1]] + b"}" for k in range(a, b))
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole records, and the pieces of those that cross splits, of every split of a task."""
-    fields = [f.split() for f in _RECORD.split(", ")]
-    kinds = {"binary": pa.binary(), "boolean": pa.bool_(), "bigint": pa.int64(), "int": pa.int32()}
-    open_key, split, held = None, None, None
+def _inner(split: _Split, part: pa.RecordBatch, is_end: bool) -> tuple[pa.Array, list[bytes]]:
+    """Records that begin and end in the split, without their last brace, and malformed text.
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
+    The first record of a split that is no whole file may have begun ahead of
+    it, and is left to :func:`_border`, as is the text behind the last one.
+    """
+    raw, at, ends, n = split.ends(part, is_end)
+    long, bad, short = [], [], part.column(0).slice(0, 0)
+    if len(ends):
+        if split.ended:
+            text = b"".join([*split.open, _text(raw, at, 0, int(ends[0]))]) + raw[at[ends[0]] : at[ends[0] + 1]]
+            long.append(split.started(text))
+        first, last = ends[:-1] + 1, ends[1:]
+        for a, b in zip(first[first != last], last[first != last]):
+            long.append(_text(raw, at, a, b) + raw[at[b] : at[b + 1]])
+        short = part.column(0).take(pa.array(last[first == last]))  # a record of one segment, as it stands
+        split.ended, split.open = True, [_text(raw, at, int(ends[-1]) + 1, n)]
+    elif split.ended and n:
+        split.open.append(_text(raw, at, 0, n))
+    if is_end and split.whole:
+        rest = split.started(b"".join(split.open) + raw[at[n] :]).strip(_BLANK + b",")
+        if rest != (b"]" if split.base else b""):
+            bad.append(rest or b"[")  # an array cut off behind a record leaves no text: its open bracket stands for it
+    return pa.concat_arrays([short.cast(pa.binary()), pa.array(long, pa.binary())]), bad
+
+
+def _border(split: _Split, part: pa.RecordBatch, is_end: bool) -> Iterator[tuple]:
+    """Pieces at the split's borders: the text up to its first end of a record (the text behind the last one follows)."""
+    raw, at, ends, n = split.ends(part, is_end)
+    if len(ends) and not split.ended:
+        yield b"".join([*split.open, _text(raw, at, 0, int(ends[0]) + 1)]), split.file, split.owner, split.start, split.base, False
+        split.ended, split.owner = True, split.start
+    if len(ends):
+        split.open = []
+    split.open.append(_text(raw, at, int(ends[-1]) + 1 if len(ends) else 0, n) + raw[at[n] :])
+
+
+def _last_piece(split: _Split) -> Iterator[tuple]:
+    text = b"".join(split.open)
+    if text or split.last:
+        yield text, split.file, split.owner, split.start, split.base, split.last
+
+
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Split, pa.RecordBatch, bool]]:
+    """Stretches of segments with their split, each told whether it is the split's last one."""
+    key, split, held = None, None, None
+    for batch in batches:
+        for now, part in _runs(batch, tuple(range(1, 10))):
+            if split is not None:
+                yield split, held, now != key
+            if now != key:
+                key, split = now, _Split(*now)
+            held = part
+    if split is not None:
+        yield split, held, True
 
-    def finish() -> list[tuple]:
-        return [*split.rows(held, True), *split.rest()] if split else []
 
-    for batch in batches:
-        out: list[tuple] = []
-        for key, part in _runs(batch, tuple(range(1, 10))):
-            if key != open_key:
-                out += finish()
-                open_key, split = key, _Split(*key)
-            else:
-                out += split.rows(held, False)
-            held = part  # one stretch behind, as the last one of a file is read otherwise
-        if out:
-            yield batch_of(out)
-    if rest := finish():
-        yield batch_of(rest)
+def _inner_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for split, part, is_end in _followed(batches):
+        found, bad = _inner(split, part, is_end)
+        for values, brace in ((found, True), (pa.array(bad, pa.binary()), False)):
+            if len(values):
+                yield pa.RecordBatch.from_arrays([values, pa.array(np.full(len(values), brace))], names=["value", "brace"])
+
+
+def _border_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = {"binary": pa.binary(), "boolean": pa.bool_(), "bigint": pa.int64(), "int": pa.int32()}
+    fields = [f.split() for f in _PIECE.split(", ")]
+    for split, part, is_end in _followed(batches):
+        rows = [*_border(split, part, is_end), *(_last_piece(split) if is_end else ())]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
 def json_records(spark: SparkSession, path: str | list[str], options: dict | None = None, max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
@@ -253,31 +302,43 @@ def json_records(spark: SparkSession, path: str | list[str], options: dict | Non
     white space, commas and the array's brackets.  Several objects after one
     another are a record each.  Blank files have none.  Files must be UTF-8;
     compressed ones are read by one task each.
+
+    The text is scanned for the functions of splits and for the records inside
+    them, and if there are files of several splits, for the pieces at their
+    borders: reading again is cheaper than keeping all records to find those few.
     """
     segments = _segments(spark, path, options)
-    states = materialized(_states(segments.mapInArrow(_functions, _FUNCTION)), "json_states")
-    keys = ["file", "start"]
-    columns = ["value", *keys, "inside", "depth", "base", "last", "owner", "closed", "ends"]
-    flags = [F.col(c).cast("int").alias(c) if c in ("inside", "last", "ends") else F.col(c) for c in columns]
-    if states.count() <= max_broadcast_splits:
-        placed = segments.drop("size").join(F.broadcast(states), keys).select(*flags)
+    cut = segments.where(~F.col("whole")).drop("whole")
+    states = materialized(_states(cut.mapInArrow(_functions, _FUNCTION)), "json_states")
+    splits = states.count()
+    own = {"inside": 0, "depth": 0, "base": -1, "last": 1, "owner": -1, "closed": -1}
+    kinds = {c: "bigint" if c in ("depth", "owner") else "int" for c in own}
+    columns = ["value", "file", "start", "size", *own]
+    filled = [F.coalesce(F.col(c).cast(kinds[c]), F.lit(own[c]).cast(kinds[c])).alias(c) if c in own else F.col(c) for c in columns]
+    if not splits:
+        placed = segments.select(*columns[:4], *[F.lit(v).cast(kinds[c]).alias(c) for c, v in own.items()])
+    elif splits <= max_broadcast_splits:  # a file of its own has no row in states
+        placed = segments.join(F.broadcast(states), ["file", "start"], "left").select(*filled)
     else:  # segments travel to their split's state and are put in order again
-        ordered = segments.drop("size").withColumn("at", F.monotonically_increasing_id())
-        placed = ordered.join(states, keys).repartition(*keys).sortWithinPartitions(*keys, "at").select(*flags)
-    found = placed.mapInArrow(_records, _RECORD)
-    text = F.col("value").cast("string")
-    pieces = found.where("not whole").groupBy("file", "owner").agg(
+        ordered = segments.withColumn("at", F.monotonically_increasing_id()).join(states, ["file", "start"], "left")
+        placed = ordered.repartition("file", "start").sortWithinPartitions("file", "start", "at").select(*filled)
+    lead, text = F.lit(" \t\r\n,"), F.col("value").cast("string")
+    brace = F.when(F.col("brace"), F.lit("}")).otherwise(F.lit(""))
+    inner = placed.mapInArrow(_inner_records, "value binary, brace boolean").select(F.concat(F.ltrim(text, lead), brace).alias("value"))
+    if not splits:
+        return inner
+    pieces = placed.where("base >= 0").mapInArrow(_border_pieces, _PIECE).groupBy("file", "owner").agg(
         F.sort_array(F.collect_list(F.struct("start", text.alias("text")))).alias("p"),
         F.first("base").alias("base"), F.max("final").alias("final"))
     joined = pieces.select(F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), "owner", "base", "final")
     opened = F.when(F.col("owner") == -1, F.when(F.col("base") == 1, F.regexp_replace("text", r"^\x{FEFF}?\s*\[", "")).otherwise(F.regexp_replace("text", r"^\x{FEFF}", "")))
-    clean = joined.select(F.regexp_replace(F.coalesce(opened, "text"), r"^[ \t\r\n,]+", "").alias("value"), "base", "final")
+    clean = joined.select(F.ltrim(F.coalesce(opened, "text"), lead).alias("value"), "base", "final")
     # a file ends in the array's bracket, or in nothing
     end = F.when(F.col("base") == 1, F.lit("]")).otherwise(F.lit(""))
     across = clean.where(~F.col("final") | (F.rtrim(F.col("value"), F.lit(" \t\r\n")) != end))
     # an array cut off behind a record leaves no text: its open bracket stands for it
     across = across.select(F.when(F.col("value") == "", "[").otherwise(F.col("value")).alias("value"))
-    return found.where("whole").select(text.alias("value")).unionByName(across)
+    return inner.unionByName(across)
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: Schema, options: dict | None = None, json_options: dict | None = None) -> DataFrame:
@@ -290,5 +351,5 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: Schema,
     (``from_json``: modes PERMISSIVE and FAILFAST).
     """
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    row = F.from_json("value", kind, json_options or {}).alias("row")
-    return json_records(spark, path, options).select(row).select("row.*")
+    # a generator of one row: each record is parsed once, however many fields and filters read it
+    return json_records(spark, path, options).select(F.inline(F.array(F.from_json("value", kind, json_options or {}))))
