@@ -24,8 +24,10 @@ from ledgerline.llm.common import let, words
 TARGET_DOCS = 5000
 BUCKETS = 1 << 14
 #: Mean log ratio, in micro-nats, from which on a document is kept.
-THRESHOLD = -200_000
-SMOOTHING = 1.0
+THRESHOLD = -100_000
+#: Grams of the raw corpus that the target is blended with: a small trusted sample says little about
+#: words that it does not hold, a large one much.
+PRIOR = 1 << 17
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
@@ -80,10 +82,9 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     every = docs.sparkSession.range(0, buckets, 1, 1).select(F.col("id").alias("b"))
     full = every.join(counts, "b", "left").select("b", *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("raw", "target")))
     one = full.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "target"))).alias("c"), F.sum("raw").alias("r"), F.sum("target").alias("t"))
-    p = lambda n, total: F.log((n + F.lit(SMOOTHING)) / (total + F.lit(SMOOTHING * buckets)))
-    return one.select(
-        F.transform("c", lambda e: F.round((p(e["target"], F.col("t")) - p(e["raw"], F.col("r"))) * 1e6).cast("bigint")).alias("weights")
-    )
+    raw = lambda e: (e["raw"] + F.lit(1.0)) / (F.col("r") + F.lit(float(buckets)))
+    target = lambda e: (e["target"] + F.lit(float(PRIOR)) * raw(e)) / (F.col("t") + F.lit(float(PRIOR)))
+    return one.select(F.transform("c", lambda e: F.round(F.log(target(e) / raw(e)) * 1e6).cast("bigint")).alias("weights"))
 
 
 def with_quality(
