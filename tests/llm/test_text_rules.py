@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm import secrets as S
-from ledgerline.llm.quality import BUCKETS, MEASURES, THRESHOLD, quality_filter, with_quality
+from ledgerline.llm.quality import BUCKETS, MEASURES, PRIOR, THRESHOLD, quality_filter, with_quality
 from ledgerline.llm.surrogates import GIVEN, PATTERN, pseudonymize
 from tests.llm.helpers import DOCS, corpus, make_docs
 
@@ -43,8 +43,8 @@ def test_quality(spark):
     for i, _, _, b in parts:
         raw.update(b)
         target.update(b if i is not None and i < 40 else [])
-    p = lambda n, total: math.log((n + 1) / (total + BUCKETS))
-    weight = [round((p(target[b], target.total()) - p(raw[b], raw.total())) * 1e6) for b in range(BUCKETS)]
+    share = [(raw[b] + 1) / (raw.total() + BUCKETS) for b in range(BUCKETS)]
+    weight = [round(math.log((target[b] + PRIOR * share[b]) / (target.total() + PRIOR) / share[b]) * 1e6) for b in range(BUCKETS)]
     want = []
     for i, t, w, b in parts:
         grams = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
