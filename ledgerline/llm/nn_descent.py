@@ -287,7 +287,8 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col
     ties go to the smaller id.  Vectors that are null, zero, or hold null or
     non-finite components take no part, nor do rows without id or whose
     length differs from the longest.  Rows that repeat an id and its vector
-    are one query, and candidates of each other's.  Where there are fewer
+    are one query, and candidates of each other's; an id with several vectors is
+    a query with each, and its other rows are candidates.  Where there are fewer
     than ``k`` others, all are returned.  An empty table gives an empty result.
     """
     scratch = Scratch(vectors.sparkSession, "nn")
@@ -305,14 +306,15 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col
     nodes, _ = scratch.write(nodes.mapInArrow(shrink, "node bigint, ids array<bigint>, v array<double>, q binary, dim int"))
     graph = neighbour_graph(nodes.select("node", "q", "dim"), scratch)
     rows = vectors.where(queries).select(F.col(f"`{id_col}`").cast("bigint").alias("query"), F.transform(F.col(f"`{vec_col}`"), lambda x: x.cast("double")).alias("v")).distinct()
-    rows = rows.join(nodes.select("node", "v"), "v").select("query", "node", "v")
-    found = search(rows, nodes.select("node", "v"), graph, scratch, k)
+    # a query is an id with one of its vectors: its number tells those of one id apart
+    rows = rows.join(nodes.select("node", "v"), "v").select(F.xxhash64("query", "node").alias("row"), "query", "node", "v")
+    found = search(rows.select(F.col("row").alias("query"), "node", "v"), nodes.select("node", "v"), graph, scratch, k).withColumnRenamed("query", "row")
     # the query's own node holds the rows with an equal vector
-    norm = rows.select("query", F.col("node").alias("own"), F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x).alias("norm"))
-    scored = found.join(norm, "query").withColumn("score", F.when(F.col("node") == F.col("own"), F.col("norm")).otherwise(F.col("score")))
+    norm = rows.select("row", "query", F.col("node").alias("own"), F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x).alias("norm"))
+    scored = found.join(norm, "row").withColumn("score", F.when(F.col("node") == F.col("own"), F.col("norm")).otherwise(F.col("score")))
     # of the own node's rows the query's own is left out once
     self_at = F.array_position("ids", F.col("query"))
     each = scored.join(nodes.select("node", "ids"), "node").withColumn("self", F.when(F.col("node") == F.col("own"), self_at).otherwise(F.lit(0)))
-    each = each.select("query", "score", "self", F.posexplode("ids").alias("i", "vec_id")).where("i + 1 <> self")
-    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    each = each.select("row", "query", "score", "self", F.posexplode("ids").alias("i", "vec_id")).where("i + 1 <> self")
+    rank = F.row_number().over(W.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return each.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -263,6 +263,17 @@ def test_nearest_of_clusters_and_outliers(spark):
     assert np.mean(inside) >= 0.95 and np.mean(outside) >= 0.9, (np.mean(inside), np.mean(outside))
 
 
+def test_an_id_with_two_vectors_is_two_queries(spark):
+    rng = random.Random(8)
+    vector = lambda: [rng.gauss(0, 1) for _ in range(16)]
+    rows = [(i, vector()) for i in range(300)] + [(20, vector()), (20, vector())]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = nearest(docs, F.col("vec_id") % 20 == 0, k=5).collect()
+    assert len(got) == 5 * (15 + 2)
+    mine = Counter(r["rank"] for r in got if r["query_id"] == 20)
+    assert mine == {rank: 3 for rank in range(1, 6)}
+
+
 def test_nearest_small_tables(spark):
     rows = [(i, [float(i), 1.0]) for i in range(5)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
