@@ -73,6 +73,17 @@ def bit_filter(wanted: DataFrame, column: str) -> tuple[Broadcast, int]:
     return wanted.sparkSession.sparkContext.broadcast(mask), bits
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` for columns of an operator's own, lengthened where ``df`` has such a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 

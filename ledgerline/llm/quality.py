@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import let, words
+from ledgerline.llm.common import free_names, let, words
 
 #: Trusted documents the target is fitted on, at most (those first by digest of the id).
 TARGET_DOCS = 5000
@@ -109,8 +109,9 @@ def with_quality(
     if name in docs.columns:
         raise ValueError(f"{name} is taken")
     weights = bucket_weights(docs, labels, id_col, text_col, buckets, target_docs).scalar()
-    judged = docs.withColumn("__weights", weights).withColumn(name, _measures(F.col(f"`{text_col}`"), F.col("__weights"), threshold, buckets))
-    return judged.drop("__weights")
+    (own,) = free_names(docs, "__weights")
+    judged = docs.withColumn(own, weights).withColumn(name, _measures(F.col(f"`{text_col}`"), F.col(own), threshold, buckets))
+    return judged.drop(own)
 
 
 def _measures(text: Column, weights: Column, threshold: int, buckets: int) -> Column:
@@ -142,4 +143,5 @@ def _measures(text: Column, weights: Column, threshold: int, buckets: int) -> Co
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options: object) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    return with_quality(docs, labels, **options).where(F.col("__quality.kept")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    (name,) = free_names(docs, "__quality")
+    return with_quality(docs, labels, **options, name=name).where(F.col(f"{name}.kept")).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -10,18 +10,23 @@ uniform noise:
 * the number of runs above and below the middle of the alphabet,
 * serial correlation of neighbours.
 
-Fisher's method combines them to one p-value: text-like tokens crowd near 0,
-random ones spread evenly over (0, 1).  Short tokens give the tests little
-to reject, so the cut-off is set per encoding and length class: from the
-counts of all documents, the share of truly random tokens in a class follows
-from the p-values above one half, and the class accepts tokens from the
-smallest p-value on at which the expected share of non-random ones among the
-accepted stays within ``fdr``.  A class where no cut-off achieves that accepts
-none.
+Fisher's method combines them to one p-value; a token *fits* noise if that is
+at least ``FITS``.  Short tokens give the tests little to reject, so a token
+must also be unlike text: noise changes its class of characters (capital,
+small letter, digit, other; for digits alone, even and odd) at nearly every
+other character, text seldom.  What text does is learned from all tokens of
+the corpus that do not fit noise, whatever their length, shrunk towards a
+stated rate; from it follows the chance that a text-like token of this length
+changes class so often.  How often text fits noise by chance is learned the
+same way, from the tokens that change class no more than text does; the product
+is the token's chance under text.  Over all tokens together the Benjamini-Hochberg rule
+accepts the smallest chances, so that the expected share of text among what is
+accepted stays within ``fdr``: one strong token is found alone, whatever else
+its class holds, and a corpus of many tokens asks for stronger ones.
 
 All of it is DataFrame functions on whole texts; rows are never joined, and
-the cut-offs (at most encodings x length classes numbers) come back as a
-scalar subquery.
+the cut-offs (one for each length class) come back as a scalar subquery over
+counts by length class and rate.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import let
+from ledgerline.llm.common import free_names, let
 
 # The base patterns.  Letters of the names count in either case.
 NAME = "[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
@@ -50,8 +55,15 @@ ENCODINGS = {
     "upper36": ("^[0-9A-Z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     "base64": ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 }
-BINS, HALF = 20, 10
+#: Combined p-value from which on a token fits noise, and its least length.
+FITS, SHORTEST = 0.001, 16
 FDR = 0.1
+#: Changes of class per neighbouring pair in text: mean and spread expected beforehand, and the tokens that this counts for.
+TEXT_RATE, TEXT_SPREAD, TEXT_TOKENS = 0.10, 0.08, 50
+#: Share of text-like tokens that fit noise, as expected beforehand.
+TEXT_FITS = 0.05
+#: Rates are counted in steps of this many to 1.
+STEPS = 100
 
 
 def matches(text: Column, pattern: str, kind: int, group: int = 0, shortest: int = 1) -> Column:
@@ -136,8 +148,16 @@ def battery(token: Column, enc: Column) -> Column:
     return let(plain, lambda t: let(alphabet, lambda a: let(bound(t, a), tests)))
 
 
+def changes(token: Column, enc: Column) -> Column:
+    """How often neighbouring characters differ in class."""
+    capital, small, digit = (ENCODINGS["base64"][1][i:j] for i, j in ((0, 26), (26, 52), (52, 62)))
+    mixed = F.translate(token, capital + small + digit + "+/-_=", "A" * 26 + "a" * 26 + "0" * 10 + "+" * 5)
+    classes = F.when(enc == "decimal", F.translate(token, digit, "01" * 5)).otherwise(mixed)
+    return F.regexp_count(classes, F.lit(r"(?s)(.)(?!\1)(?=.)"))
+
+
 def candidates(text: Column, base: Column) -> Column:
-    """Tokens that no base span touches: ``(start, end, kind, cls, bin)``."""
+    """Tokens that no base span touches: ``(start, end, kind, cls, rate, fits)``, with the rate in whole steps."""
 
     def judged(s: Column) -> Column:
         token = F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("="))
@@ -149,8 +169,9 @@ def candidates(text: Column, base: Column) -> Column:
                     s["start"].alias("start"),
                     s["end"].alias("end"),
                     s["kind"].alias("kind"),
-                    F.concat_ws("|", e, length_class(F.length(t)).cast("string")).alias("cls"),
-                    F.when(F.length(t) >= 16, F.least(F.floor(battery(t, e) * BINS), F.lit(BINS - 1)).cast("int")).otherwise(0).alias("bin"),
+                    length_class(F.length(t)).alias("cls"),
+                    F.when(F.length(t) > 1, F.floor(STEPS * changes(t, e) / (F.length(t) - 1)).cast("int")).otherwise(0).alias("rate"),
+                    F.when(F.length(t) >= SHORTEST, battery(t, e) >= FITS).otherwise(F.lit(False)).alias("fits"),
                 ),
             ),
         )
@@ -163,15 +184,31 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def cut_offs(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
-    """One row, ``cuts``: class to the first accepted p-value bin, for classes that accept any."""
-    counts = scanned.select(F.explode("__candidates").alias("c")).groupBy(F.col("c.cls").alias("cls"), F.col("c.bin").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    per = W.partitionBy("cls")
-    from_here = F.sum("n").over(per.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0))
-    upper = F.sum(F.when(F.col("bin") >= HALF, F.col("n")).otherwise(0)).over(per)
-    random = F.least(upper * (BINS / HALF), F.sum("n").over(per)) * (1 - F.col("bin") / BINS)
-    accepted = counts.select("cls", "bin", (1 - random / from_here).alias("share")).where(F.col("bin") >= 1).where(F.col("share") <= fdr)
-    cuts = accepted.groupBy("cls").agg(F.min("bin").alias("bin"))
-    return cuts.agg(F.map_from_entries(F.collect_list(F.struct("cls", "bin"))).alias("cuts"))
+    """One row, ``cuts``: length class to the smallest rate of an accepted token, for classes that accept any.
+
+    A cell (class, rate) counts as its least telling token: the shortest length, the rate rounded down.
+    """
+    # the whole struct is the key: with its fields as keys the candidates would be computed for each of them
+    cell = F.transform("__candidates", lambda c: F.struct(c["cls"].alias("cls"), c["rate"].alias("rate"), c["fits"].alias("fits")))
+    cells = scanned.select(F.explode(cell).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).select("c.*", "n")
+    x, plain, own = F.col("rate") / STEPS, F.when(F.col("fits"), 0).otherwise(F.col("n")), float(TEXT_TOKENS)
+    every = W.partitionBy()  # at most length classes x steps x 2 rows
+    weight = F.sum(plain).over(every) + own
+    mean = (F.sum(plain * x).over(every) + own * TEXT_RATE) / weight
+    square = (F.sum(plain * x * x).over(every) + own * (TEXT_RATE**2 + TEXT_SPREAD**2)) / weight
+    known = cells.select("cls", "rate", "fits", "n", x.alias("x"), mean.alias("mean"), (square - mean * mean).alias("var"), F.sum("n").over(every).alias("m"))
+    shortest = F.greatest(F.when(F.col("cls") < 8, 8 * F.col("cls")).otherwise(F.pow(F.lit(2.0), F.col("cls") - 2)), F.lit(SHORTEST))
+    z = (F.col("x") - F.col("mean")) / F.sqrt(F.col("var") + F.col("mean") * (1 - F.col("mean")) / (shortest - 1))
+    calm = F.when(F.col("x") <= F.col("mean"), F.col("n")).otherwise(0)
+    fitting = F.sum(F.when(F.col("fits"), calm).otherwise(0)).over(every) + own * TEXT_FITS
+    known = known.withColumn("fit", fitting / (F.sum(calm).over(every) + own))
+    chance = known.where("fits").select("cls", "rate", "n", "m", (F.col("fit") * _tail(z)).alias("q"))
+    so_far = F.sum("n").over(W.orderBy("q").rangeBetween(W.unboundedPreceding, W.currentRow))
+    held = chance.withColumn("holds", F.col("m") * F.col("q") <= fdr * so_far)
+    last = F.max(F.when(F.col("holds"), F.col("q"))).over(W.partitionBy())
+    accepted = held.withColumn("last", last).where(F.col("q") <= F.col("last"))
+    cuts = accepted.groupBy("cls").agg(F.min("rate").alias("rate"))
+    return cuts.agg(F.map_from_entries(F.collect_list(F.struct("cls", "rate"))).alias("cuts"))
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR, name: str = "__spans") -> DataFrame:
@@ -183,25 +220,26 @@ def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR, name:
     """
     if name in docs.columns:
         raise ValueError(f"{name} is taken")
-    scanned = docs.withColumn("__text", F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    t = F.col("__text")
-    scanned = scanned.withColumn("__base", F.concat(matches(t, ASSIGN, 0, 2, 8), matches(t, ACCESS, 1), matches(t, HEX, 2)))
-    scanned = scanned.withColumn("__candidates", candidates(t, F.col("__base")))
-    scanned = scanned.withColumn("__cuts", cut_offs(scanned, fdr).scalar())
+    own = whole, base, found, cuts = free_names(docs, "__text", "__base", "__candidates", "__cuts")
+    scanned = docs.withColumn(whole, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    t = F.col(whole)
+    scanned = scanned.withColumn(base, F.concat(matches(t, ASSIGN, 0, 2, 8), matches(t, ACCESS, 1), matches(t, HEX, 2)))
+    scanned = scanned.withColumn(found, candidates(t, F.col(base)))
+    scanned = scanned.withColumn(cuts, cut_offs(scanned.select(F.col(found).alias("__candidates")), fdr).scalar())
     added = let(
-        F.col("__cuts"),
+        F.col(cuts),
         lambda m: F.transform(
-            F.filter("__candidates", lambda c: F.coalesce(c["bin"] >= F.element_at(m, c["cls"]), F.lit(False))),
+            F.filter(found, lambda c: c["fits"] & F.coalesce(c["rate"] >= F.try_element_at(m, c["cls"]), F.lit(False))),
             lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")),
         ),
     )
     spans = F.transform(
         F.array_sort(
-            F.transform(F.concat("__base", added), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))),
+            F.transform(F.concat(base, added), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))),
         ),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
-    return scanned.withColumn(name, spans).drop("__text", "__base", "__candidates", "__cuts")
+    return scanned.withColumn(name, spans).drop(*own)
 
 
 def joined(spans: Column) -> Column:
@@ -226,7 +264,12 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
-    """``docs`` with every span replaced by ``mask``; overlapping spans become one mask, nulls stay null."""
+    """``docs`` with every span replaced by ``mask``; overlapping spans become one mask, nulls stay null.
+
+    Repeated rows stay repeated, other columns are kept whatever their names, and
+    an empty table gives an empty result.
+    """
+    (spans,) = free_names(docs, "__spans")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col(f"`{text_col}`")
 
@@ -239,7 +282,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", fdr:
         )
 
     done = let(
-        F.aggregate("__spans", start, step), lambda r: F.concat(r["out"], F.substring(text, r["at"] + 1, F.length(text)))
+        F.aggregate(spans, start, step), lambda r: F.concat(r["out"], F.substring(text, r["at"] + 1, F.length(text)))
     )
-    masked = F.when(F.size("__spans") == 0, text).otherwise(done)
-    return with_spans(docs, text_col, fdr).select(*((masked if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    masked = F.when(F.size(spans) == 0, text).otherwise(done)
+    return with_spans(docs, text_col, fdr, spans).select(*((masked if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns))

@@ -2,10 +2,13 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 import struct
 from collections import Counter
 
+import pytest
 import regex
 import xxhash
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import secrets as S
 from ledgerline.llm.quality import BUCKETS, MEASURES, PRIOR, THRESHOLD, quality_filter, with_quality
 from ledgerline.llm.surrogates import GIVEN, PATTERN, pseudonymize
-from tests.llm.helpers import DOCS, corpus, make_docs
+from tests.llm.helpers import DOCS, corpus, make_docs, prose
 
 SPACE = "[\x20\x09-\x0d]+"
 
@@ -105,6 +108,79 @@ def test_secrets(spark):
     assert S.secret_spans(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def brute_tokens(text):
+    """Candidate tokens that no base span touches, with their length class and rate of class changes."""
+    base = [(a, b) for a, _, b in base_spans(text)]
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        if any(a < m.end() and m.start() < b for a, b in base):
+            continue
+        t = m[0].rstrip("=")
+        kind = (lambda c: int(c) % 2) if re.fullmatch("[0-9]+", t) else (lambda c: "A" if c in string.ascii_uppercase else "a" if c in string.ascii_lowercase else "0" if c in string.digits else "+")
+        changes = sum(kind(a) != kind(b) for a, b in zip(t, t[1:]))
+        n = len(t)
+        yield m.start(), m.end(), t, n // 8 if n < 64 else 2 + n.bit_length() - 1, 100 * changes // (n - 1) if n > 1 else 0
+
+
+def brute_cuts(tokens, fits, fdr=0.1):
+    """Accepted (class, rate) cells by Benjamini-Hochberg over all tokens."""
+    text = [r / 100 for (*_, c, r), f in zip(tokens, fits) if not f]
+    weight = len(text) + 50
+    mean = (sum(text) + 50 * 0.10) / weight
+    var = (sum(x * x for x in text) + 50 * (0.10**2 + 0.08**2)) / weight - mean * mean
+    calm = [f for (*_, c, r), f in zip(tokens, fits) if r / 100 <= mean]
+    fit = (sum(calm) + 50 * 0.05) / (len(calm) + 50)
+    tail = lambda z: fit / (1 + math.exp(1.5976 * max(-8, min(8, z)) + 0.07056 * max(-8, min(8, z)) ** 3))
+    cells = Counter((c, r) for (*_, c, r), f in zip(tokens, fits) if f)
+    shortest = lambda c: max(16, 8 * c if c < 8 else 2 ** (c - 2))
+    q = {(c, r): tail((r / 100 - mean) / math.sqrt(var + mean * (1 - mean) / (shortest(c) - 1))) for c, r in cells}
+    limit = max((v for v in q.values() if len(tokens) * v <= fdr * sum(cells[x] for x in cells if q[x] <= v)), default=-1)
+    cuts = {}
+    for (c, r), v in q.items():
+        if v <= limit:
+            cuts[c] = min(r, cuts.get(c, r))
+    return cuts
+
+
+def noise(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def test_random_spans_equal_brute_force(spark):
+    rng = random.Random(6)
+    base64 = string.ascii_letters + string.digits + "+/"
+    rows = corpus(4) + [(700 + i, "see " + noise(rng, a, n) + " or some-hyphenated-compound-word-of-text and internationalizationally/path/to/file") for i, (a, n) in enumerate([(base64, 44), (base64, 30), (string.ascii_uppercase + string.digits, 24), (string.digits, 40)] * 12)]
+    docs = make_docs(spark, rows)
+    tokens = [(i, *t) for i, text in rows for t in brute_tokens(text or "")]
+    words = spark.createDataFrame([(k, t[3]) for k, t in enumerate(tokens)], "k bigint, t string")
+    fits = [r["f"] for r in words.select("k", ((F.length("t") >= 16) & (S.battery(F.col("t"), S.encoding(F.col("t"))) >= S.FITS)).alias("f")).orderBy("k").collect()]
+    cuts = brute_cuts(tokens, fits)
+    want = Counter((i, f"random:{a}:{b}") for (i, a, b, _, c, r), f in zip(tokens, fits) if f and c in cuts and r >= cuts[c])
+    got = Counter((r["doc_id"], s) for r in S.secret_spans(docs).collect() for s in r["spans"].split(",") if s.startswith("random"))
+    assert got == want and sum(want.values()) >= 30
+
+
+@pytest.mark.parametrize("alphabet, n", [(string.ascii_letters + string.digits, 44), (string.ascii_lowercase + string.digits, 32), ("0123456789ABCDEF", 40)])
+def test_a_lone_secret_is_found(spark, alphabet, n):
+    """One random token in a corpus of prose, whatever else its class holds; prose stays clean."""
+    rng = random.Random(n)
+    prose_rows = [(i, prose(rng, 80) + " some-hyphenated-compound-word internationalizationally") for i in range(150)]
+    token = noise(rng, alphabet, n)
+    found = [(r["doc_id"], r["spans"]) for r in S.secret_spans(make_docs(spark, [*prose_rows, (900, f"key {token} end")])).collect() if r["spans"]]
+    assert found == [(900, f"random:4:{4 + n}")]
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ("__text", "__base", "__candidates", "__cuts", "__weights", "__spans", "__quality", "__SPANS_")
+    docs = make_docs(spark, [(1, 'a password = "abcdefgh1234" here'), (1, 'a password = "abcdefgh1234" here'), (2, None), (3, "plain words " * 9)])
+    docs = docs.withColumns({c: F.lit(c) for c in names})
+    masked = S.redact(docs)
+    assert masked.columns == docs.columns and all(r[c] == c for r in masked.collect() for c in names)
+    assert sorted(r["text"] for r in masked.where("doc_id = 1").collect()) == ['a [SECRET]" here'] * 2
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id bigint, quality int, toxic int")
+    kept = quality_filter(docs, labels)
+    assert kept.columns == docs.columns and all(r[c] == c for r in kept.collect() for c in names)
+
+
 def test_battery_tells_noise_from_order(spark):
     import random
 
