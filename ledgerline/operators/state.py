@@ -135,7 +135,10 @@ class DailyState:
     def touched(self, partial: DataFrame) -> DataFrame:
         """Stored rows of the days of ``partial``; the list of days prunes the folders."""
         days = [r[0] for r in collect_bounded(partial.select(self.day).distinct(), self.max_days)]
-        return self._stored(partial.schema).where(F.col(self.day).isin(days))
+        wanted = F.col(self.day).isin([d for d in days if d is not None])
+        if None in days:  # orders without a day have a folder, too
+            wanted = wanted | F.col(self.day).isNull()
+        return self._stored(partial.schema).where(wanted)
 
     def merge(self, rows: DataFrame, batch: str) -> None:
         """Add the rows of ``batch``: ``key, day, quantity, price``."""
@@ -143,8 +146,9 @@ class DailyState:
         if partial.isEmpty():
             return
         stored = self.touched(partial)
-        replaced = stored.where(F.col("last_batch") == batch).select(self.day).distinct()
-        both = stored.unionByName(partial).join(F.broadcast(replaced), self.day, "left_anti")  # at most max_days days
+        replaced = stored.where(F.col("last_batch") == batch).select(F.col(self.day).alias("__day")).distinct()
+        both = stored.unionByName(partial)
+        both = both.join(F.broadcast(replaced), F.col(self.day).eqNullSafe(F.col("__day")), "left_anti")  # at most max_days days
         sums = both.groupBy(self.key, self.day).agg(*[F.sum(c).alias(c) for c in ("quantity_sum", "price_sum", "price_count")])
         out = sums.select(self.key, "quantity_sum", "price_sum", "price_count", F.lit(batch).alias("last_batch"), self.day)
         out.hint("rebalance", self.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
