@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm import secrets as S
-from ledgerline.llm.quality import BUCKETS, MEASURES, PRIOR, THRESHOLD, quality_filter, with_quality
+from ledgerline.llm.quality import BUCKETS, MEASURES, PRIOR, THRESHOLD, bucket_weights, quality_filter, with_quality
 from ledgerline.llm.surrogates import GIVEN, PATTERN, pseudonymize
 from tests.llm.helpers import DOCS, corpus, make_docs, prose
 
@@ -64,6 +64,16 @@ def test_quality(spark):
     assert with_quality(docs, labels.limit(0)).count() == len(rows)
 
 
+def test_quality_target_holds_every_trusted_document(spark):
+    n = 6000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "common").otherwise("rare").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    weights = bucket_weights(docs, labels, "doc_id", "text").first()["weights"]
+    for word, many in (("common", n // 3), ("rare", n - n // 3)):
+        share = (many + 1) / (n + BUCKETS)
+        assert weights[buckets(word)[1][0]] == round(math.log((many + PRIOR * share) / (n + PRIOR) / share) * 1e6)
+
+
 def base_spans(text):
     out = []
     for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII):
