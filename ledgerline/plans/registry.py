@@ -74,6 +74,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Digits kept for averages, whose floating sum depends on the combine order.
 AVG_DIGITS = 6
+#: Files of JSON documents that may be as small as a megabyte.
+SMALL_DOCUMENTS = 64
 #: Fixed ingest stamp for registered tick queries (the pipeline default is the query time).
 INGEST_TS = "2025-01-01 00:00:00"
 #: Day range of the partition-pruning round trip.
@@ -157,7 +159,7 @@ def q_rt_parquet_prune(spark, sf_dir):
 def q_rt_json_multiline(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     path = fresh_dir(spark, "rt_json_multiline")
-    write_json_documents(orders, path, target_bytes=1 << 20)
+    write_json_documents(orders, path, target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     return read_json_documents(spark, path, schema=orders.schema)
 
 
@@ -166,7 +168,7 @@ def q_orders_json_daily(spark, sf_dir):
     schema (instant timestamps), then the daily aggregate."""
     orders = _orders(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     path = fresh_dir(spark, "orders_json")
-    write_json_documents(orders, path, target_bytes=1 << 20)
+    write_json_documents(orders, path, target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     schema = T.StructType.fromDDL("security_id bigint, price double, quantity bigint, timestamp timestamp")
     return orders_daily(read_orders_json(spark, path, schema), round_digits=AVG_DIGITS)
 
@@ -182,9 +184,9 @@ def q_orders_json_types(spark, sf_dir):
         (F.col("l_linenumber") % 3 == 0).alias("quoted"),
     )
     base = fresh_dir(spark, "orders_json_types")
-    write_json_documents(lines.where("not quoted").drop("quoted"), f"{base}/numbers", target_bytes=1 << 20)
+    write_json_documents(lines.where("not quoted").drop("quoted"), f"{base}/numbers", target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     quoted = lines.where("quoted").drop("quoted").withColumn("quantity", F.col("quantity").cast("string"))
-    write_json_documents(quoted, f"{base}/quoted", target_bytes=1 << 20)
+    write_json_documents(quoted, f"{base}/quoted", target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     both = read_orders_json(spark, [f"{base}/numbers", f"{base}/quoted"])
     return orders_daily(both, round_digits=AVG_DIGITS)
 
@@ -414,7 +416,7 @@ def q_csv_infer(spark, sf_dir):
 def q_compact(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = fresh_dir(spark, "compact")
-    write_compacted(customer, path, target_bytes=1 << 20)
+    write_compacted(customer, path, target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     return read_parquet(spark, path, schema=customer.schema)
 
 
@@ -423,7 +425,7 @@ def q_compact_small(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     path = fresh_dir(spark, "compact_small")
     orders.repartition(12).write.partitionBy("o_orderstatus").parquet(path)
-    compact_small_files(spark, path, orders.schema, ["o_orderstatus"], target_bytes=1 << 20)
+    compact_small_files(spark, path, orders.schema, ["o_orderstatus"], target_bytes=1 << 20, small_files=SMALL_DOCUMENTS)
     manifest = Manifest(spark, path)
     manifest.vacuum()
     return manifest.read(orders.schema)

@@ -5,13 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import row_bytes
 from ledgerline.sources.files import TIMESTAMP_MICROS, TIMESTAMP_NTZ_MICROS
 
+#: Bytes of rows in a file of JSON documents, about.
+DOCUMENT_BYTES = 64 * 1024 * 1024
 SHUFFLE_STRATEGIES = ("rebalance", "repartition", "none")
 
 _JSON_TIME_OPTIONS = {
@@ -132,19 +135,21 @@ def _bracket_step():
     """The per-partition step, built as a local function so Spark ships its
     code with the task: executors need no installed copy of this package."""
 
-    def bracket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bracket_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Turn one partition's JSON lines into one JSON array, streaming batch by batch."""
         started = False
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            prefix = pd.Series(",", index=pdf.index)
+            lines = batch.column(0)
+            values = pc.binary_join_element_wise(pa.scalar(",", lines.type), lines, pa.scalar("", lines.type))
             if not started:
-                prefix.iloc[0] = "["
+                first = pa.array(["[" + lines[0].as_py()], lines.type)
+                values = pa.concat_arrays([first, values.slice(1)])
                 started = True
-            yield pd.DataFrame({"value": prefix + pdf["value"]})
+            yield pa.RecordBatch.from_arrays([values], names=["value"])
         if started:
-            yield pd.DataFrame({"value": ["]"]})
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
 
     return bracket_documents
 
@@ -154,21 +159,27 @@ def write_json_documents(
     path: str,
     files: int | None = None,
     mode: str = "overwrite",
-    target_bytes: int = 64 * 1024 * 1024,
+    target_bytes: int = DOCUMENT_BYTES,
+    small_files: int | None = None,
 ) -> int:
     """Multi-line JSON: files that each hold one JSON array of row objects.
 
     ``files`` fixes the file count; by default files hold about
     ``target_bytes``, so every file (and the one task a reader spends on it)
-    stays bounded.  A session's cap on records per file does not apply, as it
+    stays bounded.  With ``small_files`` no more than that many files are
+    smaller than :data:`DOCUMENT_BYTES`: a larger input fills files of that
+    size instead of a file for every few rows.  A session's cap on records per file does not apply, as it
     would cut a document in two.  Rows are rendered by ``to_json`` in the JVM; a
     streaming Arrow step only adds the brackets and commas, holding one
     batch at a time.  Returns the number of files aimed at.
     """
     if files is None:
-        files = max(1, math.ceil(text_bytes(df) / target_bytes))
+        size = text_bytes(df)
+        files = max(1, math.ceil(size / target_bytes))
+        if small_files is not None:
+            files = min(files, max(small_files, math.ceil(size / DOCUMENT_BYTES)))
     lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _JSON_TIME_OPTIONS).alias("value"))
-    documents = lines.repartition(files).mapInPandas(_bracket_step(), "value string")
+    documents = lines.repartition(files).mapInArrow(_bracket_step(), "value string")
     documents.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     return files
 

@@ -17,6 +17,7 @@ from ledgerline.operators.layout import (
 )
 from ledgerline.plans.inspect import physical_plan
 from ledgerline.session import fresh_dir, local_path, shared_dir
+from ledgerline.sinks import files
 from ledgerline.sinks.files import (
     is_empty,
     write_compacted,
@@ -93,6 +94,16 @@ def test_json_documents_round_trip(spark, scratch):
     assert sorted(read_json_documents(spark, sized, schema=df.schema).collect()) == sorted(df.collect())
 
 
+def test_json_documents_grow_before_their_number_does(spark, scratch, monkeypatch):
+    df = spark.range(0, 1000, 1, 4).select("id", F.repeat(F.lit("x"), 100).alias("t"))
+    monkeypatch.setattr(files, "DOCUMENT_BYTES", 20_000)
+    for name, options, least, most in (("small", {"target_bytes": 2000}, 50, 70), ("few", {"target_bytes": 2000, "small_files": 3}, 5, 7), ("less", {"target_bytes": 60_000, "small_files": 30}, 2, 2)):
+        path = os.path.join(scratch, name)
+        n = write_json_documents(df, path, **options)
+        assert least <= n <= most and len(glob.glob(os.path.join(path, "part-*"))) == n
+        assert sorted(read_json_documents(spark, path, schema=df.schema).collect()) == sorted(df.collect())
+
+
 def test_ndjson_round_trip_keeps_micros(spark, scratch):
     df = spark.sql("SELECT id, TIMESTAMP_NTZ'2025-01-01 00:00:00.654321' AS ts, 'a' AS g FROM range(5)")
     path = os.path.join(scratch, "nd")
