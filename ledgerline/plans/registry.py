@@ -76,6 +76,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AVG_DIGITS = 6
 #: Files of JSON documents that may be as small as a megabyte.
 SMALL_DOCUMENTS = 64
+#: Rows of one JSON array that is read in splits, in bytes: one task writes it, several read it.
+SPLIT_BYTES = 512 * 1024 * 1024
 #: Fixed ingest stamp for registered tick queries (the pipeline default is the query time).
 INGEST_TS = "2025-01-01 00:00:00"
 #: Day range of the partition-pruning round trip.
@@ -192,15 +194,15 @@ def q_orders_json_types(spark, sf_dir):
 
 
 def q_rt_json_split(spark, sf_dir):
-    """All documents as one JSON array in one file, with texts that hold quotes, escapes and
-    brackets, read back in splits."""
+    """All documents as a JSON array in one file (in several, past :data:`SPLIT_BYTES` each), with
+    texts that hold quotes, escapes and brackets, read back in splits."""
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", "text",
         F.concat(F.lit('{"}],[{\\\\"'), F.col("lang"), F.lit('\\\\}"\n]')).alias("note"),
         F.struct(F.col("source"), F.array("n_chars", "doc_id").alias("sizes")).alias("origin"),
     )
     path = fresh_dir(spark, "rt_json_split")
-    write_json_documents(docs, path, files=1)
+    write_json_documents(docs, path, target_bytes=SPLIT_BYTES)
     return read_json_array(spark, path, docs.schema).select("doc_id", "text", "note", "origin.source", F.get("origin.sizes", F.lit(0)).alias("n_chars"))
 
 

@@ -15,6 +15,7 @@ from ledgerline.operators.layout import (
     persisted,
     repartition_by,
 )
+from ledgerline.plans import registry
 from ledgerline.plans.inspect import physical_plan
 from ledgerline.session import fresh_dir, local_path, shared_dir
 from ledgerline.sinks import files
@@ -104,6 +105,17 @@ def test_json_documents_grow_before_their_number_does(spark, scratch, monkeypatc
         assert sorted(read_json_documents(spark, path, schema=df.schema).collect()) == sorted(df.collect())
 
 
+def test_split_documents_of_a_large_table_are_several_files(spark, scratch, monkeypatch):
+    lines = [(i, f'}}"],[{{ {i} \\', "en", "web", 7) for i in range(200)]
+    spark.createDataFrame(lines, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{scratch}/documents.parquet")
+    monkeypatch.setattr(registry, "SPLIT_BYTES", 4000)
+    folders = []
+    monkeypatch.setattr(registry, "fresh_dir", lambda spark, name: folders.append(f"{scratch}/{name}") or folders[-1])
+    got = registry.QUERIES["rt_json_split"](spark, scratch)
+    assert len(glob.glob(f"{folders[-1]}/part-*")) > 1
+    assert sorted(r[:4] for r in got.collect()) == sorted((i, t, '{"}],[{\\\\"en\\\\}"\n]', s) for i, t, _, s, _ in lines)
+
+
 def test_ndjson_round_trip_keeps_micros(spark, scratch):
     df = spark.sql("SELECT id, TIMESTAMP_NTZ'2025-01-01 00:00:00.654321' AS ts, 'a' AS g FROM range(5)")
     path = os.path.join(scratch, "nd")
