@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import suffix_dedup as X
-from ledgerline.llm.chaining import chains, cut_words, remove_repeats, repeated_passages
+from ledgerline.llm import chaining
+from ledgerline.llm.chaining import CutOff, align, chains, cut_words, remove_repeats, repeated_passages
 from ledgerline.llm.common import Scratch
 from ledgerline.llm.components import components
 from ledgerline.llm.jaccard import keep_one, similar_groups
@@ -281,3 +282,33 @@ def test_nearest_small_tables(spark):
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(q, i, s) for q, near in sorted(near_truth(rows, 20).items()) for i, s in near]
     assert nearest(df.limit(0), F.col("vec_id") >= 0).count() == 0
     assert nearest(df.limit(1), F.col("vec_id") >= 0).count() == 0
+
+
+def test_alignment_of_parts_is_that_of_whole_texts():
+    rng, settled = random.Random(5), 0
+    for _ in range(300):
+        a = np.array([rng.randrange(1000) for _ in range(rng.randint(60, 200))], np.uint32)
+        b = np.concatenate([np.array([rng.randrange(1000) for _ in range(rng.randint(0, 80))], np.uint32), a[rng.randrange(20) :], a[: rng.randrange(1, 40)]])
+        b[[rng.randrange(len(b)) for _ in range(rng.randrange(25))]] = 5000
+        at = {tuple(b[q : q + 4]): q for q in range(len(b) - 3)}
+        matches = [(p, at[w]) for p in range(0, len(a) - 3, 3) if (w := tuple(a[p : p + 4])) in at]
+        for c in chains(matches):
+            want, margin = align(c, a, b), rng.choice((0, 3, 8, 20, 64))
+            a0, a1, b0, b1 = max(0, c[0][0] - margin), min(len(a), c[-1][0] + 4 + margin), max(0, c[0][1] - margin), min(len(b), c[-1][1] + 4 + margin)
+            try:
+                got = align([(p - a0, q - b0) for p, q in c], a[a0:a1], b[b0:b1], left_out=(a0, len(a) - a1, b0, len(b) - b1))
+            except CutOff:
+                continue
+            assert [(s + a0, e + a0, f + b0, t + b0, m) for s, e, f, t, m in got] == want
+            settled += 1
+    assert settled > 100
+
+
+def test_passages_are_the_same_whatever_part_of_a_text_meets_first(spark, monkeypatch):
+    docs = make_docs(spark, corpus(4))
+    runs = []
+    for margin in (64, 0):
+        monkeypatch.setattr(chaining, "MARGIN", margin)
+        # which of several equal sources a passage names is open
+        runs.append(sorted(repr(tuple(r)) for r in repeated_passages(docs).select("doc_id", "start_word", "end_word").collect()))
+    assert runs[0] == runs[1] and len(runs[0]) > 20
