@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-from ledgerline.llm.bpe_stream import WHITE, MergeList
+from ledgerline.llm.bpe_stream import WHITE
 
 #: The pattern of byte-level pre-tokens (a fixed value of the vocabulary file's pre-tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -27,6 +27,13 @@ MEMO = 400_000
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves."""
+    own = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(others)}
+
+
 class _Memo(dict):
     def __init__(self, make):
         super().__init__()
@@ -43,7 +50,7 @@ class MemoEncoder:
     """Ids of whole texts as little-endian 32-bit integers."""
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Regex
+        from tokenizers import Regex, Tokenizer
         from tokenizers.pre_tokenizers import Split
 
         with open(tokenizer_path, encoding="utf-8") as f:
@@ -51,8 +58,9 @@ class MemoEncoder:
         pre = spec["pre_tokenizer"]
         if spec["normalizer"] is not None or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"]:
             raise ValueError("a byte-level file without normalizer and prefix space is expected")
-        model = spec["model"]
-        self.merges = MergeList(model["vocab"], [tuple(m) for m in model["merges"]], "")
+        # the library's own merging of one pre-token, whose bytes its vocabulary spells as characters
+        self.merge = Tokenizer.from_file(tokenizer_path).model.tokenize
+        self.spelt = byte_characters()
         white = f"[{WHITE}]"
         ours = PATTERN.replace(r"[^\s", "[^" + WHITE).replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s+", white + "+")
         self.split = regex.compile(ours).findall
@@ -71,7 +79,7 @@ class MemoEncoder:
         self.words, self.runs = _Memo(self._word), _Memo(self._run)
 
     def _word(self, word: str) -> bytes:
-        ids = self.merges.merge(list(map(self.merges.inner.__getitem__, word.encode())))
+        ids = [t.id for t in self.merge(word.encode().decode("latin-1").translate(self.spelt))]
         return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str]:

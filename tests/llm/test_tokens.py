@@ -7,9 +7,10 @@ import zlib
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from ledgerline.llm.bpe_stream import StreamCodec, WordTransducer, encode_decode
-from ledgerline.llm.memo_encoder import MemoEncoder
+from ledgerline.llm.memo_encoder import MemoEncoder, byte_characters
 from ledgerline.llm.packing import pack_documents, plan_sequences
 from ledgerline.llm.registry import BYTE_BPE, WORD_BPE, tokenizer_file
 from ledgerline.llm.token_counts import ChunkedEncoder, token_counts
@@ -134,3 +135,11 @@ def test_empty_table(spark):
     assert token_counts(none, tokenizer_file(BYTE_BPE)).count() == 0
     assert encode_decode(none, tokenizer_file(WORD_BPE)).count() == 0
     assert pack_documents(none, tokenizer_file(BYTE_BPE)).count() == 0
+
+
+def test_bytes_are_spelt_as_the_library_does():
+    assert {chr(c) for c in byte_characters().values()} == {*ByteLevel.alphabet()}
+    path = tokenizer_file(BYTE_BPE)
+    library, ours = Tokenizer.from_file(path), MemoEncoder(path)
+    for word in (*map(chr, range(256)), " caf\u00e9", "\u4e2d\u6587", "\U0001f600", "x" * 3000, " a1b2-c3"):
+        assert np.frombuffer(ours._word(word), "<u4").tolist() == [t.id for t in library.model.tokenize(ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(word)[0][0])]
