@@ -69,10 +69,11 @@ def repeated_words(h: Column, width: int = 5) -> Column:
 def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS) -> DataFrame:
     """One row, ``weights``: for each bucket ``ln p_target - ln p_raw`` in micro-nats."""
     trusted = labels.where("quality = 1 and toxic = 0").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id")).distinct()
-    # texts, not their hashes, meet the trusted ids: where those are too many for a broadcast, texts are the smaller exchange
+    # texts, not their hashes, meet the trusted ids, as texts are the smaller exchange; ids grow with the corpus, so none are
+    # broadcast at any size, and what is exchanged grows as the texts do
     grams = (
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-        .join(trusted.withColumn("__target", F.lit(1)), "__id", "left")
+        .join(trusted.withColumn("__target", F.lit(1)).hint("merge"), "__id", "left")
         .select("__target", F.explode(gram_buckets(word_hashes(words(F.col("__text"))), buckets)).alias("b"))
     )
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("__target").alias("target"))
