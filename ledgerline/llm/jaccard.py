@@ -18,10 +18,15 @@ that lose none of them:
 
 1. Each posting list is joined to its smallest member only.  Verified links
    already make one component of a large group of near copies.
-2. Lists that still hold several components are joined within themselves,
+2. Lists that still hold several components are joined to one member each,
+   another one for each list.  A group whose smallest member is a stray one
+   meets many of its members here, at a row for each posting.
+3. Lists that still hold several components are joined within themselves,
    leaving out pairs inside a component.  The members of a list's largest
    component stand on one side only, so a list made of one large group and a
-   few strays costs strays x list, not the square of the list.
+   few strays costs strays x list, not the square of the list.  A pair that
+   shares one of the few grams ahead of the common one is left to that one's
+   list, as near copies share most of their first grams.
 """
 
 from __future__ import annotations
@@ -36,14 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import Scratch, slices
+from ledgerline.llm.common import Scratch, bit_filter, drop_unused, let_through, slices, staged
 from ledgerline.llm.components import components
 
 #: Counters of the frequency sketch and how many of them travel in a row; both fixed, so is what is broadcast.
 SKETCH_BITS, BLOCK = 20, 4096
-#: Bits of the filter that tells which sets have to be fetched for verification.
-FILTER_BITS = 24
 PARTS = 64
+#: Grams ahead of a common one in which a pair is looked for before it is made.
+AHEAD = 8
 #: Bits that tell which of 256 hash ranges hold an odd number of a set's grams.
 ODD = ("o0", "o1", "o2", "o3")
 MEMO_WORDS = 1 << 17
@@ -93,6 +98,10 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _key(column: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{column}`"), F.lit("")))
+
+
 def _sketch(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     """Document frequencies by hash bucket: tasks count, blocks of counters are summed in two rounds."""
 
@@ -127,7 +136,7 @@ def _sketch(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``doc, n, sig, prefix, parts`` and the odd ranges of every document; ``prefix`` is empty without words."""
+    """``doc, key, n, sig, prefix, parts`` and the odd ranges of every document; ``prefix`` is empty without words."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,49 +159,42 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(n, pa.int64()),
                         pa.array(sig, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64())),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * PARTS, pa.int32()), pa.array(np.concatenate([*parts, np.empty(0, np.int8)]), pa.int8())),
                         *(pa.array(odd[:, i]) for i in range(4)),
                     ],
-                    names=["doc", "n", "sig", "prefix", "parts", *ODD],
+                    names=["doc", "key", "n", "sig", "prefix", "parts", *ODD],
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc {id_type}, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>, " + ", ".join(f"{c} bigint" for c in ODD))
+    return docs.select(id_col, text_col, _key(text_col)).mapInArrow(run, f"doc {id_type}, key bigint, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>, " + ", ".join(f"{c} bigint" for c in ODD))
 
 
 def _sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
-    """``sig, grams`` for the signatures in ``wanted``, and maybe a few more: a filter of fixed size says which."""
-    slot = F.conv(F.hex(F.substring("sig", 1, FILTER_BITS // 8)), 16, 10).cast("bigint")
-    words = wanted.select(slot.alias("s")).groupBy((F.col("s") / 64).cast("bigint").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits"))
-    mask = np.zeros((1 << FILTER_BITS) // 64, np.uint64)
-    for r in words.collect():  # at most 2^18 words
-        mask[r["w"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
-    shared = docs.sparkSession.sparkContext.broadcast(mask)
+    """``sig, grams`` of the texts whose ``key`` is in ``wanted``, and maybe of a few more: a bit filter of bounded size says which."""
+    shared, bits = bit_filter(wanted, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
             for part in slices(batch, 256):
                 sigs, grams, ends = [], [], [0]
-                for t in part.column(0).to_pylist():
+                for t in let_through(part, 0, shared.value, bits).column(1).to_pylist():
                     g = gram_set(t, width)
                     sig = signature(g)
                     if sig is None:
                         continue
-                    s = int.from_bytes(sig[: FILTER_BITS // 8], "big")
-                    if int(bits[s // 64]) >> (s % 64) & 1:
-                        sigs.append(sig)
-                        grams.append(g.view(np.int64))
-                        ends.append(ends[-1] + len(g))
+                    sigs.append(sig)
+                    grams.append(g.view(np.int64))
+                    ends.append(ends[-1] + len(g))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*grams, np.empty(0, np.int64)]), pa.int64()))],
                     names=["sig", "grams"],
                 )
 
-    return docs.select(text_col).mapInArrow(run, "sig binary, grams array<bigint>").groupBy("sig").agg(F.first("grams").alias("grams"))
+    return docs.select(_key(text_col).alias("key"), text_col).mapInArrow(run, "sig binary, grams array<bigint>").groupBy("sig").agg(F.first("grams").alias("grams"))
 
 
 def _least_overlap(n: Column, m: Column, percent: int) -> Column:
@@ -206,19 +208,49 @@ def _fits(n: Column, i: Column, m: Column, j: Column, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (room >= _least_overlap(n, m, percent))
 
 
+def _odd_apart(x: str, y: str, percent: int) -> Column:
+    """Parity filter: every gram that only one set has turns the parity of one range."""
+    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ODD), F.lit(0))
+    return apart <= F.col(f"{x}.n") + F.col(f"{y}.n") - 2 * _least_overlap(F.col(f"{x}.n"), F.col(f"{y}.n"), percent)
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """The linked among candidate ``a, b`` (class ids): suffix filter, then the whole sets."""
-    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"p_{c}"), F.col("sig").alias(f"s_{c}"))
-    apart = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, x: acc + x)
+    side = lambda c: classes.select(F.col("cid").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "parts", "sig", "key")))
+    apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda acc, x: acc + x)
     need = _least_overlap(F.col("n_a"), F.col("n_b"), percent)
-    left = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= F.col("n_a") + F.col("n_b") - 2 * need).select("a", "b", "n_a", "n_b", "s_a", "s_b")
-    left, _ = scratch.write(left)
-    wanted = left.select(F.col("s_a").alias("sig")).union(left.select(F.col("s_b").alias("sig")))
-    sets, _ = scratch.write(_sets(docs, text_col, width, wanted))
-    of = lambda c: sets.select(F.col("sig").alias(f"s_{c}"), F.col("grams").alias(f"g_{c}"))
-    common = F.size(F.array_intersect("g_a", "g_b"))
-    links = left.join(of("a"), "s_a").join(of("b"), "s_b").where((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
-    return scratch.write(links)[0]
+    left = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= F.col("n_a") + F.col("n_b") - 2 * need).drop("parts_a", "parts_b")
+    left, left_path = scratch.write(left)
+    # one text of each class is enough
+    wanted = left.select(F.col("key_a").alias("key")).union(left.select(F.col("key_b").alias("key"))).distinct()
+    sets, sets_path = scratch.write(_sets(docs, text_col, width, wanted))
+    of = lambda c: sets.select(F.col("sig").alias(f"sig_{c}"), F.col("grams").alias(f"grams_{c}"))
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    links = left.join(of("a"), "sig_a").join(of("b"), "sig_b").where((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    links, _ = scratch.write(links)
+    for path in (left_path, sets_path):
+        scratch.release(path)
+    return links
+
+
+def _open_lists(lists: DataFrame, links: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``lists`` with their members' ``root``, as far as they hold several components, and the root ``main`` of most members."""
+    roots = components(links, scratch).withColumnRenamed("node", "cid")
+    own = [c for c in lists.columns if c not in ("root", "main")]
+    members = lists.select(*own).join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    per = members.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(F.max_by("root", "k").alias("main"), F.count(F.lit(1)).alias("roots"))
+    return scratch.write(members.join(per.where("roots > 1").select("gram", "main"), "gram"))
+
+
+def _within(still: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: the pairs of open lists that are in two components and may be linked; few come twice."""
+    x, y = still.where("root <> main").alias("x"), still.alias("y")
+    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))
+    fits = _fits(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), percent)
+    # linked sets of two components pass the filters in the list of every gram that their prefixes share
+    new = ~F.arrays_overlap("x.ahead", "y.ahead")
+    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & fits & _odd_apart("x", "y", percent) & new)
+    return pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
@@ -233,39 +265,49 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     profiles, _ = scratch.write(_profiles(docs, id_col, text_col, width, percent, _sketch(docs, text_col, width)))
-    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts", *ODD)]
+    first = [F.first(c).alias(c) for c in ("key", "n", "prefix", "parts", *ODD)]
     classes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc").alias("doc"), *first)
     classes, _ = scratch.write(classes.withColumn("cid", F.monotonically_increasing_id()))
 
     postings = classes.select("cid", "n", F.posexplode("prefix").alias("i", "gram"))
     hubs = postings.groupBy("gram").agg(F.min(F.struct("cid", "n", "i")).alias("hub"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    lists, _ = scratch.write(postings.join(hubs.select("gram", "hub"), "gram"))
+    lists, lists_path = scratch.write(postings.join(hubs.select("gram", "hub"), "gram"))
     fits = _fits(F.col("n"), F.col("i"), F.col("hub.n"), F.col("hub.i"), percent)
     pairs = lists.where(F.col("cid") != F.col("hub.cid")).where(fits).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct()
     links = _verified(pairs, classes, docs, text_col, width, percent, scratch)
 
-    roots, _ = scratch.write(components(links, scratch))
-    odd = classes.select("cid", *ODD)
-    members = lists.select("gram", "cid", "n", "i").join(odd, "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    per = members.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(F.max_by("root", "k").alias("main"), F.count(F.lit(1)).alias("roots"))
-    open_lists, _ = scratch.write(members.join(per.where("roots > 1").select("gram", "main"), "gram"))
-    x, y = open_lists.where("root <> main").alias("x"), open_lists.alias("y")
-    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))
+    still, still_path = _open_lists(lists.drop("hub"), links, scratch)
+    scratch.release(lists_path)
+    ahead = F.slice("prefix", F.greatest(F.col("i") - (AHEAD - 1), F.lit(1)), F.least(F.col("i"), F.lit(AHEAD)))
+    told = still.join(classes.select("cid", "prefix", *ODD), "cid").withColumn("ahead", ahead).drop("prefix")
+    told, told_path = scratch.write(told)
+    scratch.release(still_path)
+
+    # another member of each list: the members of a group meet many of the others over its lists
+    met = F.struct("cid", "n", "i", "root", *ODD)
+    chosen = told.groupBy("gram").agg(F.min_by(met, F.struct(F.xxhash64("cid", "gram"), "cid")).alias("y"))
+    x = told.join(chosen, "gram").select(F.col("y"), F.struct("cid", "n", "i", "root", *ODD).alias("x"))
     fits = _fits(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), percent)
-    # every gram that only one set has turns the parity of one range
-    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ODD), F.lit(0))
-    near = apart <= F.col("x.n") + F.col("y.n") - 2 * _least_overlap(F.col("x.n"), F.col("y.n"), percent)
-    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & fits & near)
+    pairs = x.where(F.col("x.root") != F.col("y.root")).where(fits & _odd_apart("x", "y", percent))
     pairs = pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
-    links = links.union(_verified(pairs, classes, docs, text_col, width, percent, scratch))
+    links, _ = scratch.write(links.union(_verified(pairs, classes, docs, text_col, width, percent, scratch)))
+
+    still, still_path = _open_lists(told, links, scratch)
+    scratch.release(told_path)
+    links = links.union(_verified(_within(still, percent).distinct(), classes, docs, text_col, width, percent, scratch))
 
     roots = components(links, scratch).withColumnRenamed("node", "cid")
     rooted = classes.select("cid", "sig", "doc").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     by_sig = rooted.select("sig", "root").join(smallest, "root").select("sig", "component")
-    return profiles.select("doc", "n", "sig").join(by_sig, "sig", "left").select(
+    groups = profiles.select("doc", "n", "sig").join(by_sig, "sig", "left").select(
         "doc", "n", "sig", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component")
     )
+    # a table of its own, so that nothing else has to stay on disk
+    groups = staged(groups, "groups")
+    scratch.release(scratch.base)
+    drop_unused(docs.sparkSession)
+    return groups
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import suffix_dedup as X
-from ledgerline.llm import chaining
+from ledgerline.llm import chaining, jaccard
 from ledgerline.llm.chaining import CutOff, align, chains, cut_words, remove_repeats, repeated_passages
 from ledgerline.llm.common import Scratch
 from ledgerline.llm.components import components
@@ -103,6 +103,39 @@ def test_lpf_array():
         assert X.lpf_array(order, common).tolist() == [max([share(t[i:], t[:j] and t[j:] or t[j:]) for j in range(i)], default=0) for i in range(len(t))]
 
 
+def test_pairs_of_families_are_made_once_and_nothing_stays_on_disk(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = []
+    for family in range(4):  # near copies of which some are linked and some are not
+        base = [f"w{rng.randrange(10000)}" for _ in range(200)]
+        for i in range(24):
+            w = list(base)
+            for _ in range(rng.randint(2, 5)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+            rows.append((100 * family + i, " ".join(w)))
+    made, folders, within, begin = [], [], jaccard._within, Scratch.__init__
+
+    def counted(still, percent):
+        pairs = within(still, percent)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    def noted(self, spark, label):
+        begin(self, spark, label)
+        folders.append(self.base)
+
+    monkeypatch.setattr(jaccard, "_within", counted)
+    monkeypatch.setattr(Scratch, "__init__", noted)
+    got = {r["doc"]: (r["n"], r["component"]) for r in similar_groups(make_docs(spark, rows)).collect()}
+    assert got == {i: (n, c) for i, n, c in linked(rows, 3, 90)}
+    ((n, distinct),) = made
+    assert distinct <= n <= 1.2 * distinct  # a row for each common gram of a pair before
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for f in folders:  # groups are a table of their own
+        path = hadoop.Path(f)
+        assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def cut(rows, size, first_stays):
     """Bytes that stay in each row, by counting all strings of ``size`` bytes."""
     data = [(t or "").encode() for _, t in rows]
