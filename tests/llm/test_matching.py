@@ -169,6 +169,25 @@ def test_substrings(spark, keep_first, hot_blocks):
     assert sorted(got, key=repr) == sorted(cut(rows, size, keep_first), key=repr)
 
 
+def test_hot_blocks_are_not_cut_into_all_their_windows(spark, monkeypatch):
+    rng = random.Random(9)
+    passage = prose(rng, 120)
+    rows = [(i, f"{prose(rng, 80, 4000)} {passage} {prose(rng, 80, 4000)}") for i in range(40)]
+    sizes, write = {}, Scratch.write
+
+    def counted(self, df):
+        out = write(self, df)
+        if "many" in df.columns and "c" in df.columns:
+            sizes[out[1]] = out[0].count()
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    got = X.dedup_substrings(make_docs(spark, rows), keep_first=False, hot_blocks=3)
+    assert sorted((tuple(r) for r in got.drop("kept").collect()), key=repr) == sorted(cut(rows, 400, False), key=repr)
+    blocks = sum(1 for _, t in rows for _ in X.blocks_of(t.encode()))
+    assert len(sizes) == len(X.STEPS) and max(sizes.values()) <= 9 * blocks  # up to 353 rows for a block before
+
+
 def test_substrings_of_nothing(spark):
     assert X.dedup_substrings(spark.createDataFrame([], DOCS)).count() == 0
 
