@@ -18,10 +18,7 @@ that lose none of them:
 
 1. Each posting list is joined to its smallest member only.  Verified links
    already make one component of a large group of near copies.
-2. Lists that still hold several components are joined to one member each,
-   another one for each list.  A group whose smallest member is a stray one
-   meets many of its members here, at a row for each posting.
-3. Lists that still hold several components are joined within themselves,
+2. Lists that still hold several components are joined within themselves,
    leaving out pairs inside a component.  The members of a list's largest
    component stand on one side only, so a list made of one large group and a
    few strays costs strays x list, not the square of the list.  A pair that
@@ -234,17 +231,16 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: s
 
 
 def _open_lists(lists: DataFrame, links: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
-    """``lists`` with their members' ``root``, as far as they hold several components, and the root ``main`` of most members."""
+    """``gram, cid, n, i, root, main`` of the lists that hold several components; ``main`` is the root of most members."""
     roots = components(links, scratch).withColumnRenamed("node", "cid")
-    own = [c for c in lists.columns if c not in ("root", "main")]
-    members = lists.select(*own).join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    members = lists.select("gram", "cid", "n", "i").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     per = members.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(F.max_by("root", "k").alias("main"), F.count(F.lit(1)).alias("roots"))
     return scratch.write(members.join(per.where("roots > 1").select("gram", "main"), "gram"))
 
 
-def _within(still: DataFrame, percent: int) -> DataFrame:
+def _within(told: DataFrame, percent: int) -> DataFrame:
     """``a, b``: the pairs of open lists that are in two components and may be linked; few come twice."""
-    x, y = still.where("root <> main").alias("x"), still.alias("y")
+    x, y = told.where("root <> main").alias("x"), told.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.cid") < F.col("y.cid"))
     fits = _fits(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), percent)
     # linked sets of two components pass the filters in the list of every gram that their prefixes share
@@ -276,25 +272,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = lists.where(F.col("cid") != F.col("hub.cid")).where(fits).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct()
     links = _verified(pairs, classes, docs, text_col, width, percent, scratch)
 
-    still, still_path = _open_lists(lists.drop("hub"), links, scratch)
+    still, still_path = _open_lists(lists, links, scratch)
     scratch.release(lists_path)
     ahead = F.slice("prefix", F.greatest(F.col("i") - (AHEAD - 1), F.lit(1)), F.least(F.col("i"), F.lit(AHEAD)))
-    told = still.join(classes.select("cid", "prefix", *ODD), "cid").withColumn("ahead", ahead).drop("prefix")
-    told, told_path = scratch.write(told)
+    told, _ = scratch.write(still.join(classes.select("cid", "prefix", *ODD), "cid").withColumn("ahead", ahead).drop("prefix"))
     scratch.release(still_path)
-
-    # another member of each list: the members of a group meet many of the others over its lists
-    met = F.struct("cid", "n", "i", "root", *ODD)
-    chosen = told.groupBy("gram").agg(F.min_by(met, F.struct(F.xxhash64("cid", "gram"), "cid")).alias("y"))
-    x = told.join(chosen, "gram").select(F.col("y"), F.struct("cid", "n", "i", "root", *ODD).alias("x"))
-    fits = _fits(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), percent)
-    pairs = x.where(F.col("x.root") != F.col("y.root")).where(fits & _odd_apart("x", "y", percent))
-    pairs = pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
-    links, _ = scratch.write(links.union(_verified(pairs, classes, docs, text_col, width, percent, scratch)))
-
-    still, still_path = _open_lists(told, links, scratch)
-    scratch.release(told_path)
-    links = links.union(_verified(_within(still, percent).distinct(), classes, docs, text_col, width, percent, scratch))
+    links = links.union(_verified(_within(told, percent).distinct(), classes, docs, text_col, width, percent, scratch))
 
     roots = components(links, scratch).withColumnRenamed("node", "cid")
     rooted = classes.select("cid", "sig", "doc").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
