@@ -1,7 +1,9 @@
 """Token counts by overlap resynchronisation.
 
-Texts up to ``chunk_chars`` are encoded whole, in batches.  Longer ones are
-encoded as overlapping chunks and spliced where two chunks agree:
+Texts up to ``chunk_chars`` are counted whole: with a memo of pre-token runs
+where the file is byte-level BPE of the usual pattern, else in batches by the
+library.  Longer ones are encoded as overlapping chunks and spliced where two
+chunks agree:
 
 * A chunk is right from its first *proven* boundary on.  A pre-token starts
   with no knowledge of what lies before it (the splitting pattern looks only
@@ -30,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ledgerline.llm.common import arrow_rows, slices
+from ledgerline.llm.memo_encoder import memo_encoder, memo_fits
 
 #: Texts handed to the library at once.
 BATCH_ROWS = 256
@@ -54,6 +57,7 @@ class ChunkedEncoder:
             spec = json.load(f)
         if spec["normalizer"] is not None:
             raise ValueError("splicing needs a tokenizer that does not rewrite the text")
+        self.memo = memo_encoder(tokenizer_path) if memo_fits(spec) else None
         special = [t["content"] for t in spec["added_tokens"]]
         self.margin = 4 + max(map(len, special), default=0)
         self.chunk, self.overlap = max(chunk_chars, 4 * self.margin), max(overlap_chars, 2 * self.margin)
@@ -74,6 +78,10 @@ class ChunkedEncoder:
     def count_batch(self, texts: list[str]) -> list[int]:
         out = [0] * len(texts)
         short = [i for i, t in enumerate(texts) if len(t) <= self.chunk]
+        if self.memo:
+            for i in short:
+                out[i] = len(self.memo.encode(texts[i])) // 4
+            short = []
         for at in range(0, len(short), BATCH_ROWS):
             part = short[at : at + BATCH_ROWS]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
