@@ -18,8 +18,9 @@ that lose none of them:
 
 1. Each posting list is joined to its smallest member only.  Verified links
    already make one component of a large group of near copies.
-2. Lists that still hold several components are joined within themselves,
-   leaving out pairs inside a component.  The members of a list's largest
+2. Lists of three members or more that still hold several components are
+   joined within themselves, leaving out pairs inside a component (the one
+   pair of a shorter list has been judged).  The members of a list's largest
    component stand on one side only, so a list made of one large group and a
    few strays costs strays x list, not the square of the list.  A pair that
    shares one of the few grams ahead of the common one is left to that one's
@@ -267,12 +268,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     postings = classes.select("cid", "n", F.posexplode("prefix").alias("i", "gram"))
     hubs = postings.groupBy("gram").agg(F.min(F.struct("cid", "n", "i")).alias("hub"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    lists, lists_path = scratch.write(postings.join(hubs.select("gram", "hub"), "gram"))
+    lists, lists_path = scratch.write(postings.join(hubs, "gram"))
     fits = _fits(F.col("n"), F.col("i"), F.col("hub.n"), F.col("hub.i"), percent)
     pairs = lists.where(F.col("cid") != F.col("hub.cid")).where(fits).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct()
     links = _verified(pairs, classes, docs, text_col, width, percent, scratch)
 
-    still, still_path = _open_lists(lists, links, scratch)
+    # linked sets pass the filter above in every list that holds both, so two members alone are settled
+    still, still_path = _open_lists(lists.where("many > 2"), links, scratch)
     scratch.release(lists_path)
     ahead = F.slice("prefix", F.greatest(F.col("i") - (AHEAD - 1), F.lit(1)), F.least(F.col("i"), F.lit(AHEAD)))
     told, _ = scratch.write(still.join(classes.select("cid", "prefix", *ODD), "cid").withColumn("ahead", ahead).drop("prefix"))

@@ -103,6 +103,37 @@ def test_lpf_array():
         assert X.lpf_array(order, common).tolist() == [max([share(t[i:], t[:j] and t[j:] or t[j:]) for j in range(i)], default=0) for i in range(len(t))]
 
 
+def test_settled_suffixes_are_not_sorted_again(monkeypatch):
+    rng, sorted_, argsort = random.Random(4), [], np.argsort
+    passage = bytes(rng.choice(b"abcdefgh") for _ in range(90))
+    texts = [bytes(rng.choice(b"abcdefgh") for _ in range(300)) + passage[: 40 + 10 * k] + b"." * k for k in range(5)]
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **b: sorted_.append(len(x)) or argsort(x, *a, **b))
+    got = X.repeated_windows(texts, 50)
+    for k, (t, (anywhere, earlier)) in enumerate(zip(texts, got)):
+        for i in range(len(t) - 49):
+            w = t[i : i + 50]
+            places = [(m, j) for m, u in enumerate(texts) for j in range(len(u) - 49) if u[j : j + 50] == w]
+            assert (bool(anywhere[i]), bool(earlier[i])) == (len(places) > 1, min(places) < (k, i))
+    assert sum(sorted_) < 3 * sum(map(len, texts))
+
+
+def test_lists_of_two_are_settled_by_their_one_pair(spark, monkeypatch):
+    told, within = [], jaccard._within
+
+    def counted(rows, percent):
+        told.append(rows.count())
+        return within(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_within", counted)
+    # pairs that share their last gram, and are no near copies
+    rows = [(10 * k + j, f"a{k}{j} b{k}{j} c{k}{j} x{k} y{k} z{k}") for k in range(12) for j in range(2)]
+    groups = jaccard.similar_groups(make_docs(spark, rows), percent=10)
+    apart = jaccard.similar_groups(make_docs(spark, rows), percent=25)
+    assert {r["component"] for r in groups.collect()} == {10 * k for k in range(12)}
+    assert {r["component"] for r in apart.collect()} == {i for i, _ in rows}
+    assert told == [0, 0]
+
+
 def test_pairs_of_families_are_made_once_and_nothing_stays_on_disk(spark, monkeypatch):
     rng = random.Random(17)
     rows = []
