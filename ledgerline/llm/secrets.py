@@ -25,8 +25,9 @@ accepted stays within ``fdr``: one strong token is found alone, whatever else
 its class holds, and a corpus of many tokens asks for stronger ones.
 
 All of it is DataFrame functions on whole texts; rows are never joined, and
-the cut-offs (one for each length class) come back as a scalar subquery over
-counts by length class and rate.
+the cut-offs (one for each length class) are found first, by a job of their
+own over counts by length class and rate: the plan that marks the texts holds
+the expressions above once, and the driver never plans both together.
 """
 
 from __future__ import annotations
@@ -220,18 +221,17 @@ def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR, name:
     """
     if name in docs.columns:
         raise ValueError(f"{name} is taken")
-    own = whole, base, found, cuts = free_names(docs, "__text", "__base", "__candidates", "__cuts")
+    own = whole, base, found = free_names(docs, "__text", "__base", "__candidates")
     scanned = docs.withColumn(whole, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     t = F.col(whole)
     scanned = scanned.withColumn(base, F.concat(matches(t, ASSIGN, 0, 2, 8), matches(t, ACCESS, 1), matches(t, HEX, 2)))
     scanned = scanned.withColumn(found, candidates(t, F.col(base)))
-    scanned = scanned.withColumn(cuts, cut_offs(scanned.select(F.col(found).alias("__candidates")), fdr).scalar())
-    added = let(
-        F.col(cuts),
-        lambda m: F.transform(
-            F.filter(found, lambda c: c["fits"] & F.coalesce(c["rate"] >= F.try_element_at(m, c["cls"]), F.lit(False))),
-            lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")),
-        ),
+    # an entry for each length class at most
+    cuts = cut_offs(scanned.select(F.col(found).alias("__candidates")), fdr).first()["cuts"]
+    m = F.create_map(*(F.lit(x) for entry in sorted(cuts.items()) for x in entry)).cast("map<int,int>")
+    added = F.transform(
+        F.filter(found, lambda c: c["fits"] & F.coalesce(c["rate"] >= F.try_element_at(m, c["cls"]), F.lit(False))),
+        lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")),
     )
     spans = F.transform(
         F.array_sort(
