@@ -41,26 +41,16 @@ def memo_fits(spec: dict) -> bool:
 
 
 class _Memo(dict):
-    """Results by string; what was not asked for in two turns is forgotten."""
-
     def __init__(self, make):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make = make
 
     def __missing__(self, key: str) -> bytes:
-        found = self.old.get(key)
-        if found is None:
-            found = self.make(key)
+        found = self.make(key)
         if len(key) <= 64:
             self[key] = found
         return found
 
-    def turn(self, most: int) -> None:
-        """Begins a new turn once this one holds half of ``most`` strings."""
-        if 2 * len(self) > most:
-            self.old = dict(self)
-            self.clear()
-
 
 class MemoEncoder:
     """Ids of whole texts as little-endian 32-bit integers."""
@@ -79,8 +69,6 @@ class MemoEncoder:
         white = f"[{WHITE}]"
         ours = PATTERN.replace(r"[^\s", "[^" + WHITE).replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s+", white + "+")
         self.split = regex.compile(ours).findall
-        ascii_only = ours.replace(r" ?\p{L}+", " ?[A-Za-z]+").replace(r" ?\p{N}+", " ?[0-9]+").replace(r"\p{L}\p{N}", "A-Za-z0-9")
-        self.ascii_split = re.compile(ascii_only).findall
         self.double = re.compile(white + white)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -94,19 +82,13 @@ class MemoEncoder:
             differ |= {*regex.findall(rf"\p{{{kind}}}", known)} ^ theirs
         self.differs = frozenset(differ)
         self.words, self.runs = _Memo(self._word), _Memo(self._run)
-        self.spaced = _Memo(lambda run: self._run(" " + run))  # by what follows the space
-        self.space = chr(self.spelt[ord(" ")])
 
     def _word(self, word: str) -> bytes:
-        # ASCII letters stand for themselves
-        plain = word[:1] == " " and word.isascii() and word[1:].isalpha()
-        ids = [t.id for t in self.merge(self.space + word[1:] if plain else word.encode().decode("latin-1").translate(self.spelt))]
+        ids = [t.id for t in self.merge(word.encode().decode("latin-1").translate(self.spelt))]
         return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.ascii_split(text)
-        if not self.differs.isdisjoint(text):
+        if not text.isascii() and not self.differs.isdisjoint(text):
             return [t for t, _ in self.own_split.pre_tokenize_str(text)]
         return self.split(text)
 
@@ -121,19 +103,21 @@ class MemoEncoder:
             return b"".join(self.special[p].to_bytes(4, "little") if i % 2 else self.encode(p) for i, p in enumerate(parts) if p)
         if not text:
             return b""
-        for memo in (self.words, self.runs, self.spaced):
-            memo.turn(MEMO)
+        for memo in (self.words, self.runs):
+            if len(memo) > MEMO:
+                memo.clear()
         if self.double.search(text):
             return b"".join(map(self.words.__getitem__, self._cut(text)))
-        runs, spaced, out = self.runs, self.spaced.__getitem__, []
+        runs, out = self.runs, []
         # with single white spaces only, a line break is a pre-token of its own as well
         for i, line in enumerate(text.split("\n")):
             if i:
                 out.append(self.words["\n"])
-            parts = line.split(" ")
-            if parts[0]:
-                out.append(runs[parts[0]])
-            out += map(spaced, parts[1:])
+            if line:
+                first, *rest = line.split(" ")
+                if first:
+                    out.append(runs[first])
+                out.extend([runs[" " + r] for r in rest])
         return b"".join(out)
 
 
