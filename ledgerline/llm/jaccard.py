@@ -47,8 +47,6 @@ SKETCH_BITS, BLOCK = 20, 4096
 PARTS = 64
 #: Grams ahead of a common one in which a pair is looked for before it is made.
 AHEAD = 8
-#: Bits that tell which of 256 hash ranges hold an odd number of a set's grams.
-ODD = ("o0", "o1", "o2", "o3")
 MEMO_WORDS = 1 << 17
 
 
@@ -96,6 +94,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def odd_columns(percent: int) -> list[str]:
+    """Columns of 64 bits each that tell which hash ranges hold an odd number of a set's grams.
+
+    Two differing grams in one range hide each other.  Those pairs grow with
+    the square of how much linked sets may differ, so the ranges do as well:
+    256 for nine tenths in common, 1024 for eight tenths or less.
+    """
+    share = 100 - percent
+    return [f"o{i}" for i in range(4 if share <= 10 else 8 if share <= 15 else 16)]
+
+
 def _key(column: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{column}`"), F.lit("")))
 
@@ -136,6 +145,9 @@ def _sketch(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
 def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """``doc, key, n, sig, prefix, parts`` and the odd ranges of every document; ``prefix`` is empty without words."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    odds = odd_columns(percent)
+    ranges = 64 * len(odds)
+    shift = np.uint64(64 - (ranges - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = shared.value
@@ -152,8 +164,8 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                     ends.append(ends[-1] + len(first))
                     # counts above 127 may count as 127: their difference only gets smaller
                     parts.append(np.minimum(np.bincount((g >> np.uint64(58)).astype(np.int64), minlength=PARTS), 127).astype(np.int8))
-                    bits.append(np.packbits(np.bincount((g >> np.uint64(56)).astype(np.int64), minlength=256) & 1).view(np.int64))
-                odd = np.concatenate([*bits, np.empty(0, np.int64)]).reshape(-1, 4)
+                    bits.append(np.packbits(np.bincount((g >> shift).astype(np.int64), minlength=ranges) & 1).view(np.int64))
+                odd = np.concatenate([*bits, np.empty(0, np.int64)]).reshape(-1, len(odds))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -162,13 +174,13 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                         pa.array(sig, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64())),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * PARTS, pa.int32()), pa.array(np.concatenate([*parts, np.empty(0, np.int8)]), pa.int8())),
-                        *(pa.array(odd[:, i]) for i in range(4)),
+                        *(pa.array(odd[:, i]) for i in range(len(odds))),
                     ],
-                    names=["doc", "key", "n", "sig", "prefix", "parts", *ODD],
+                    names=["doc", "key", "n", "sig", "prefix", "parts", *odds],
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, _key(text_col)).mapInArrow(run, f"doc {id_type}, key bigint, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>, " + ", ".join(f"{c} bigint" for c in ODD))
+    return docs.select(id_col, text_col, _key(text_col)).mapInArrow(run, f"doc {id_type}, key bigint, n bigint, sig binary, prefix array<bigint>, parts array<tinyint>, " + ", ".join(f"{c} bigint" for c in odds))
 
 
 def _sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -208,7 +220,7 @@ def _fits(n: Column, i: Column, m: Column, j: Column, percent: int) -> Column:
 
 def _odd_apart(x: str, y: str, percent: int) -> Column:
     """Parity filter: every gram that only one set has turns the parity of one range."""
-    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ODD), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in odd_columns(percent)), F.lit(0))
     return apart <= F.col(f"{x}.n") + F.col(f"{y}.n") - 2 * _least_overlap(F.col(f"{x}.n"), F.col(f"{y}.n"), percent)
 
 
@@ -262,7 +274,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     profiles, _ = scratch.write(_profiles(docs, id_col, text_col, width, percent, _sketch(docs, text_col, width)))
-    first = [F.first(c).alias(c) for c in ("key", "n", "prefix", "parts", *ODD)]
+    first = [F.first(c).alias(c) for c in ("key", "n", "prefix", "parts", *odd_columns(percent))]
     classes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc").alias("doc"), *first)
     classes, _ = scratch.write(classes.withColumn("cid", F.monotonically_increasing_id()))
 
@@ -277,7 +289,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     still, still_path = _open_lists(lists.where("many > 2"), links, scratch)
     scratch.release(lists_path)
     ahead = F.slice("prefix", F.greatest(F.col("i") - (AHEAD - 1), F.lit(1)), F.least(F.col("i"), F.lit(AHEAD)))
-    told, _ = scratch.write(still.join(classes.select("cid", "prefix", *ODD), "cid").withColumn("ahead", ahead).drop("prefix"))
+    told, _ = scratch.write(still.join(classes.select("cid", "prefix", *odd_columns(percent)), "cid").withColumn("ahead", ahead).drop("prefix"))
     scratch.release(still_path)
     links = links.union(_verified(_within(told, percent).distinct(), classes, docs, text_col, width, percent, scratch))
 

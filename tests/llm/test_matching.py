@@ -167,6 +167,27 @@ def test_pairs_of_families_are_made_once_and_nothing_stays_on_disk(spark, monkey
         assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def test_pairs_just_too_different_are_not_made(spark, monkeypatch):
+    rng = random.Random(22)
+    base, rows = prose(rng, 400).split(), []
+    for i in range(60):  # 6 words make two copies 120 grams apart, where 88 are allowed; 2 words make them linked
+        copy = list(base)
+        for j in rng.sample(range(400), 6 if i < 50 else 2):
+            copy[j] = f"own{i}x{j}"
+        rows.append((i, " ".join(copy)))
+    made, within = [], jaccard._within
+
+    def counted(told, percent):
+        pairs = within(told, percent)
+        made.append(pairs.distinct().count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_within", counted)
+    got = {r["doc"]: (r["n"], r["component"]) for r in similar_groups(make_docs(spark, rows), width=5, percent=80).collect()}
+    assert got == {i: (n, c) for i, n, c in linked(rows, 5, 80)}
+    assert made[0] <= 900  # 1659 with 256 hash ranges
+
+
 def cut(rows, size, first_stays):
     """Bytes that stay in each row, by counting all strings of ``size`` bytes."""
     data = [(t or "").encode() for _, t in rows]
