@@ -69,6 +69,10 @@ class MemoEncoder:
         white = f"[{WHITE}]"
         ours = PATTERN.replace(r"[^\s", "[^" + WHITE).replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s+", white + "+")
         self.split = regex.compile(ours).findall
+        # the same on ASCII alone, where Python's own expressions are faster
+        ascii_only = ours.replace(r"\p{L}\p{N}", "A-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.ascii_split = re.compile(ascii_only).findall
+        self.space = chr(self.spelt[ord(" ")])
         self.double = re.compile(white + white)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -82,19 +86,24 @@ class MemoEncoder:
             differ |= {*regex.findall(rf"\p{{{kind}}}", known)} ^ theirs
         self.differs = frozenset(differ)
         self.words, self.runs = _Memo(self._word), _Memo(self._run)
+        self.spaced = _Memo(lambda run: self._run(" " + run))  # by what follows the space
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.merge(word.encode().decode("latin-1").translate(self.spelt))]
+        # printable ASCII but the space stands for itself
+        spelt = word.replace(" ", self.space) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.spelt)
+        ids = [t.id for t in self.merge(spelt)]
         return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str]:
-        if not text.isascii() and not self.differs.isdisjoint(text):
+        if text.isascii():
+            return self.ascii_split(text)
+        if not self.differs.isdisjoint(text):
             return [t for t, _ in self.own_split.pre_tokenize_str(text)]
         return self.split(text)
 
     def _run(self, run: str) -> bytes:
-        if run[0] == " " and run[1:].isalpha() and self.differs.isdisjoint(run):
-            return self.words[run]
+        if run[0] == " " and run[1:].isalpha() and (run.isascii() or self.differs.isdisjoint(run)):
+            return self._word(run)  # kept as a run
         return b"".join(map(self.words.__getitem__, self._cut(run)))
 
     def encode(self, text: str) -> bytes:
@@ -103,12 +112,12 @@ class MemoEncoder:
             return b"".join(self.special[p].to_bytes(4, "little") if i % 2 else self.encode(p) for i, p in enumerate(parts) if p)
         if not text:
             return b""
-        for memo in (self.words, self.runs):
+        for memo in (self.words, self.runs, self.spaced):
             if len(memo) > MEMO:
                 memo.clear()
         if self.double.search(text):
             return b"".join(map(self.words.__getitem__, self._cut(text)))
-        runs, out = self.runs, []
+        runs, spaced, out = self.runs, self.spaced.__getitem__, []
         # with single white spaces only, a line break is a pre-token of its own as well
         for i, line in enumerate(text.split("\n")):
             if i:
@@ -117,7 +126,7 @@ class MemoEncoder:
                 first, *rest = line.split(" ")
                 if first:
                     out.append(runs[first])
-                out.extend([runs[" " + r] for r in rest])
+                out += map(spaced, rest)
         return b"".join(out)
 
 

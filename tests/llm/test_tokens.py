@@ -63,6 +63,16 @@ def test_memo_encoder(byte_bpe):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == ids(byte_bpe, text)
 
 
+def test_memo_keeps_spaced_runs_once(byte_bpe):
+    enc, rng = MemoEncoder(tokenizer_file(BYTE_BPE)), random.Random(23)
+    for _ in range(300):
+        text = "".join(chr(rng.choice([rng.randrange(128), 32, 32, rng.randrange(97, 123), rng.randrange(48, 58), 0xE9, 0x2003, 0x1F600])) for _ in range(rng.randrange(40)))
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == ids(byte_bpe, text), repr(text)
+    enc = MemoEncoder(tokenizer_file(BYTE_BPE))
+    enc.encode("One two three four one two")
+    assert len(enc.words) + len(enc.runs) + len(enc.spaced) == 6  # One as a word and a run, four others; ten before
+
+
 def test_whole_texts_are_counted_from_the_memo(byte_bpe):
     enc = ChunkedEncoder(tokenizer_file(BYTE_BPE))
     enc.tokenizer = None  # the library encodes only what is longer than a chunk
